@@ -25,8 +25,7 @@ def numbered_key(df: DataFrame, natural: str, name: str) -> DataFrame:
     Ids are unique, so a run of a million ids holds at most a million rows and can be sorted by
     one task; the runs' sizes then shift the numbers.
     """
-    runs = df.withColumn(ordered.CHUNK, F.floor(F.col(natural) / F.lit(1_000_000)))
-    return ordered.numbered(runs, [], [natural], name).drop(ordered.CHUNK)
+    return ordered.numbered(ordered.by_serial(df, natural), [], [natural], name).drop(ordered.CHUNK)
 
 
 def calendar(

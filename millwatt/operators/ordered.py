@@ -1,14 +1,15 @@
 """Ordered per-key operators that no single hot key can pull into one task.
 
 A plain ``Window.partitionBy(device)`` sends every row of a device to one task, which fails once one
-device holds a large share of a table. Here rows are windowed inside *chunks*: consecutive pieces
-of a key's time line. What a chunk needs from its neighbours (the last value before it, the sum
-before it) is one small row per chunk, aggregated map-side first, and joined back on the chunk. The
-join uses the partitioning the window already made, so full rows are shuffled once.
-
-Keys must not be null. A chunk is one time slot of a key. Slots that hold more than ``max_rows`` rows are cut into equal
-shares of time, as many as the densest hour of the slot calls for. The list of such slots has at
-most ``rows / max_rows`` entries, which is what bounds its broadcast.
+device holds a large share of a table. Here the windows run over a key and a *chunk*. A key of up to
+``max_rows`` rows is one chunk, number 0, and is handled like a plain window. The time line of a
+larger key is cut into chunks 1, 2, ... What a chunk needs from the chunks before it (the last
+value, the sum so far) is one small row per chunk, aggregated map-side, and joined back on key and
+chunk; that join uses the partitioning of the window, so full rows are shuffled once.
+
+Finding the large keys reads the key and order columns only. There are at most ``rows / max_rows``
+of them, which bounds the broadcast. Where there are none, adaptive execution drops the carrying
+part of the plan. Keys must not be null.
 """
 
 from __future__ import annotations
@@ -19,9 +20,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CHUNK = "_chunk"
-DAY_MICROS = 86_400_000_000
-HOUR_MICROS = 3_600_000_000
 MAX_CHUNK_ROWS = 2_000_000
+# A large key's rows are counted in this many equal parts of its time line to find its density.
+PARTS = 1000
 
 
 def position(df: DataFrame, order: str) -> Column:
@@ -32,179 +33,148 @@ def position(df: DataFrame, order: str) -> Column:
     return F.col(order).cast("bigint")
 
 
-def chunked(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: str,
-    slot: int = DAY_MICROS,
-    grain: int = HOUR_MICROS,
-    max_rows: int = MAX_CHUNK_ROWS,
-) -> DataFrame:
-    """Add the chunk number, which never decreases along ``order``.
+def by_serial(df: DataFrame, serial: str, rows: int = 1_000_000) -> DataFrame:
+    """Chunks of a table that is ordered as a whole by a unique whole number."""
+    return df.withColumn(CHUNK, F.floor(F.col(serial) / F.lit(rows)) + 1)
+
+
+def chunked(df: DataFrame, keys: Sequence[str], order: str, max_rows: int = MAX_CHUNK_ROWS) -> DataFrame:
+    """Add the chunk number, which never decreases along ``order`` within a key.
 
-    ``slot`` and ``grain`` are in units of :func:`position`; ``grain`` must divide ``slot``. Counting
-    reads the key and order columns only and shuffles one row per key and grain.
+    Pieces of a large key are of equal time, short enough that the densest part of its time line
+    gives ``max_rows`` rows per piece.
     """
     if CHUNK in df.columns:
         return df
     keys = list(keys)
-    place = position(df, order)
-    counts = df.groupBy(*keys, F.floor(place / F.lit(grain)).alias("_grain")).agg(
-        F.count(F.lit(1)).alias("_rows")
-    )
-    crowded = (
-        counts.groupBy(*keys, F.expr(f"floor(_grain / {slot // grain})").alias("_slot"))
-        .agg(F.sum("_rows").alias("_total"), F.max("_rows").alias("_peak"))
-        .where(F.col("_total") > max_rows)
-        .select(
-            *keys,
-            "_slot",
-            F.least(
-                F.ceil(F.col("_peak") * F.lit(slot // grain) / F.lit(max_rows)), F.lit(slot)
-            ).alias("_pieces"),
+    placed = df.withColumn("_place", position(df, order))
+    spans = (
+        placed.groupBy(*keys)
+        .agg(
+            F.count(F.lit(1)).alias("_rows"),
+            F.min("_place").alias("_low"),
+            (F.max("_place") - F.min("_place") + 1).cast("double").alias("_span"),
         )
+        .where(F.col("_rows") > max_rows)
+        .drop("_rows")
     )
-    placed = df.withColumn("_place", place).withColumn(
-        "_slot", F.floor(F.col("_place") / F.lit(slot))
+    share = (F.col("_place") - F.col("_low")) / F.col("_span")
+    parts = (
+        placed.join(F.broadcast(spans), keys)
+        .groupBy(*keys, "_low", "_span", F.floor(share * PARTS).alias("_part"))
+        .agg(F.count(F.lit(1)).alias("_rows"))
     )
-    joined = placed.join(F.broadcast(crowded), [*keys, "_slot"], "left")
-    piece = F.expr(f"coalesce(((_place - _slot * {slot}) * _pieces) div {slot}, 0L)")
-    # Pieces of one slot are spread over its own span of numbers, so chunks stay in order.
-    number = F.expr(
-        f"_slot * {slot} + coalesce(({slot} div _pieces), 0L) * _piece"
+    large = parts.groupBy(*keys, "_low", "_span").agg(
+        F.ceil(F.max("_rows") * F.lit(float(PARTS)) / max_rows).alias("_pieces")
     )
+    number = F.when(F.col("_pieces").isNull(), F.lit(0)).otherwise(F.floor(share * F.col("_pieces")) + 1)
     return (
-        joined.withColumn("_piece", piece)
-        .withColumn(CHUNK, number)
+        placed.join(F.broadcast(large), keys, "left")
+        .withColumn(CHUNK, number.cast("bigint"))
         .select(*df.columns, CHUNK)
     )
 
 
-def _inside(keys: Sequence[str], order: Sequence[Column]) -> Window:
-    return Window.partitionBy(*keys, CHUNK).orderBy(*order)
+def _inside(keys: Sequence[str], order: Sequence[str]) -> Window:
+    return Window.partitionBy(*keys, CHUNK).orderBy(*[F.col(name) for name in order])
+
+
+def _upto_row(keys: Sequence[str], order: Sequence[str]) -> Window:
+    return _inside(keys, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-def _between_chunks(keys: Sequence[str]) -> Window:
+def _across(keys: Sequence[str]) -> Window:
+    """A key's chunks in order; one small row each."""
     return Window.partitionBy(*keys).orderBy(CHUNK)
 
 
-def _columns(order: Sequence[str]) -> list[Column]:
-    return [F.col(name) for name in order]
+def _chunks_before(keys: Sequence[str]) -> Window:
+    return _across(keys).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _per_chunk(source: DataFrame, keys: Sequence[str], *summaries: Column) -> DataFrame:
+    """One row per chunk of the large keys."""
+    return source.where(F.col(CHUNK) > 0).groupBy(*keys, CHUNK).agg(*summaries)
+
+
+def _completed(near: DataFrame, carried: DataFrame, keys: Sequence[str], df: DataFrame, *results: Column) -> DataFrame:
+    """Join what chunks carry to their rows and keep the columns of ``df``, the chunk and ``results``."""
+    joined = near.join(carried, [*keys, CHUNK], "left")
+    return joined.select(*[F.col(name) for name in df.columns if name != CHUNK], F.col(CHUNK), *results)
 
 
 def previous(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], values: dict[str, Column], **chunking
 ) -> DataFrame:
     """``lag`` by one row: ``values`` maps new columns to what they take from the row before."""
-    return _neighbour(df, keys, order, values, ahead=False, **chunking)
+    return _neighbour(df, keys, order, values, F.lag, F.max_by, **chunking)
 
 
 def following(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], values: dict[str, Column], **chunking
 ) -> DataFrame:
     """``lead`` by one row: ``values`` maps new columns to what they take from the row after."""
-    return _neighbour(df, keys, order, values, ahead=True, **chunking)
+    return _neighbour(df, keys, order, values, F.lead, F.min_by, **chunking)
 
 
-def _neighbour(df, keys, order, values, ahead, **chunking) -> DataFrame:
-    keys, order = list(keys), list(order)
+def _neighbour(df, keys, order, values, shift, edge, **chunking) -> DataFrame:
     source = chunked(df, keys, order[0], **chunking)
     packed = F.struct(*[value.alias(name) for name, value in values.items()])
-    place = F.struct(*_columns(order))
-    shift, edge = (F.lead, F.min_by) if ahead else (F.lag, F.max_by)
-    edges = source.groupBy(*keys, CHUNK).agg(edge(packed, place).alias("_edge"))
-    carried = edges.select(
-        *keys, CHUNK, shift("_edge").over(_between_chunks(keys)).alias("_carried")
-    )
-    near = source.withColumn("_near", shift(packed).over(_inside(keys, _columns(order))))
-    joined = near.join(carried, [*keys, CHUNK], "left")
+    edges = _per_chunk(source, keys, edge(packed, F.struct(*order)).alias("_edge"))
+    carried = edges.select(*keys, CHUNK, shift("_edge").over(_across(keys)).alias("_carried"))
+    near = source.withColumn("_near", shift(packed).over(_inside(keys, order)))
     found = F.coalesce("_near", "_carried")
-    return joined.select(
-        *[F.col(name) for name in df.columns if name != CHUNK],
-        F.col(CHUNK),
-        *[found[name].alias(name) for name in values],
-    )
+    return _completed(near, carried, keys, df, *[found[name].alias(name) for name in values])
 
 
 def running_sum(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], values: dict[str, Column], **chunking
 ) -> DataFrame:
     """Sum from the first row of the key up to and including the current one."""
-    keys, order = list(keys), list(order)
-    source = chunked(df, keys, order[0], **chunking)
-    totals = source.groupBy(*keys, CHUNK).agg(
-        *[F.sum(value).alias(f"_sum_{name}") for name, value in values.items()]
-    )
-    before = _between_chunks(keys).rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select(
-        *keys, CHUNK, *[F.sum(f"_sum_{name}").over(before).alias(f"_sum_{name}") for name in values]
-    )
-    upto = _inside(keys, _columns(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    near = source.select(
-        "*", *[F.sum(value).over(upto).alias(f"_near_{name}") for name, value in values.items()]
-    )
-    joined = near.join(carried, [*keys, CHUNK], "left")
-    return joined.select(
-        *[F.col(name) for name in df.columns if name != CHUNK],
-        F.col(CHUNK),
-        *[
-            F.coalesce(F.col(f"_near_{name}") + F.col(f"_sum_{name}"), f"_near_{name}", f"_sum_{name}").alias(name)
-            for name in values
-        ],
-    )
+
+    def added(before: Column, near: Column) -> Column:
+        return F.coalesce(before + near, near, before)
+
+    return _running(df, keys, order, values, F.sum, added, **chunking)
 
 
 def running_max(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], values: dict[str, Column], **chunking
 ) -> DataFrame:
     """Largest value from the first row of the key up to and including the current one."""
-    keys, order = list(keys), list(order)
+    return _running(df, keys, order, values, F.max, F.greatest, **chunking)
+
+
+def _running(df, keys, order, values, total, combine, **chunking) -> DataFrame:
     source = chunked(df, keys, order[0], **chunking)
-    tops = source.groupBy(*keys, CHUNK).agg(
-        *[F.max(value).alias(f"_max_{name}") for name, value in values.items()]
-    )
-    before = _between_chunks(keys).rowsBetween(Window.unboundedPreceding, -1)
-    carried = tops.select(
-        *keys, CHUNK, *[F.max(f"_max_{name}").over(before).alias(f"_max_{name}") for name in values]
+    sums = _per_chunk(source, keys, *[total(value).alias(f"_all_{name}") for name, value in values.items()])
+    carried = sums.select(
+        *keys, CHUNK, *[total(f"_all_{name}").over(_chunks_before(keys)).alias(f"_before_{name}") for name in values]
     )
-    upto = _inside(keys, _columns(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     near = source.select(
-        "*", *[F.max(value).over(upto).alias(f"_near_{name}") for name, value in values.items()]
-    )
-    joined = near.join(carried, [*keys, CHUNK], "left")
-    return joined.select(
-        *[F.col(name) for name in df.columns if name != CHUNK],
-        F.col(CHUNK),
-        *[F.greatest(f"_near_{name}", f"_max_{name}").alias(name) for name in values],
+        "*", *[total(value).over(_upto_row(keys, order)).alias(f"_near_{name}") for name, value in values.items()]
     )
+    results = [combine(F.col(f"_before_{name}"), F.col(f"_near_{name}")).alias(name) for name in values]
+    return _completed(near, carried, keys, df, *results)
 
 
 def last_known(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, value: Column, **chunking
 ) -> DataFrame:
     """Latest ``value`` that is not null, at the current row or before it."""
-    keys, order = list(keys), list(order)
     source = chunked(df, keys, order[0], **chunking)
-    place = F.when(value.isNotNull(), F.struct(*_columns(order)))
-    tails = source.groupBy(*keys, CHUNK).agg(F.max_by(value, place).alias("_tail"))
-    before = _between_chunks(keys).rowsBetween(Window.unboundedPreceding, -1)
-    carried = tails.select(
-        *keys, CHUNK, F.last("_tail", ignorenulls=True).over(before).alias("_carried")
-    )
-    upto = _inside(keys, _columns(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    near = source.withColumn("_near", F.last(value, ignorenulls=True).over(upto))
-    joined = near.join(carried, [*keys, CHUNK], "left")
-    return joined.select(
-        *[F.col(column) for column in df.columns if column != CHUNK],
-        F.col(CHUNK),
-        F.coalesce("_near", "_carried").alias(name),
-    )
+    place = F.when(value.isNotNull(), F.struct(*order))
+    tails = _per_chunk(source, keys, F.max_by(value, place).alias("_tail"))
+    latest = F.last("_tail", ignorenulls=True).over(_chunks_before(keys))
+    carried = tails.select(*keys, CHUNK, latest.alias("_carried"))
+    near = source.withColumn("_near", F.last(value, ignorenulls=True).over(_upto_row(keys, order)))
+    return _completed(near, carried, keys, df, F.coalesce("_near", "_carried").alias(name))
 
 
 def numbered(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "row_number", **chunking
 ) -> DataFrame:
-    """``row_number`` per key; with no keys, over the whole table without sorting it in one task."""
+    """``row_number`` per key."""
     return running_sum(df, keys, order, {name: F.lit(1).cast("bigint")}, **chunking)
 
 
@@ -225,7 +195,6 @@ def trailing(
     """
     if block_rows < rows:
         raise ValueError("block_rows must not be less than rows")
-    keys = list(keys)
     counted = numbered(df, keys, order, "_number", **chunking).drop(CHUNK)
     block = F.floor((F.col("_number") - 1) / F.lit(block_rows))
     within = (F.col("_number") - 1) % block_rows
@@ -240,11 +209,13 @@ def trailing(
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The row with the greatest ``order`` per key (nulls last), merged map-side before the shuffle."""
-    kept = F.max_by(F.struct(*df.columns), F.struct(*_columns(order)))
-    return df.groupBy(*keys).agg(kept.alias("_row")).select("_row.*")
+    return _one_per_key(df, keys, F.max_by(F.struct(*df.columns), F.struct(*order)))
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The row with the smallest ``order`` per key, merged map-side before the shuffle."""
-    kept = F.min_by(F.struct(*df.columns), F.struct(*_columns(order)))
+    return _one_per_key(df, keys, F.min_by(F.struct(*df.columns), F.struct(*order)))
+
+
+def _one_per_key(df: DataFrame, keys: Sequence[str], kept: Column) -> DataFrame:
     return df.groupBy(*keys).agg(kept.alias("_row")).select("_row.*")

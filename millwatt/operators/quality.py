@@ -1,8 +1,8 @@
 """Declarative column checks.
 
-Every check yields ``(model, column, test, failures)``. All not-null checks of a model share one
-scan; the others aggregate by value map-side first, so a value that fills a third of a table costs
-one row per task.
+Every check yields ``(model, column, test, failures)``. Checks of one kind on one model share one
+scan, and values are counted map-side first, so one that fills a third of a table costs one row per
+task.
 """
 
 from __future__ import annotations
@@ -87,59 +87,95 @@ ACCEPTED_VALUES = [
 ALL_CHECKS = [*NOT_NULL, *SOURCE_NOT_NULL, *UNIQUE, *RELATIONSHIPS, *ACCEPTED_VALUES]
 
 
-def _result(check: Check, failures: Column) -> list[Column]:
-    return [
-        F.lit(check.model).alias("model"),
-        F.lit(check.column).alias("column"),
-        F.lit(check.test).alias("test"),
-        F.coalesce(failures, F.lit(0)).cast("bigint").alias("failures"),
-    ]
-
-
 def _not_null(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """All not-null checks of a model from one scan: ``n, failures`` by check number."""
     counted = df.agg(
         *[F.count_if(F.col(check.column).isNull()).alias(f"n{i}") for i, check in enumerate(checks)]
     )
-    rows = F.array(*[F.struct(*_result(check, F.col(f"n{i}"))) for i, check in enumerate(checks)])
-    return counted.select(F.inline(rows))
+    rows = [F.struct(F.lit(i).alias("n"), F.col(f"n{i}").alias("failures")) for i in range(len(checks))]
+    return counted.select(F.inline(F.array(*rows)))
 
 
-def _unique(df: DataFrame, check: Check) -> DataFrame:
-    column = F.col(check.column)
-    copies = df.where(column.isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    return copies.where("n > 1").agg(F.count(F.lit(1)).alias("f")).select(*_result(check, F.col("f")))
+def _value_counts(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """How often each value of the checked columns occurs, from one scan: ``n, value, rows``."""
+    pairs = [
+        F.struct(F.lit(i).alias("n"), F.col(check.column).cast("string").alias("value"))
+        for i, check in enumerate(checks)
+    ]
+    return (
+        df.select(F.inline(F.array(*pairs)))
+        .where(F.col("value").isNotNull())
+        .groupBy("n", "value")
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
+
 
+def _unique(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    repeated = _value_counts(df, checks).where("rows > 1")
+    return repeated.groupBy("n").agg(F.count(F.lit(1)).alias("failures"))
 
-def _relationship(child: DataFrame, parent: DataFrame, check: Check) -> DataFrame:
-    column = F.col(check.column)
-    used = child.where(column.isNotNull()).groupBy(column.alias("k")).agg(F.count(F.lit(1)).alias("n"))
-    known = parent.select(F.col(check.to_column).alias("k"))
-    orphans = used.join(known, "k", "left_anti")
-    return orphans.agg(F.sum("n").alias("f")).select(*_result(check, F.col("f")))
 
+def _relationships(child: DataFrame, checks: Sequence[Check], models: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows whose key has no parent: distinct keys with their counts meet all parents at once."""
+    parents = [
+        models[check.to_model].select(
+            F.lit(i).alias("n"), F.col(check.to_column).cast("string").alias("value")
+        )
+        for i, check in enumerate(checks)
+    ]
+    known = reduce(DataFrame.unionByName, parents)
+    orphans = _value_counts(child, checks).join(known, ["n", "value"], "left_anti")
+    return orphans.groupBy("n").agg(F.sum("rows").alias("failures"))
 
-def _accepted(df: DataFrame, check: Check) -> DataFrame:
-    strange = df.select(check.column).distinct().where(~F.col(check.column).isin(*check.values))
-    return strange.agg(F.count(F.lit(1)).alias("f")).select(*_result(check, F.col("f")))
+
+def _accepted(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    def text(value) -> str:
+        return str(value).lower() if isinstance(value, bool) else str(value)
+
+    strange = F.lit(False)
+    for i, check in enumerate(checks):
+        known = F.col("value").isin(*[text(value) for value in check.values])
+        strange = strange | ((F.col("n") == i) & ~known)
+    return _value_counts(df, checks).where(strange).groupBy("n").agg(
+        F.count(F.lit(1)).alias("failures")
+    )
 
 
 def run(models: Mapping[str, DataFrame], checks: Sequence[Check] = ALL_CHECKS) -> DataFrame:
-    """Results of ``checks``, one row each."""
-    parts = []
-    by_model: dict[str, list[Check]] = {}
+    """Results of ``checks``, one row each; checks of one kind on one model share a scan."""
+    groups: dict[tuple[str, str], list[Check]] = {}
     for check in checks:
-        if check.test == "not_null":
-            by_model.setdefault(check.model, []).append(check)
-        elif check.test == "unique":
-            parts.append(_unique(models[check.model], check))
-        elif check.test == "relationships":
-            parts.append(_relationship(models[check.model], models[check.to_model], check))
-        elif check.test == "accepted_values":
-            parts.append(_accepted(models[check.model], check))
-        else:
-            raise ValueError(f"unknown test: {check.test}")
-    parts += [_not_null(models[model], group) for model, group in by_model.items()]
-    return reduce(DataFrame.unionByName, parts)
+        groups.setdefault((check.model, check.test), []).append(check)
+    return reduce(
+        DataFrame.unionByName,
+        [_group(models, model, test, group) for (model, test), group in groups.items()],
+    )
+
+
+def _group(models: Mapping[str, DataFrame], model: str, test: str, checks: list[Check]) -> DataFrame:
+    df = models[model]
+    if test == "not_null":
+        found = _not_null(df, checks)
+    elif test == "unique":
+        found = _unique(df, checks)
+    elif test == "relationships":
+        found = _relationships(df, checks, models)
+    elif test == "accepted_values":
+        found = _accepted(df, checks)
+    else:
+        raise ValueError(f"unknown test: {test}")
+    # One row per check of the group, also for those that found nothing.
+    counts = found.agg(F.map_from_entries(F.collect_list(F.struct("n", "failures"))).alias("found"))
+    rows = [
+        F.struct(
+            F.lit(check.model).alias("model"),
+            F.lit(check.column).alias("column"),
+            F.lit(check.test).alias("test"),
+            F.coalesce(F.col("found")[i], F.lit(0)).cast("bigint").alias("failures"),
+        )
+        for i, check in enumerate(checks)
+    ]
+    return counts.select(F.inline(F.array(*rows)))
 
 
 def contract(

@@ -8,13 +8,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millwatt import constants as C
-from millwatt.functions.clock import hours_between
 from millwatt.functions.labels import lookup
 from millwatt.functions.numeric import NUMERIC, ratio
 from millwatt.operators import ordered
 
 
-def integrate_energy(
+# Power times time is kept as an exact number of kilowatt-microseconds and divided once at the end.
+WORK = "decimal(38,6)"
+MICROS_PER_HOUR = 3_600_000_000
+
+
+def kilowatt_hours(work: Column) -> Column:
+    """Kilowatt-microseconds as kWh, rounded half up to five places."""
+    return F.round(work.cast("decimal(28,6)") / F.lit(MICROS_PER_HOUR), 5)
+
+
+def accumulate_work(
     readings: DataFrame,
     power: str = "total_power",
     time: str = "time",
@@ -22,21 +31,30 @@ def integrate_energy(
     key: str = "device_id",
     **chunking,
 ) -> DataFrame:
-    """Running kWh per device: power times the hours since the reading before; the first adds 0.
+    """Add ``added_work`` and its running sum ``total_work`` per device.
 
-    A missing power adds nothing. Amounts are exact decimals, so the total does not depend on how
-    rows are spread over tasks.
+    A reading's power counts for the time since the reading before; the first reading and one
+    without power add nothing.
     """
     order = [time, *ties]
     seen = ordered.previous(readings, [key], order, {"_before": F.col(time)}, **chunking)
-    hours = hours_between(F.col(time), F.col("_before"))
-    added = F.coalesce((F.col(power).cast("double") * hours).cast(NUMERIC), F.lit(0).cast(NUMERIC))
-    stepped = seen.withColumn("added_kwh", added).drop("_before")
-    return ordered.running_sum(stepped, [key], order, {"total_kwh": F.col("added_kwh")}).drop(
+    span = (F.unix_micros(time) - F.unix_micros("_before")).cast("decimal(19,0)")
+    added = F.coalesce(F.col(power).cast("decimal(18,6)") * span, F.lit(0)).cast(WORK)
+    stepped = seen.withColumn("added_work", added).drop("_before")
+    return ordered.running_sum(stepped, [key], order, {"total_work": F.col("added_work")}).drop(
         ordered.CHUNK
     )
 
 
+def integrate_energy(readings: DataFrame, **options) -> DataFrame:
+    """Running kWh per device from power readings, see :func:`accumulate_work`."""
+    return accumulate_work(readings, **options).select(
+        *readings.columns,
+        kilowatt_hours(F.col("added_work")).alias("added_kwh"),
+        kilowatt_hours(F.col("total_work")).alias("total_kwh"),
+    )
+
+
 def spikes(
     readings: DataFrame,
     value: str = "total_power",
@@ -81,10 +99,15 @@ def late_rows(
     arrival: str,
     time: str = "time",
     lateness_seconds: int = C.LATENESS_SECONDS,
-    **chunking,
+    rows: int = 1_000_000,
 ) -> DataFrame:
-    """Rows whose time is more than ``lateness_seconds`` behind the newest one that arrived before."""
-    seen = ordered.running_max(arrivals, [], [arrival], {"newest": F.col(time)}, **chunking)
+    """Rows whose time is more than ``lateness_seconds`` behind the newest one that arrived before.
+
+    ``arrival`` is a unique serial number; its runs of ``rows`` numbers are handled apart and only
+    their newest times are compared across the table.
+    """
+    runs = ordered.by_serial(arrivals, arrival, rows)
+    seen = ordered.running_max(runs, [], [arrival], {"newest": F.col(time)})
     limit = F.col("newest") - F.expr(f"INTERVAL {int(lateness_seconds)} SECONDS")
     return seen.where(F.col(time) < limit).drop(ordered.CHUNK)
 

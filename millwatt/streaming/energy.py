@@ -19,7 +19,7 @@ from millwatt.functions.numeric import NUMERIC
 from millwatt.operators import signals
 from millwatt.sources.files import empty
 
-STATE = "device_id string, last_time timestamp, total_kwh decimal(38,12)"
+STATE = f"device_id string, last_time timestamp, total_work {signals.WORK}"
 
 
 def start(readings: DataFrame, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
@@ -57,23 +57,25 @@ def advance(readings: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame
         "device_id", "time", "msg_id", F.col("total_power").cast(NUMERIC).alias("total_power"), F.lit(False).alias("_seed")
     )
     stacked = fresh.unionByName(seeds.withColumn("_seed", F.lit(True)))
-    added = signals.integrate_energy(stacked).where(~F.col("_seed")).drop("_seed")
-    before = state.select("device_id", F.col("total_kwh").alias("_stored"))
+    added = signals.accumulate_work(stacked).where(~F.col("_seed")).drop("_seed")
+    before = state.select("device_id", F.col("total_work").alias("_stored"))
+    total = (F.col("total_work") + F.coalesce("_stored", F.lit(0))).cast(signals.WORK)
     totals = added.join(before, "device_id", "left").select(
         "device_id",
         "time",
         "msg_id",
         "total_power",
-        (F.col("total_kwh") + F.coalesce("_stored", F.lit(0))).cast("decimal(38,12)").alias("total_kwh"),
+        total.alias("total_work"),
+        signals.kilowatt_hours(total).alias("total_kwh"),
     )
     return totals, late
 
 
 def next_state(state: DataFrame, totals: DataFrame) -> DataFrame:
     """Stored rows after the batch: the last total of devices seen, the old row of the others."""
-    last = F.max_by("total_kwh", F.struct("time", "msg_id"))
+    last = F.max_by("total_work", F.struct("time", "msg_id"))
     seen = totals.groupBy("device_id").agg(
-        F.max("time").alias("last_time"), last.cast("decimal(38,12)").alias("total_kwh")
+        F.max("time").alias("last_time"), last.alias("total_work")
     )
     return seen.unionByName(state.join(seen.select("device_id"), "device_id", "left_anti"))
 
