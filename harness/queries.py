@@ -634,7 +634,7 @@ def ingest_stream(v: Views) -> DataFrame:
         "deviceId", "source", "equipmentType", "building", "ts_utc", "value", "metadata"
     )
     ingest.start(events, f"{folder}/raw", f"{folder}/quarantine", f"{folder}/checkpoint", NOW).awaitTermination()
-    landed = v.spark.read.parquet(f"{folder}/raw")
+    landed = telemetry_source.read_raw(v.spark, f"{folder}/raw")
     return landed.groupBy("date", "source").agg(
         F.count(F.lit(1)).alias("records"), F.max("time").alias("newest")
     )

@@ -89,7 +89,7 @@ def build(
         # Rebalancing cuts a busy day into several files and joins small pieces of the others.
         spread = df.withColumn("day", F.to_date(day)).hint("rebalance", "day")
         spread.write.mode("overwrite").partitionBy("day").option("compression", "zstd").parquet(path)
-        return spark.read.parquet(path)
+        return spark.read.schema(spread.schema).parquet(path)
 
     out: dict[str, DataFrame] = {"telemetry": raw}
     out["dim_date"] = kept("dim_date", dims.calendar(spark) if calendar is None else calendar)
