@@ -71,7 +71,8 @@ def kwh_per_unit(energy: DataFrame, runs: DataFrame, shifts: DataFrame) -> DataF
 
 def demand_peak(energy: DataFrame, shifts: DataFrame) -> DataFrame:
     """Highest total power of a minute by building, shift day and shift, and when it was."""
-    demand = energy.groupBy("building", F.date_trunc("minute", "time").alias("minute")).agg(
+    known = energy.where(F.col("total_power").isNotNull())
+    demand = known.groupBy("building", F.date_trunc("minute", "time").alias("minute")).agg(
         F.sum("total_power").alias("power")
     )
     # The earlier minute wins a tie.

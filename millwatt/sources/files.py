@@ -35,17 +35,19 @@ def read_ems_sample(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.schema(schemas.SAMPLE_EMS).option("header", True).csv(path)
     return rows.withColumn("timebucket", F.to_timestamp("timebucket", SAMPLE_TIME))
 
+NOTHING_THERE = ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
 
 def empty(spark: SparkSession, schema: str) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
 def or_empty(spark: SparkSession, read: Callable[[], DataFrame], schema: str) -> DataFrame:
-    """What ``read`` returns, or an empty frame of ``schema`` where the source does not exist."""
+    """What ``read`` returns, or an empty frame of ``schema`` where the source is missing or empty."""
     try:
         return read()
     except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"):
+        if error.getCondition() in NOTHING_THERE:
             return empty(spark, schema)
         raise
 
