@@ -24,9 +24,13 @@ SELECT msg_id, time, CAST(time AS DATE) AS date, device_id, source, building, eq
   CAST((r_supply IS NOT NULL)::INT + (r_return IS NOT NULL)::INT + (r_supply_rh IS NOT NULL)::INT
   + (r_return_rh IS NOT NULL)::INT + (r_flow IS NOT NULL)::INT + (r_cws IS NOT NULL)::INT + (r_cwr IS NOT NULL)::INT
   + (r_cds IS NOT NULL)::INT + (r_cdr IS NOT NULL)::INT + (r_power IS NOT NULL)::INT
-  + (r_energy IS NOT NULL)::INT AS INTEGER) AS metrics,
-  '{"building":"' || building || '","equipmentType":"' || equipment_type || '","name":"' || device_id || '"}'
-    AS dimensions_json
+  + (r_energy IS NOT NULL)::INT AS INTEGER) AS metrics
+FROM reading"""
+
+SQL["land_json"] = f"""
+SELECT msg_id, time,
+  '{{"building":"' || building || '","equipmentType":"' || equipment_type || '","name":"' || device_id || '"}}'
+    AS dimensions, {n('r_power', 'total_power')}, {n('r_return', 'return_temp')}
 FROM reading"""
 
 SQL["topic_routing"] = f"""
@@ -355,6 +359,10 @@ SELECT building, shift_date, shift_code, {n('power', 'peak_power')}, minute AS p
 FROM {shifted(_DEMAND, 'minute')} WHERE power IS NOT NULL
 QUALIFY row_number() OVER (PARTITION BY building, shift_date, shift_code ORDER BY power DESC, minute) = 1"""
 
+SQL["energy_by_building"] = f"""
+SELECT building, machine_type, date_id, {n('sum(delta_kwh_reset_safe)', 'kwh')}, {avg('total_power', 'avg_power')},
+  {n('max(total_power)', 'max_power')} FROM energy GROUP BY 1, 2, 3"""
+
 SQL["energy_by_state"] = f"""
 SELECT machine_id, state, count(*) AS readings, {n('sum(delta_kwh_reset_safe)', 'kwh')}, {avg('total_power', 'avg_power')}
 FROM (SELECT e.machine_id, e.time, e.total_power, e.delta_kwh_reset_safe, i.state, i.end_time

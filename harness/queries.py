@@ -60,21 +60,31 @@ def present(df: DataFrame) -> DataFrame:
 @query
 def land_telemetry(v: Views) -> DataFrame:
     raw = landing.land(v.events)
-    text = landing.land_json(v.events).select(
-        F.get_json_object("metadata", "$.msgId").alias("msg_id"), F.col("dimensions").alias("dimensions_json")
-    )
-    flat = raw.select(
+    dimensions = F.col("dimensions")
+    return raw.select(
         F.col("metadata")["msgId"].alias("msg_id"),
         "time",
         "date",
         "device_id",
         "source",
-        F.col("dimensions")["building"].alias("building"),
-        F.col("dimensions")["equipmentType"].alias("equipment_type"),
-        F.col("dimensions")["name"].alias("name"),
+        dimensions["building"].alias("building"),
+        dimensions["equipmentType"].alias("equipment_type"),
+        dimensions["name"].alias("name"),
         F.size("value").alias("metrics"),
     )
-    return flat.join(text, "msg_id")
+
+
+@query
+def land_json(v: Views) -> DataFrame:
+    """Landed rows with JSON text instead of maps, read back member by member."""
+    rows = landing.land_json(v.events)
+    return rows.select(
+        F.get_json_object("metadata", "$.msgId").alias("msg_id"),
+        "time",
+        "dimensions",
+        F.get_json_object("value", "$.totalPower").cast("double").alias("total_power"),
+        F.get_json_object("value", "$.Return_Temp").cast("double").alias("return_temp"),
+    )
 
 
 @query
@@ -459,7 +469,7 @@ def telemetry_freshness(v: Views) -> DataFrame:
 
 
 def _power(v: Views) -> DataFrame:
-    return v.energy.select(F.col("energy_tag").alias("device_name"), "time", "msg_id", "total_power")
+    return v.readings.select(F.col("energy_tag").alias("device_name"), "time", "msg_id", "total_power")
 
 
 @query
@@ -474,12 +484,17 @@ def kwh_per_unit_by_shift(v: Views) -> DataFrame:
 
 @query
 def demand_peak_by_shift(v: Views) -> DataFrame:
-    return analytics.demand_peak(v.energy, v.shifts_raw)
+    return analytics.demand_peak(v.readings, v.shifts_raw)
+
+
+@query
+def energy_by_building(v: Views) -> DataFrame:
+    return analytics.energy_by_building(v.energy)
 
 
 @query
 def energy_by_state(v: Views) -> DataFrame:
-    return analytics.energy_by_state(v.energy, v.intervals)
+    return analytics.energy_by_state(v.written("energy"), v.written("intervals"))
 
 
 @query

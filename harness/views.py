@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millwatt.functions import labels
 from millwatt.operators import dims, facts, landing, registry, signals, staging
-from millwatt.session import configure
+from millwatt.session import configure, work_folder
 
 DEVICE_TYPES = ("AHU", "Chillers", "INJECTION_MOULDING", "CNC", "HEATING")
 BUILDINGS = ("Building-Alpha", "Building-Beta", "Building-Gamma", "Building-Delta")
@@ -24,6 +24,14 @@ def device_tag(number: Column) -> Column:
     return F.concat(F.lit("D-"), F.lpad(number.cast("string"), 6, "0"))
 
 
+def known_values(readings: dict[str, Column]) -> Column:
+    """Map of the readings that are not null."""
+    none = F.expr("cast(map() as map<string,double>)")
+    return F.map_concat(
+        *[F.when(v.isNotNull(), F.create_map(F.lit(k), v)).otherwise(none) for k, v in readings.items()]
+    )
+
+
 def plant_events(events: DataFrame) -> DataFrame:
     """Wire records from event rows; works on a stream as well."""
     k = F.get_json_object("props", "$.k").cast("int")
@@ -44,25 +52,29 @@ def plant_events(events: DataFrame) -> DataFrame:
     reading, k = F.col("value"), F.col("k")
     supply = F.when(k % 17 != 0, reading / 10)
     back = F.when(k % 19 != 0, k / F.lit(3.0))
-    air = F.create_map(
-        F.lit("Supply_Temp"), supply,
-        F.lit("Return_Temp"), back,
-        F.lit("Supply_RH"), k.cast("double"),
-        F.lit("Return_RH"), k / F.lit(2.0),
-        F.lit("Supply_Flow"), F.when(F.col("event_type") == "view", reading),
-    )
-    water = F.create_map(
-        F.lit("Chilled_Water_Supply_Temp"), supply - 1.0,
-        F.lit("Chilled_Water_Return_Temp"), back,
-        F.lit("Condensor_Supply_Temp"), k / F.lit(10.0) + 27,
-        F.lit("Condensor_Return_Temp"), k / F.lit(10.0) + 30,
-    )
-    machine = F.create_map(
-        F.lit("totalPower"), F.when(k % 23 != 0, reading),
-        F.lit("totalEnergy"), F.col("event_id") / F.lit(4.0) + reading / 100,
-    )
+    air = {
+        "Supply_Temp": supply,
+        "Return_Temp": back,
+        "Supply_RH": k.cast("double"),
+        "Return_RH": k / F.lit(2.0),
+        "Supply_Flow": F.when(F.col("event_type") == "view", reading),
+    }
+    water = {
+        "Chilled_Water_Supply_Temp": supply - 1.0,
+        "Chilled_Water_Return_Temp": back,
+        "Condensor_Supply_Temp": k / F.lit(10.0) + 27,
+        "Condensor_Return_Temp": k / F.lit(10.0) + 30,
+    }
+    machine = {
+        "totalPower": F.when(k % 23 != 0, reading),
+        "totalEnergy": F.col("event_id") / F.lit(4.0) + reading / 100,
+    }
     kind = F.col("user_id") % 5
-    values = F.when(kind == 0, air).when(kind == 1, water).otherwise(machine)
+    values = (
+        F.when(kind == 0, known_values(air))
+        .when(kind == 1, known_values(water))
+        .otherwise(known_values(machine))
+    )
     metadata = F.create_map(
         F.lit("msgId"), F.col("event_id").cast("string"),
         F.lit("deviceId"), F.col("deviceId"),
@@ -70,9 +82,7 @@ def plant_events(events: DataFrame) -> DataFrame:
         F.lit("topic"), labels.topic(F.col("source"), F.col("equipmentType")),
         F.lit("schema_ver"), F.lit("v1"),
     )
-    return base.withColumn("value", F.map_filter(values, lambda _, v: v.isNotNull())).withColumn(
-        "metadata", metadata
-    )
+    return base.withColumns({"value": values, "metadata": metadata})
 
 
 class Views:
@@ -317,10 +327,24 @@ class Views:
             staging.ahu(self.stg), staging.chiller(self.stg), self.dim_equipment, self.dim_date, self.dim_time
         )
 
+    @cached_property
+    def readings(self) -> DataFrame:
+        """Machine readings in fact form, without differences."""
+        return facts.machine_readings(
+            staging.machine_readings(self.stg), self.dim_machine, self.dim_date, self.dim_time
+        )
+
     @cached_property
     def energy(self) -> DataFrame:
         return facts.energy(self.stg, self.dim_machine, self.dim_date, self.dim_time)
 
+    def written(self, name: str) -> DataFrame:
+        """A view as a written table, as the model build leaves it for the queries after it."""
+        df = getattr(self, name)
+        path = work_folder(self.spark, name)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     @cached_property
     def production(self) -> DataFrame:
         return facts.production(self.dim_work_order, self.dim_machine, self.runs)

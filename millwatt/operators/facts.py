@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millwatt import constants as C
 from millwatt.functions.clock import minute_of_day, minutes_between
 from millwatt.functions.numeric import NUMERIC
-from millwatt.operators import ordered
+from millwatt.operators import ordered, staging
 from millwatt.operators.joins import with_children
 
 
@@ -87,12 +86,9 @@ def hvac(
 
 
 def machine_readings(
-    stg: DataFrame, dim_machine: DataFrame, dim_date: DataFrame, dim_time: DataFrame
+    readings: DataFrame, dim_machine: DataFrame, dim_date: DataFrame, dim_time: DataFrame
 ) -> DataFrame:
-    """Power and energy readings of known machines, before any difference is taken."""
-    readings = stg.where(F.col("equipment_type").isin(*C.MACHINE_TYPE_ORDER)).select(
-        "time", "msg_id", "device_id", "device_name", "total_power", "total_energy"
-    )
+    """Staged machine readings with the keys of their machine, day and minute."""
     machines = dim_machine.select(
         "machine_key", "machine_id", "machine_type", "building", "building_code", "energy_tag"
     )
@@ -112,18 +108,19 @@ def energy(
 
     ``energy_mode="counter"``: the reading is a running counter; ``delta_kwh`` is the plain
     difference and ``delta_kwh_reset_safe`` takes the current value after a reset. With
-    ``"bucket"`` the reading already is the amount of its interval and both equal it.
+    ``"bucket"`` the reading already is the amount of its interval and both equal it. Differences are
+    taken after the joins; hot devices are found before them, on the staged rows alone.
     """
     if energy_mode not in ("counter", "bucket"):
         raise ValueError(f"unknown energy_mode: {energy_mode}")
-    readings = machine_readings(stg, dim_machine, dim_date, dim_time)
+    staged = staging.machine_readings(stg)
     now = F.col("total_energy")
     if energy_mode == "bucket":
-        seen, delta = readings, now
+        seen, delta = machine_readings(staged, dim_machine, dim_date, dim_time), now
     else:
-        seen = ordered.previous(
-            readings, ["device_id"], ["time", "msg_id"], {"_before": now}, **chunking
-        )
+        cut = ordered.chunked(staged, ["device_id"], "time", **chunking)
+        readings = machine_readings(cut, dim_machine, dim_date, dim_time)
+        seen = ordered.previous(readings, ["device_id"], ["time", "msg_id"], {"_before": now})
         delta = now - F.col("_before")
     delta = delta.cast(NUMERIC)
     return seen.select(

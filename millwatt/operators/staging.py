@@ -54,6 +54,13 @@ def chiller(stg: DataFrame) -> DataFrame:
     )
 
 
+def machine_readings(stg: DataFrame) -> DataFrame:
+    """Power and energy of production machines."""
+    return stg.where(F.col("equipment_type").isin(*C.MACHINE_TYPE_ORDER)).select(
+        "time", "msg_id", "device_id", "device_name", "total_power", "total_energy"
+    )
+
+
 def machines(raw: DataFrame) -> DataFrame:
     """Latest production machine rows by source time."""
     kept = raw.where(F.col("machine_type").isin(*C.MACHINE_TYPE_ORDER))

@@ -191,6 +191,15 @@ def hvac_vs_production(hvac: DataFrame, energy: DataFrame, production: DataFrame
     )
 
 
+def energy_by_building(energy: DataFrame) -> DataFrame:
+    """Energy, mean and greatest power by building, machine type and day."""
+    return energy.groupBy("building", "machine_type", "date_id").agg(
+        F.sum("delta_kwh_reset_safe").alias("kwh"),
+        mean(F.col("total_power")).alias("avg_power"),
+        F.max("total_power").alias("max_power"),
+    )
+
+
 def run_shifts(runs: DataFrame, shifts: DataFrame) -> DataFrame:
     """Units made by shift day and shift."""
     return (

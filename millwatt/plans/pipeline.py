@@ -60,6 +60,20 @@ def write_silver(raw: DataFrame, path: str) -> None:
     by_device(stg).write.mode("overwrite").partitionBy("date").option("compression", "zstd").parquet(path)
 
 
+def refresh_dimensions(
+    spark: SparkSession, master: DataFrame, machines: DataFrame, products: DataFrame, folder: str
+) -> None:
+    """Rewrite equipment, machines and products from their current sources, between two builds."""
+    configure(spark)
+    fresh = {
+        "dim_equipment": dims.equipment(master),
+        "dim_machine": dims.machine(staging.machines(machines)),
+        "dim_product": dims.product(staging.products(products)),
+    }
+    for name, df in fresh.items():
+        df.write.mode("overwrite").option("compression", "zstd").parquet(f"{folder}/gold/{name}")
+
+
 def build(
     spark: SparkSession,
     raw: DataFrame,

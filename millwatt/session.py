@@ -17,6 +17,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
+    # The JVM does not compile methods above 8000 bytes of code. Wide map-to-column projections
+    # exceed that as one stage; past the limit Spark generates them as several small methods.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

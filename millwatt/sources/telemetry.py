@@ -90,6 +90,21 @@ def compact_days(spark: SparkSession, path: str, target: str, before: str, files
     by_device(old, files).write.mode("overwrite").partitionBy("date").option("compression", "zstd").parquet(target)
 
 
+def drop_days(spark: SparkSession, path: str, before: str) -> list[str]:
+    """Delete the day folders of a raw table that are older than ``before``; returns their names."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(f"{path.rstrip('/')}/date=*")
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    dropped = []
+    # One entry per day of the retention range.
+    for status in files.globStatus(root) or []:
+        name = status.getPath().getName()
+        if name.split("=")[1] < before:
+            files.delete(status.getPath(), True)
+            dropped.append(name)
+    return sorted(dropped)
+
+
 def retained(raw: DataFrame, oldest: Column) -> DataFrame:
     """Rows of days from ``oldest`` on; the predicate is on the partition column."""
     return raw.where(F.col("date") >= oldest)

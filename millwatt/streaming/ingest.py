@@ -35,9 +35,14 @@ def start(
 
 def _writer(raw_path: str, quarantine_path: str) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
-        good = landing.land(landing.accepted(batch))
-        by_device(good).write.mode("overwrite").partitionBy("date").parquet(f"{raw_path}/batch_id={batch_id}")
-        bad = landing.quarantined(batch).withColumn("value", F.to_json("value"))
-        bad.write.mode("overwrite").parquet(f"{quarantine_path}/batch_id={batch_id}")
+        # Read three times below: to sample the ranges, to write good rows, to write bad ones.
+        batch.persist()
+        try:
+            good = landing.land(landing.accepted(batch))
+            by_device(good).write.mode("overwrite").partitionBy("date").parquet(f"{raw_path}/batch_id={batch_id}")
+            bad = landing.quarantined(batch).withColumn("value", F.to_json("value"))
+            bad.write.mode("overwrite").parquet(f"{quarantine_path}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     return write

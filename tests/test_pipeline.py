@@ -59,6 +59,14 @@ def test_build_writes_marts_and_passes_its_checks(spark, plant):
     assert states.count() == 0
 
 
+def test_dimensions_are_refreshed_alone(spark, plant):
+    _, master, erp = plant
+    folder = work_folder(spark, "refresh")
+    for _ in range(2):
+        pipeline.refresh_dimensions(spark, master, erp["machines"], erp["products"], folder)
+    assert [spark.read.parquet(f"{folder}/gold/dim_{n}").count() for n in ("equipment", "machine", "product")] == [1, 1, 1]
+
+
 def test_build_fails_on_bad_rows(spark, plant, frame):
     raw, master, erp = plant
     twice = master.unionByName(master.selectExpr("id + 1 as id", *master.columns[1:]))

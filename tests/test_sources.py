@@ -65,6 +65,14 @@ def test_raw_table_by_day(spark, frame):
     assert table(landing.compaction_candidates(back, days=1), "date", "rows", "devices") == [(date(2024, 5, 1), 50, 5)]
 
 
+def test_expired_days_are_dropped(spark, frame):
+    path = work_folder(spark, "drop")
+    telemetry.write_raw(raw_frame(frame), path)
+    assert telemetry.drop_days(spark, path, "2024-05-03") == ["date=2024-05-01", "date=2024-05-02"]
+    assert table(telemetry.read_raw(spark, path).select("date").distinct()) == [(date(2024, 5, 3),)]
+    assert telemetry.drop_days(spark, path, "2024-05-03") == []
+
+
 def test_time_range_prunes_days(spark, frame):
     path = work_folder(spark, "prune")
     telemetry.write_raw(raw_frame(frame), path)

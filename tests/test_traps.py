@@ -233,6 +233,18 @@ def test_json_forms(spark):
     assert json.loads(got.d) == {"building": "b", "equipmentType": "t", "name": "d"} and json.loads(got.m) == {"a": "x"}
 
 
+def test_named_sql_functions(spark):
+    from millwatt.functions import sql
+
+    sql.register(spark)
+    sql.register(spark)
+    got = spark.sql(
+        "SELECT map_to_json(map('a', 1.5D)) v, map_to_json(NULL) n, meta_to_json(map('k', 'x')) m, build_dims('b', 't', 'd') d"
+    ).first()
+    assert json.loads(got.v) == {"a": 1.5} and got.n == "{}" and json.loads(got.m) == {"k": "x"}
+    assert json.loads(got.d) == {"building": "b", "equipmentType": "t", "name": "d"}
+
+
 def test_topics(frame):
     pairs = [("bms", kind, topic) for kind, topic in C.BMS_TOPICS.items()]
     pairs += [("ems", kind, topic) for kind, topic in C.EMS_TOPICS.items()]
