@@ -498,6 +498,9 @@ SQL["register_decode"] = f"""
 SELECT event_id, {n(single('k * 3 + 16000', 'event_id % 65536'), 'total_power')},
   {n(single('k + 49000', 'event_id * 7 % 65536'), 'total_energy')} FROM ev"""
 
+SQL["register_round_trip"] = f"""
+SELECT msg_id, metric, {n('CAST(reading AS FLOAT)', 'first')}, {n('CAST(-reading / 3 AS FLOAT)', 'second')} FROM longm"""
+
 SQL["ingest_stream"] = """
 SELECT CAST(time AS DATE) AS date, source, count(*) AS records, max(time) AS newest FROM ev GROUP BY 1, 2"""
 

@@ -639,6 +639,16 @@ def register_decode(v: Views) -> DataFrame:
     )
 
 
+@query
+def register_round_trip(v: Views) -> DataFrame:
+    """Readings written to registers and read back lose what a single cannot hold, no more."""
+    reading = F.col("reading")
+    block = registers.encode_block(F.array(reading, -reading / 3))
+    written = signals.long_metrics(v.raw).withColumn("block", block)
+    read = written.withColumn("back", registers.decode_block(F.col("block")))
+    return read.select("msg_id", "metric", F.col("back")[0].alias("first"), F.col("back")[1].alias("second"))
+
+
 # Streams, each run to the end of its input.
 
 

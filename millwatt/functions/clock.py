@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -30,3 +30,18 @@ def shift_date(time: Column, start: Column, end: Column) -> Column:
     """Day a shift belongs to: after midnight it is still the day the shift began."""
     day = F.to_date(time)
     return F.when((start > end) & (F.hour(time) < end), F.date_sub(day, 1)).otherwise(day)
+
+
+def newest_time(df: DataFrame) -> Column:
+    """Time of the newest row, as a scalar subquery; a table by day is read for its last day only."""
+    if "date" in df.columns:
+        df = df.where(F.col("date") == df.agg(F.max("date").alias("d")).scalar())
+    return df.agg(F.max("time").alias("t")).scalar()
+
+
+def since(df: DataFrame, limit: Column) -> Column:
+    """Condition ``time >= limit``, also on the day column of a table by day so that days are pruned."""
+    inside = F.col("time") >= limit
+    if "date" in df.columns:
+        inside = inside & (F.col("date") >= F.to_date(limit))
+    return inside

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millwatt import constants as C
 from millwatt.functions import labels, maps
+from millwatt.functions.clock import newest_time, since
 
 REQUIRED_DIMENSIONS = ("deviceId", "source", "equipmentType", "building")
 
@@ -89,14 +90,14 @@ def content_id(events: DataFrame) -> DataFrame:
 
 def newest_day(raw: DataFrame, days: int) -> Column:
     """Day ``days`` before the newest row, as a scalar subquery."""
-    return raw.agg(F.date_sub(F.max(F.to_date("time")), days).alias("d")).scalar()
+    return F.date_sub(F.to_date(newest_time(raw)), days)
 
 
 def within_retention(raw: DataFrame, days: int = C.RETAIN_DAYS, as_of: Column | None = None) -> DataFrame:
     """Rows kept by the retention rule: not older than ``days`` before ``as_of`` (newest row)."""
     if as_of is None:
-        as_of = raw.agg(F.max("time").alias("t")).scalar()
-    return raw.where(F.col("time") >= as_of - F.expr(f"INTERVAL {int(days)} DAYS"))
+        as_of = newest_time(raw)
+    return raw.where(since(raw, as_of - F.expr(f"INTERVAL {int(days)} DAYS")))
 
 
 def compaction_candidates(raw: DataFrame, days: int = C.COMPACT_AFTER_DAYS) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millwatt import constants as C
+from millwatt.functions.clock import newest_time
 
 
 @dataclass(frozen=True)
@@ -188,7 +189,7 @@ def contract(
     tells whether the type's newest reading is older than ``stale_after_minutes``.
     """
     if as_of is None:
-        as_of = raw.agg(F.max("time").alias("t")).scalar()
+        as_of = newest_time(raw)
     readings = raw.select("time", F.col("dimensions")["equipmentType"].alias("equipment_type"), "value")
     ruled = readings.join(F.broadcast(rules), "equipment_type")
     reading = F.col("value")[F.col("metric")]

@@ -5,17 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millwatt.functions.clock import newest_time, since
 from millwatt.functions.numeric import mean
 
 
-def recent(df: DataFrame, hours: int = 24, as_of: Column | None = None, time: str = "time") -> DataFrame:
+def recent(df: DataFrame, hours: int = 24, as_of: Column | None = None) -> DataFrame:
     """Rows of the last ``hours`` before ``as_of`` (the newest row).
 
     The limit is a scalar subquery or a literal, so it reaches the scan as a plain comparison.
     """
     if as_of is None:
-        as_of = df.agg(F.max(time).alias("t")).scalar()
-    return df.where(F.col(time) >= as_of - F.expr(f"INTERVAL {int(hours)} HOURS"))
+        as_of = newest_time(df)
+    return df.where(since(df, as_of - F.expr(f"INTERVAL {int(hours)} HOURS")))
 
 
 def between_time(df: DataFrame, start: str, end: str) -> DataFrame:

@@ -78,7 +78,9 @@ def write_raw(raw: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.RAW_TELEMETRY).parquet(path)
+    """Raw rows of a folder, whether days lie in it or in the batch folders of the landing stream."""
+    rows = spark.read.schema(schemas.RAW_TELEMETRY).parquet(path)
+    return rows.select("time", "value", "dimensions", "metadata", "device_id", "source", "date")
 
 
 def compact_days(spark: SparkSession, path: str, target: str, before: str, files: int) -> None:

@@ -82,6 +82,18 @@ def test_time_range_prunes_days(spark, frame):
     assert df.count() == 10
 
 
+def test_recent_rows_prune_days_and_match(spark, frame):
+    path = work_folder(spark, "recent")
+    raw = raw_frame(frame)
+    telemetry.write_raw(raw, path)
+    stored = telemetry.read_raw(spark, path)
+    df = panels.recent(stored, hours=24)
+    assert df.count() == panels.recent(raw.drop("date"), hours=24).count() == 51
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "FileScan" in line)
+    assert "PartitionFilters: [isnotnull(date" in scan and "Subquery" in scan
+
+
 def test_silver_scan_reads_needed_columns_only(spark, frame):
     from millwatt.operators import staging
 

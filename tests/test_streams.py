@@ -44,6 +44,7 @@ def test_landing_keeps_late_rows_and_sets_bad_ones_aside(spark, frame, folder):
     run()
     run()
     assert table(spark.read.parquet(raw), "device_id", "value") == [("a", {"x": 1.0}), ("b", {"y": 2.0})]
+    assert telemetry.read_raw(spark, raw).columns[-1] == "date" and telemetry.read_raw(spark, raw).count() == 2
     assert table(spark.read.parquet(bad), "reason") == [("bad value: x",), ("missing deviceId",)]
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import random
 import struct
 from datetime import date, datetime, timedelta
 from decimal import Decimal
@@ -282,6 +283,18 @@ def test_registers_decode_like_ieee(frame):
     assert got[0] == [float("inf")] and got[1] == [float("-inf")] and got[2][0] != got[2][0] and got[3] == []
 
 
+def test_registers_encode_like_ieee(frame):
+    rng = random.Random(3)
+    values = [0.0, -0.0, 1.0, -1.0, 2.0, 0.1, 3.4e38, -1.17549435e-38, 1e-42, 1.4e-45, float("inf"), float("-inf"), 16777217.0]
+    values += [rng.uniform(-1, 1) * 10 ** rng.randrange(-40, 38) for _ in range(300)]
+    values += [2.0**e for e in range(-149, 128)] + [float(struct.unpack(">f", struct.pack(">f", 2.0**e * (2 - 2**-23)))[0]) for e in range(-126, 128)]
+    df = frame(list(enumerate(values)), "i int, v double").select("i", registers.encode_block(F.array("v")).alias("w"))
+    for r in df.collect():
+        assert r.w == words(values[r.i]), values[r.i]
+    block = frame([([1.5, -2.25],), ([],), (None,)], "v array<double>").select(registers.encode_block(F.col("v")).alias("b"))
+    assert [r.b for r in block.collect()] == [words(1.5) + words(-2.25), [], None]
+
+
 def test_register_keys_stop_at_a_short_block(frame):
     df = frame([(words(1.0), ["a", "b"])], "r array<int>, k array<string>")
     assert df.select(registers.decode_metrics(F.col("r"), F.col("k"))).first()[0] == {"a": 1.0}
