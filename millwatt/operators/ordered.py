@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CHUNK = "_chunk"
-MAX_CHUNK_ROWS = 2_000_000
+MAX_CHUNK_ROWS = 1_000_000
 # A large key's rows are counted in this many equal parts of its time line to find its density.
 PARTS = 1000
 

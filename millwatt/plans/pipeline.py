@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millwatt import constants as C
-from millwatt.operators import dims, facts, quality, staging
+from millwatt.operators import dims, facts, landing, quality, staging
 from millwatt.session import configure
 from millwatt.sources.telemetry import by_device
 
@@ -55,8 +55,11 @@ def models(
 
 
 def write_silver(raw: DataFrame, path: str) -> None:
-    """Typed staging rows by day, so marts and panels read single columns instead of maps."""
-    stg = staging.telemetry(raw).withColumn("date", F.to_date("time"))
+    """Typed staging rows by day, so marts and panels read single columns instead of maps.
+
+    Replayed messages are removed here; the raw table keeps them.
+    """
+    stg = staging.telemetry(landing.dedupe(raw)).withColumn("date", F.to_date("time"))
     by_device(stg).write.mode("overwrite").partitionBy("date").option("compression", "zstd").parquet(path)
 
 

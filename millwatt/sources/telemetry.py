@@ -65,11 +65,13 @@ def by_device(raw: DataFrame, files: int | None = None) -> DataFrame:
     """Rows cut into even ranges of day, device and time, each sorted by device, newest first.
 
     Ranges follow the data, so a busy day or device is split over several tasks, and every file
-    covers few devices, which lets its statistics prune.
+    covers few devices, which lets its statistics prune. Rows alike in all three, such as copies of
+    one message, are told apart by the input partition they come from.
     """
-    columns = ["date", "device_id", "time"]
-    ranged = raw.repartitionByRange(files, *columns) if files else raw.repartitionByRange(*columns)
-    return ranged.sortWithinPartitions("date", "device_id", F.col("time").desc())
+    placed = raw.withColumn("_from", F.spark_partition_id())
+    columns = ["date", "device_id", "time", "_from"]
+    ranged = placed.repartitionByRange(files, *columns) if files else placed.repartitionByRange(*columns)
+    return ranged.sortWithinPartitions("date", "device_id", F.col("time").desc()).drop("_from")
 
 
 def write_raw(raw: DataFrame, path: str, mode: str = "append") -> None:

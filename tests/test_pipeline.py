@@ -24,6 +24,7 @@ def plant(spark, frame):
 
     events = [event("B-1", "AHU", m, {"Supply_Temp": 14.0, "Return_Temp": 20.0 + m}, "bms") for m in range(3)]
     events += [event("M-1", "CNC", m, {"totalPower": 5.0, "totalEnergy": 10.0 + m}, "ems") for m in range(4)]
+    events += events[:2] + events[-1:]  # replays
     raw = landing.land(frame(events, schemas.TELEMETRY_EVENT))
     master = frame(
         [(1, "A-01", "AHU", "Building-Alpha", "BA", "E-1", "B-1", "1", None, None, None, None)], schemas.MACHINE_MASTER

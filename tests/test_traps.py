@@ -209,6 +209,12 @@ def test_t17_building_codes(raw):
 def test_t18_replays_are_removed(raw):
     copies = [raw_row("a", "AHU", {"x": 1.0}, msg="7") for _ in range(5)] + [raw_row("a", "AHU", {"x": 1.0}, msg="8")]
     assert landing.dedupe(raw(*copies)).count() == 2
+    later = raw_row("a", "AHU", {"x": 2.0}, NOON + timedelta(minutes=1), msg="7")
+    unnamed = [raw_row("a", "AHU", {"x": 9.0}, msg=None) for _ in range(2)]
+    got = landing.dedupe(raw(later, *copies, *unnamed))
+    assert table(got, F.col("metadata")["msgId"], "value") == [
+        (None, {"x": 9.0}), (None, {"x": 9.0}), ("7", {"x": 1.0}), ("8", {"x": 1.0})
+    ]
 
 
 def test_content_id_is_stable(frame):
