@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millwatt.operators import changes, ordered
+from millwatt.sources.files import delete_folder, exists, numbered_folders, or_empty
 
 ORDER = ("__source_ts_ms", "__lsn")
 
@@ -45,21 +46,27 @@ class ChangeTable:
         """Write a base that covers all batches so far; returns the last batch id it covers."""
         listed = self._read(f"{self.folder}/changes", f"{self.schema}, batch_id bigint")
         newest = listed.agg(F.max("batch_id")).first()[0]
-        if newest is None:
-            return -1
+        if newest is None or newest <= self._base_upto():
+            return self._base_upto()
         state = self.current(keep_deleted=True)
         state.write.mode("overwrite").parquet(f"{self.folder}/base/upto={newest}")
         return newest
 
+    def clean(self) -> None:
+        """Remove batches and bases that the newest base covers; run it when no reader is on them."""
+        upto = self._base_upto()
+        for number, folder in numbered_folders(self.spark, f"{self.folder}/changes/batch_id=*").items():
+            if number <= upto:
+                delete_folder(self.spark, folder)
+        for number, folder in numbered_folders(self.spark, f"{self.folder}/base/upto=*").items():
+            if number < upto:
+                delete_folder(self.spark, folder)
+
     def _base_upto(self) -> int:
-        """Greatest batch id covered by a base that was written to its end."""
-        pattern = f"{self.folder}/base/upto=*/_SUCCESS"
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
-        path = hadoop.Path(pattern)
-        found = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(path) or []
-        return max((int(f.getPath().getParent().getName().split("=")[1]) for f in found), default=-1)
+        """Greatest batch id covered by a base that was written to its end, -1 without one."""
+        bases = numbered_folders(self.spark, f"{self.folder}/base/upto=*")
+        whole = [n for n in bases if exists(self.spark, f"{bases[n]}/_SUCCESS")]
+        return max(whole, default=-1)
 
     def _read(self, path: str, schema: str) -> DataFrame:
-        from millwatt.sources.files import or_empty
-
         return or_empty(self.spark, lambda: self.spark.read.schema(schema).parquet(path), schema)

@@ -58,3 +58,21 @@ def erp_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return or_empty(
         spark, lambda: spark.read.option("mergeSchema", True).parquet(f"{folder}/{name}"), schema
     )
+
+
+def numbered_folders(spark: SparkSession, pattern: str) -> dict[int, str]:
+    """Folders named ``<name>=<number>`` that match ``pattern``, by number."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    paths = [status.getPath() for status in found]
+    return {int(p.getName().split("=")[1]): p.toString() for p in paths}
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def exists(spark: SparkSession, name: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)

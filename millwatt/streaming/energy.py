@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millwatt.functions.numeric import NUMERIC
 from millwatt.operators import signals
-from millwatt.sources.files import empty
+from millwatt.sources.files import delete_folder, empty, numbered_folders
 
 STATE = f"device_id string, last_time timestamp, total_work {signals.WORK}"
 
@@ -90,5 +90,9 @@ def _writer(out: str) -> Callable[[DataFrame, int], None]:
         late.write.mode("overwrite").parquet(f"{out}/late/batch_id={batch_id}")
         written = spark.read.schema(totals.schema).parquet(target)
         next_state(state, written).write.mode("overwrite").parquet(f"{out}/state/batch_id={batch_id}")
+        # A repeated batch needs the rows of the one before; older ones are of no use.
+        for number, folder in numbered_folders(spark, f"{out}/state/batch_id=*").items():
+            if number < batch_id - 1:
+                delete_folder(spark, folder)
 
     return write

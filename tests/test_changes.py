@@ -81,8 +81,15 @@ def test_change_table_replays_and_compacts(spark, frame):
     assert table(table_.current(), "id", "status") == [(1, "b"), (3, "n")]
     table_.append(frame([(1, "late", "u", 1, 0, "false"), (2, "back", "c", 9, 9, "false")], LOG), 2)
     assert table(table_.current(), "id", "status") == [(1, "b"), (2, "back"), (3, "n")]
-    assert table_.compact() == 2
+    assert table_.compact() == 2 and table_.compact() == 2
+    assert table(table_.current(), "id", "status") == [(1, "b"), (2, "back"), (3, "n")]
+    table_.clean()
     assert table(table_.current(), "id", "status") == [(1, "b"), (2, "back"), (3, "n")]
+    assert table_.compact() == 2
+    table_.append(frame([(5, "x", "c", 20, 20, "false")], LOG), 3)
+    assert table(table_.current(), "id") == [(1,), (2,), (3,), (5,)]
+    assert table_.compact() == 3
+    assert table(table_.current(), "id") == [(1,), (2,), (3,), (5,)]
 
 
 def test_missing_table_is_typed_and_empty(spark):

@@ -12,6 +12,7 @@ from millwatt import schemas
 from millwatt.operators import signals
 from millwatt.session import work_folder
 from millwatt.sources import telemetry
+from millwatt.sources.files import numbered_folders
 from millwatt.streaming import energy, ingest, windows
 
 START = datetime(2024, 5, 1)
@@ -114,3 +115,4 @@ def test_energy_over_batches_equals_one_batch(spark, frame, folder):
     whole = signals.integrate_energy(frame([*rows, ("d9", START, "new", 1.0)], READING))
     assert table(got, "device_id", "msg_id", "total_kwh") == table(whole, "device_id", "msg_id", "total_kwh")
     assert table(spark.read.parquet(f"{out}/late"), "msg_id") == [("late",)]
+    assert sorted(numbered_folders(spark, f"{out}/state/batch_id=*")) == [2, 3]
