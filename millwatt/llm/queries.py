@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, rules, urls
+from . import language, mixing, quality, rules, urls
 from .stage import table
 
 
@@ -14,6 +14,23 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = quality.score(docs, quality.fit(docs, labels))
+    return scored.select(
+        "doc_id",
+        quality.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language.identify(docs.select("doc_id", "text"), language.fit(docs))
+    return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return urls.judge(pages).select("page_id", "host", "path", "rule", "verdict")
@@ -25,5 +42,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(docs, trusted)
 
 
-QUERIES = {f.__name__: f for f in (op3_mixing, op9_url_filter, op10_quality_rules)}
+QUERIES = {
+    f.__name__: f
+    for f in (op3_mixing, op7_quality_classifier, op8_language, op9_url_filter, op10_quality_rules)
+}
 SQL: dict[str, str] = {}

@@ -124,7 +124,7 @@ BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
 def judge(
-    docs: DataFrame, trusted: DataFrame, threshold: float = -0.5, bound: int = 20_000
+    docs: DataFrame, trusted: DataFrame, threshold: float = -0.1, bound: int = 20_000
 ) -> DataFrame:
     """The base statistics, ``base_failed``, ``score`` and ``kept`` of every document."""
     model = F.broadcast(ratios(docs, trusted, bound))  # at most BUCKETS rows of 12 bytes

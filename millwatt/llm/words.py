@@ -71,10 +71,10 @@ class Words:
         return np.repeat(np.arange(len(self)), np.diff(self.bounds))
 
 
-def chunks(texts: pa.Array, size: int = 1 << 21) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def chunks(texts: pa.Array, size: int = 1 << 21, most: int = 1 << 30) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Pieces of a string array: first row, bytes, and bounds of the rows in them.
 
-    A piece has whole texts of ``size`` bytes together, or one longer text. Null counts as empty.
+    A piece has whole texts, ``most`` of them and ``size`` bytes together, or one longer text. Null counts as empty.
     """
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
@@ -84,7 +84,7 @@ def chunks(texts: pa.Array, size: int = 1 << 21) -> Iterator[tuple[int, np.ndarr
     data = np.frombuffer(raw, np.uint8) if raw is not None and raw.size else np.zeros(0, np.uint8)
     row = 0
     while row < len(texts):
-        last = max(row + 1, int(np.searchsorted(at, at[row] + size, "right")) - 1)
+        last = max(row + 1, min(row + most, int(np.searchsorted(at, at[row] + size, "right")) - 1))
         yield row, data[at[row] : at[last]], at[row : last + 1] - at[row]
         row = last
 
