@@ -20,7 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .stage import sampled
+from .stage import sampled, written
 from .words import BLANK_CHARS, words
 
 BUCKETS = 1 << 16
@@ -57,6 +57,7 @@ def ratios(docs: DataFrame, trusted: DataFrame, bound: int = 20_000, shrink: flo
         .groupBy("bucket")
         .agg(F.sum("t").alias("seen"), F.count("*").alias("raw"))
     )
+    counts = written(counts, "rules-counts")  # used twice; at most BUCKETS rows
     totals = counts.agg(F.sum("seen").alias("all_seen"), F.sum("raw").alias("all_raw"))
     prior = shrink * BUCKETS
     return counts.crossJoin(F.broadcast(totals)).select(  # totals is one row
@@ -67,8 +68,8 @@ def ratios(docs: DataFrame, trusted: DataFrame, bound: int = 20_000, shrink: flo
     )
 
 
-def _repeated_words(hashes: Column) -> tuple[Column, Column]:
-    """Windows of a text, and a function of them: words in windows that occur twice or more."""
+def _windows(hashes: Column) -> Column:
+    """A hash of every ``WINDOW`` consecutive words."""
     return F.transform(
         F.slice(hashes, 1, F.greatest(F.size(hashes) - (WINDOW - 1), F.lit(0))),
         lambda h, i: F.xxhash64(h, *[F.get(hashes, i + k) for k in range(1, WINDOW)]),
@@ -95,7 +96,7 @@ def measure(docs: DataFrame) -> DataFrame:
         "word_chars",
         "n_symbols",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        _repeated_words(F.col("hashes")).alias("windows"),
+        _windows(F.col("hashes")).alias("windows"),
     )
     order = F.when(
         F.size(F.array_distinct("windows")) < F.size("windows"),
