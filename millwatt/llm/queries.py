@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, mixing, quality, rules, substring, toxicity, urls
+from . import language, minhash, mixing, quality, rules, substring, toxicity, urls
 from .stage import table
 
 
@@ -20,6 +20,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.dedup(table(spark, sf_dir, "documents"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -60,6 +64,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_toxicity, op3_mixing, op6_substring_dedup, op7_quality_classifier, op8_language, op9_url_filter, op10_quality_rules)
+    for f in (op1_toxicity, op2_minhash, op3_mixing, op6_substring_dedup, op7_quality_classifier, op8_language, op9_url_filter, op10_quality_rules)
 }
 SQL: dict[str, str] = {}
