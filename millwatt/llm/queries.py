@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, linededup, minhash, mixing, quality, rules, substring, toxicity, urls
+from . import decontam, language, linededup, minhash, mixing, quality, rules, substring, toxicity, urls
 from .stage import table
 
 
@@ -33,6 +33,11 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.report(table(spark, sf_dir, "documents"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "contaminated", "n_items", F.array_join(F.col("items").cast("array<string>"), ",").alias("items"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return substring.dedup(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -68,6 +73,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_toxicity, op2_minhash, op3_mixing, op4_line_dedup, op6_substring_dedup, op7_quality_classifier, op8_language, op9_url_filter, op10_quality_rules)
+    for f in (op1_toxicity, op2_minhash, op3_mixing, op4_line_dedup, op5_decontamination, op6_substring_dedup, op7_quality_classifier, op8_language, op9_url_filter, op10_quality_rules)
 }
 SQL: dict[str, str] = {}
