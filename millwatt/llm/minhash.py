@@ -6,10 +6,11 @@ with the probability of their Jaccard similarity. Four values from four function
 a band are candidates. At similarity 0.75 all 48 bands differ with probability 1e-8.
 
 Documents with equal sets are one class and go on as its smallest id. In each band bucket every class is compared with
-the smallest one of the bucket, exactly, on full sets. Links give components; where a bucket still
-holds several components, their members are compared across components, also exactly, until no bucket has a
-pair that was not compared or is not connected: first against the smallest member of each component of the bucket, then all
-pairs left. So no link is lost in a bucket, and a large group of near copies costs a link for each member, not for each pair.
+the smallest one of the bucket, exactly, on full sets. Links give components. Where a bucket still holds several
+components, its classes are dealt to blocks of bounded size and blocks are laid side by side: whole signatures (one byte
+a value) are compared across components inside the task, and pairs whose estimate comes within four standard errors of
+the threshold are compared exactly as well. So a large group of near copies costs a link for each member and not for each
+pair, and documents that merely share a passage are told apart by their signatures without a row for each pair.
 
 Defined results: words are lower-cased in A-Z and split at ``[\\x20\\x09-\\x0D]+``; a text with fewer words than a shingle is
 one shingle; a null, empty or blank text has none, is linked with nothing and stays; rows with one id are one document
@@ -32,9 +33,11 @@ from .words import Words, mix, rolling, tokenise
 
 SHINGLE = 5
 PERCENT = 75
-FUNCTIONS = 96
+FUNCTIONS = 128
 BAND = 4
-BANDS = 2 * FUNCTIONS // BAND
+BANDS = 48  # of the first 96 functions
+BLOCK = 512  # classes of a bucket that are laid beside others at a time
+SLACK = 0.11  # four standard errors of an estimate from 256 values at similarity 0.75
 _random = np.random.default_rng(20)
 _MULTIPLIERS = _random.integers(0, 1 << 63, FUNCTIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _OFFSETS = _random.integers(0, 1 << 63, FUNCTIONS, dtype=np.uint64)
@@ -75,30 +78,39 @@ def _digests(sets: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return mix(one + np.diff(bounds).astype(np.uint64)).view(np.int64), mix(two).view(np.int64)
 
 
-def _bands(sets: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """A row of band hashes for each set that is not empty."""
+def _signatures(sets: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Least and greatest values, a row for each set that is not empty."""
     starts = bounds[:-1][np.diff(bounds) > 0]
-    low = np.empty((FUNCTIONS, len(starts)), np.uint64)
-    high = np.empty_like(low)
+    out = np.empty((2, FUNCTIONS, len(starts)), np.uint64)
     for k in range(FUNCTIONS):
         v = sets * _MULTIPLIERS[k] + _OFFSETS[k]
         v ^= v >> np.uint64(32)
         v *= np.uint64(0xD6E8FEB86659FD93)
-        low[k] = np.minimum.reduceat(v, starts)
-        high[k] = np.maximum.reduceat(v, starts)
+        out[0, k] = np.minimum.reduceat(v, starts)
+        out[1, k] = np.maximum.reduceat(v, starts)
+    return out
+
+
+def _bands(values: np.ndarray) -> np.ndarray:
+    """Band hashes; a band takes its values from ``BAND`` functions."""
     half = BANDS // 2
-    out = np.empty((BANDS, len(starts)), np.uint64)
-    for values, first in ((low, 0), (high, half)):
+    out = np.empty((BANDS, values.shape[2]), np.uint64)
+    for side in (0, 1):
         for band in range(half):
-            key = np.full(len(starts), first + band + 1, np.uint64)
+            key = np.full(values.shape[2], side * half + band + 1, np.uint64)
             for r in range(BAND):
-                key = mix(key ^ values[band * BAND + r])
-            out[first + band] = key
+                key = mix(key ^ values[side, band * BAND + r])
+            out[side * half + band] = key
     return out.T.view(np.int64)
 
 
+def _bytes(values: np.ndarray) -> np.ndarray:
+    """A byte of each value."""
+    return np.ascontiguousarray((mix(values.reshape(2 * FUNCTIONS, -1)) >> np.uint64(56)).astype(np.uint8).T)
+
+
 def signatures(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, d1, d2, bands``: size, digest of the set (its class) and band hashes."""
+    """``doc_id, n_shingles, d1, d2, bands, values``: size, digest of the set (its class), band hashes, a byte of each value."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
@@ -107,16 +119,20 @@ def signatures(docs: DataFrame) -> DataFrame:
                 sets, bounds = shingle_sets(tokens)
                 sizes = np.diff(bounds)
                 d1, d2 = _digests(sets, bounds)
-                rows = _bands(sets, bounds) if len(sets) else np.zeros((0, BANDS), np.int64)
+                values = _signatures(sets, bounds) if len(sets) else np.zeros((2, FUNCTIONS, 0), np.uint64)
+                rows, short = _bands(values), _bytes(values)
+                some = iter(short)
+                sketches = pa.array([next(some).tobytes() if n else None for n in sizes], pa.binary())
                 lists = pa.ListArray.from_arrays(
                     np.concatenate([[0], np.cumsum((sizes > 0) * BANDS)]).astype(np.int32), pa.array(rows.ravel())
                 )
                 ids = batch.column("doc_id").slice(tokens.first, len(tokens))
                 yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array(sizes.astype(np.int64)), pa.array(d1), pa.array(d2), lists], names=["doc_id", "n_shingles", "d1", "d2", "bands"]
+                    [ids, pa.array(sizes.astype(np.int64)), pa.array(d1), pa.array(d2), lists, sketches],
+                    names=["doc_id", "n_shingles", "d1", "d2", "bands", "values"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_shingles long, d1 long, d2 long, bands array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_shingles long, d1 long, d2 long, bands array<long>, values binary")
 
 
 def _packed(docs: DataFrame) -> DataFrame:
@@ -177,6 +193,82 @@ def _widened(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return pairs.join(ends[0], "a").join(ends[1], "b")
 
 
+def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Rows with equal keys, from sorted batches. A group has two blocks at most."""
+    rest: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        whole = pa.Table.from_batches([*rest, batch]).combine_chunks()
+        columns = [whole.column(k).to_numpy() for k in keys]
+        change = np.zeros(whole.num_rows, bool)
+        for c in columns:
+            change[1:] |= c[1:] != c[:-1]
+        cuts = [0, *np.flatnonzero(change).tolist()]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            yield whole.slice(a, b - a)
+        rest = whole.slice(cuts[-1]).to_batches()
+    if rest:
+        yield pa.Table.from_batches(rest)
+
+
+def _across(percent: int):
+    """Pairs of different components whose signatures come near the threshold, each in the first band that they share."""
+    least = percent / 100 - SLACK
+    needed = int(np.ceil(2 * FUNCTIONS * (least + (1 - least) / 256)))
+
+    def run(batches):
+        for group in _groups(batches, ["band", "value", "i", "j"]):
+            if group.num_rows < 2:
+                continue
+            rep, component = group.column("rep").to_numpy(), group.column("component").to_numpy()
+            block, band = group.column("block").to_numpy(), group.column("band")[0].as_py()
+            i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
+            if (component == component[0]).all():
+                continue
+            values = np.frombuffer(b"".join(group.column("values").to_pylist()), np.uint8).reshape(len(rep), -1)
+            bands = np.array(group.column("bands").to_pylist(), np.int64)
+            for x in np.flatnonzero(block == i).tolist():
+                other = np.flatnonzero((component != component[x]) & (block == j) & ((rep > rep[x]) | (i != j)))
+                if not len(other):
+                    continue
+                near = other[(values[other] == values[x]).sum(1) >= needed]
+                near = near[(bands[near, :band] != bands[x, :band]).all(1)]
+                if len(near):
+                    a, b = np.maximum(rep[near], rep[x]), np.minimum(rep[near], rep[x])
+                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    return run
+
+
+def across(members: DataFrame, classes: DataFrame, found: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Likely links between components within the buckets of ``members`` (``band, value, rep``)."""
+    bucket = ["band", "value"]
+    placed = members.join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
+        *bucket, "rep", F.coalesce("component", "rep").alias("component")
+    )
+    sizes = (
+        placed.groupBy(*bucket)
+        .agg(F.count("*").alias("size"), F.min("component").alias("low"), F.max("component").alias("high"))
+        .where("low <> high")
+        .select(*bucket, F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+    )
+    block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    beside = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    laid = (
+        placed.join(sizes, bucket)
+        .withColumn("block", block)
+        .withColumn("with", beside)
+        .withColumn("i", F.least("block", "with"))
+        .withColumn("j", F.greatest("block", "with"))
+        .drop("with", "blocks")
+        .join(classes.select("rep", "bands", "values"), "rep")
+    )
+    kind = members.schema["rep"].dataType.simpleString()
+    key = [*bucket, "i", "j"]
+    return laid.repartition(*key).sortWithinPartitions(*key).mapInArrow(_across(percent), f"a {kind}, b {kind}")
+
+
 def dedup(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``."""
     docs = docs.select("doc_id", "text")
@@ -184,7 +276,7 @@ def dedup(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     classes = written(
         signed.where("n_shingles > 0 and doc_id is not null")
         .groupBy("d1", "d2")
-        .agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")),
+        .agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("values").alias("values")),
         "minhash-classes",
     )
     members = classes.select("rep", F.posexplode("bands").alias("band", "value"))
@@ -194,35 +286,12 @@ def dedup(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
     in_buckets = written(members.join(shared, ["band", "value"]).select("band", "value", "rep", "leader"), "minhash-members")
     packed = _packed(docs)
-    pairs = written(in_buckets.where("rep <> leader").select(F.col("rep").alias("a"), F.col("leader").alias("b")).distinct(), "minhash-pairs")
-    # Ids that stand for several sets (repeated ids) connect them without a text.
+    pairs = in_buckets.where("rep <> leader").select(F.col("rep").alias("a"), F.col("leader").alias("b")).distinct()
     links = written(confirmed(_widened(pairs, classes), packed, percent), "minhash-links")
-    for step in ("leaders", "all"):
-        found = written(components(links), "minhash-components")
-        placed = in_buckets.join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
-            "band", "value", "rep", F.coalesce("component", "rep").alias("component")
-        )
-        open_buckets = (
-            placed.groupBy("band", "value")
-            .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-            .where("low <> high")
-            .select("band", "value")
-        )
-        left = written(placed.join(open_buckets, ["band", "value"]), "minhash-open")
-        others = left.select("band", "value", F.col("rep").alias("b"), F.col("component").alias("other"))
-        if step == "leaders":
-            others = others.groupBy("band", "value", "other").agg(F.min("b").alias("b"))
-        across = (
-            left.join(others, ["band", "value"])
-            .where("component <> other")
-            .select(F.greatest("rep", "b").alias("a"), F.least("rep", "b").alias("b"))
-            .distinct()
-        )
-        new = written(across.join(pairs, ["a", "b"], "left_anti"), "minhash-pairs")
-        if new.isEmpty():
-            break
-        pairs = pairs.unionByName(new)
-        links = links.unionByName(written(confirmed(_widened(new, classes), packed, percent), "minhash-links"))
+    found = written(components(links), "minhash-components")
+    more = written(across(in_buckets, classes, found, percent), "minhash-across")
+    links = links.unionByName(written(confirmed(_widened(more, classes), packed, percent), "minhash-links"))
+    # An id that stands for several sets connects them.
     same_id = (
         signed.where("n_shingles > 0 and doc_id is not null").groupBy("doc_id").agg(F.min("d1").alias("x"), F.max("d1").alias("y")).where("x <> y")
     )
@@ -230,7 +299,7 @@ def dedup(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     links = links.unionByName(reps.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
     found = components(links)
     labelled = (
-        signed.drop("bands")
+        signed.drop("bands", "values")
         .join(classes.select("d1", "d2", "rep"), ["d1", "d2"], "left")
         .withColumn("rep", F.when(F.col("n_shingles") > 0, F.col("rep")).otherwise(F.col("doc_id")))
         .join(found.withColumnRenamed("id", "rep"), "rep", "left")
