@@ -155,7 +155,8 @@ def repeated(docs: DataFrame) -> DataFrame:
     repeats. ``docs`` has ``doc_id, digest, text``.
     """
     anchors = _anchors(docs)
-    twice = anchors.groupBy("short").count().where("count > 1").select("short")
+    # Written first, so that both sides of the join are plain exchanges and Spark can split a hot anchor.
+    twice = written(anchors.groupBy("short").count().where("count > 1").select("short"), "substring-twice")
     kept = written(anchors.join(twice, "short"), "substring-9")
     key = ["short", "span"]
     spans = written(
