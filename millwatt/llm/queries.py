@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, language, linededup, minhash, mixing, quality, rules, substring, toxicity, urls
+from . import decontam, language, linededup, minhash, mixing, quality, rules, sql, substring, toxicity, urls
 from .stage import table
 
 
@@ -73,6 +73,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_toxicity, op2_minhash, op3_mixing, op4_line_dedup, op5_decontamination, op6_substring_dedup, op7_quality_classifier, op8_language, op9_url_filter, op10_quality_rules)
+    for f in (
+        op1_toxicity,
+        op2_minhash,
+        op3_mixing,
+        op4_line_dedup,
+        op5_decontamination,
+        op6_substring_dedup,
+        op7_quality_classifier,
+        op8_language,
+        op9_url_filter,
+        op10_quality_rules,
+    )
 }
-SQL: dict[str, str] = {}
+# The other queries train models, hash with functions of Spark, or compare all documents: their tests are brute force.
+SQL: dict[str, str] = {"op3_mixing": sql.MIXING, "op4_line_dedup": sql.LINE_DEDUP, "op9_url_filter": sql.URL_FILTER}
