@@ -5,18 +5,16 @@ one over trusted documents. A document scores the mean of ``log(p_trusted / p_ra
 fixed threshold it is refused. The trusted estimate is shrunk towards the raw one, so a bucket the trusted
 documents never saw costs more the more text they had.
 
-Native DataFrame functions only. Counts are merged in each task before they are shuffled, and scores are summed per
-document in the task that holds it.
+Native DataFrame functions only. Counts are merged in each task before they are shuffled. The model, a number for each
+bucket, is a constant of the scoring plan, which therefore is a map over the documents without join or shuffle.
 
 Defined results: a null or empty text has 0 words, no n-grams, score 0 and fails the base rules; a null id is a
-document like any other; a row that occurs k times comes out k times; an empty table gives no rows; other columns
+document like any other; equal rows come out as they went in; an empty table gives no rows; other columns
 of the input are not read.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +22,7 @@ from .stage import sampled, written
 from .words import BLANK_CHARS, words
 
 BUCKETS = 1 << 16
+UNIT = 1_000_000_000  # ratios are kept as whole billionths
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 
@@ -82,7 +81,6 @@ def measure(docs: DataFrame) -> DataFrame:
     lines = F.filter(F.split(text, "\n"), lambda line: F.length(F.translate(line, BLANK_CHARS, "")) > 0)
     first = docs.select("doc_id", text.alias("text")).select(
         "doc_id",
-        F.xxhash64("text").alias("digest"),
         _hashes(F.col("text")).alias("hashes"),
         F.length(F.translate("text", BLANK_CHARS, "")).cast("long").alias("word_chars"),
         (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
@@ -90,7 +88,6 @@ def measure(docs: DataFrame) -> DataFrame:
     )
     second = first.select(
         "doc_id",
-        "digest",
         "hashes",
         F.size("hashes").cast("long").alias("n_words"),
         "word_chars",
@@ -124,27 +121,17 @@ def measure(docs: DataFrame) -> DataFrame:
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
-def judge(
-    docs: DataFrame, trusted: DataFrame, threshold: float = -0.1, bound: int = 20_000
-) -> DataFrame:
-    """The base statistics, ``base_failed``, ``score`` and ``kept`` of every document."""
-    model = F.broadcast(ratios(docs, trusted, bound))  # at most BUCKETS rows of 12 bytes
-    grams = measure(docs).select("doc_id", "digest", *BASE, F.posexplode_outer(_grams(F.col("hashes"))).alias("at", "bucket"))
-    scored = (
-        grams.join(model, "bucket", "left")
-        .groupBy("doc_id", "digest", *BASE)
-        .agg(
-            F.coalesce(F.avg("ratio"), F.lit(0.0)).alias("score"),
-            F.sum((F.coalesce("at", F.lit(0)) == 0).cast("int")).alias("times"),
-        )
-    )
+def judge(docs: DataFrame, trusted: DataFrame, threshold: float = -0.1, bound: int = 20_000) -> DataFrame:
+    """The base statistics, ``base_failed``, ``kept`` and ``score`` of every document."""
+    ratio = [0] * BUCKETS
+    for r in ratios(docs, trusted, bound).collect():  # at most BUCKETS rows
+        ratio[r.bucket] = round(r.ratio * UNIT)
+    # One constant array; whole units, so that sums do not depend on their order.
+    table = F.split(F.lit(",".join(map(str, ratio))), ",").cast("array<long>")
+    total = F.aggregate(_grams(F.col("hashes")), F.lit(0).cast("long"), lambda a, b: a + F.get(table, b))
+    grams = F.greatest(2 * F.col("n_words") - 1, F.lit(1))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    judged = scored.withColumn("score", F.round("score", 9)).withColumn("base_failed", failed)
+    judged = measure(docs).select("doc_id", *BASE, failed.alias("base_failed"), (total / grams / F.lit(float(UNIT))).alias("score"))
     return judged.select(
-        "doc_id",
-        *BASE,
-        "base_failed",
-        (~F.col("base_failed") & (F.col("score") >= F.lit(threshold))).alias("kept"),
-        "score",
-        F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy"),
-    ).drop("copy")
+        "doc_id", *BASE, "base_failed", (~F.col("base_failed") & (F.col("score") >= F.lit(threshold))).alias("kept"), "score"
+    )
