@@ -36,12 +36,27 @@ FROM reading"""
 SQL["topic_routing"] = f"""
 SELECT source, equipment_type, {TOPIC} AS topic, count(*) AS records FROM ev GROUP BY ALL"""
 
+_OUTCOME = """CASE WHEN k = 7 OR k = 50 THEN 'missing deviceId' WHEN event_type = 'error' THEN 'bad value: totalPower'
+    ELSE 'landed' END"""
+_MESSAGE = """CASE WHEN k = 7 THEN 'not json' ELSE '{{"deviceId":' || CASE WHEN k = 50 THEN 'null' ELSE '"' || device_id || '"' END
+  || ',"source":"' || source || '","equipmentType":"' || equipment_type || '","building":"' || building
+  || '","ts_utc":' || epoch_ms(time) || ',"value":{{"totalPower":' || CASE WHEN event_type = 'error' THEN '"bad"'
+  ELSE printf('%.1f', event_id / 2.0) END || ',"level":' || k || '}},"metadata":{{"msgId":"' || event_id
+  || '","deviceId":"' || device_id || '"}}}}' END""".replace("{{", "{").replace("}}", "}")
+
 SQL["quarantine_split"] = f"""
-SELECT CASE WHEN k = 7 OR k = 50 THEN 'missing deviceId' WHEN event_type = 'error' THEN 'bad value: totalPower'
-    ELSE 'landed' END AS outcome, CASE WHEN k <> 7 THEN equipment_type END AS equipment_type, count(*) AS records,
-  {n("sum(CASE WHEN k <> 7 AND event_type <> 'error' THEN CAST(event_id / 2.0 AS DECIMAL(28,12)) END)", 'total_power')},
-  CAST(sum(CASE WHEN k <> 7 THEN k END) AS BIGINT) AS level
-FROM ev GROUP BY 1, 2"""
+SELECT event_id AS "offset", {_OUTCOME} AS outcome,
+  CASE WHEN {_OUTCOME} <> 'landed' THEN {_MESSAGE} END AS message,
+  CASE WHEN {_OUTCOME} <> 'landed' THEN 'bms.telemetry.test' END AS topic,
+  CASE WHEN k <> 7 THEN equipment_type END AS equipment_type,
+  CASE WHEN k <> 7 AND event_type <> 'error' THEN round(event_id / 2.0::DOUBLE, 6) END AS total_power,
+  CASE WHEN k <> 7 THEN CAST(k AS DOUBLE) END AS level
+FROM ev"""
+
+SQL["ingest_quarantine"] = f"""
+SELECT event_id AS "offset", {_OUTCOME} AS reason, {_MESSAGE} AS message, 'bms.telemetry.test' AS topic
+FROM ev WHERE {_OUTCOME} <> 'landed'
+UNION ALL SELECT event_id, 'landed', NULL, NULL FROM ev WHERE k NOT IN (7, 50)"""
 
 SQL["compaction_candidates"] = """
 SELECT CAST(time AS DATE) AS date, count(*) AS rows, count(DISTINCT device_id) AS devices FROM ev
@@ -61,8 +76,10 @@ SQL["cdc_events"] = """
 SELECT coalesce(b.work_order_id, a.work_order_id) AS work_order_id,
   CASE WHEN b.work_order_id IS NULL THEN 'c' WHEN a.work_order_id IS NULL THEN 'd' ELSE 'u' END AS op,
   b.status AS before_status, b.planned_qty AS before_qty, a.status AS after_status, a.planned_qty AS after_qty
-FROM (SELECT * FROM wolog WHERE version = 1 AND status IN ('RUNNING', 'DONE')) b
-FULL JOIN (SELECT * FROM wolog WHERE version = 2 AND status IN ('RUNNING', 'RELEASED')) a
+FROM (SELECT * REPLACE (CASE WHEN work_order_id % 10 = 0 THEN -work_order_id * 2 ELSE work_order_id END AS work_order_id)
+  FROM wolog WHERE version = 1) b
+FULL JOIN (SELECT * REPLACE (CASE WHEN work_order_id % 10 = 0 THEN -work_order_id * 2 - 1 ELSE work_order_id END AS work_order_id)
+  FROM wolog WHERE version = 2) a
   ON a.work_order_id = b.work_order_id
 WHERE a.work_order_id IS NULL OR b.work_order_id IS NULL OR a.planned_qty <> b.planned_qty
   OR a.status <> b.status OR a.machine_id <> b.machine_id"""
@@ -81,8 +98,9 @@ SELECT CASE event_type WHEN 'purchase' THEN 'production_runs' WHEN 'view' THEN '
   count(*) AS events FROM events GROUP BY 1"""
 
 SQL["schema_evolution_union"] = """
-SELECT work_order_id, machine_id, due_date, CASE WHEN version = 1 THEN status END AS status
-FROM wolog WHERE version IN (0, 1)"""
+SELECT work_order_id, CASE WHEN version < 2 THEN machine_id END AS machine_id, CASE WHEN version < 2 THEN due_date END AS due_date,
+  CASE WHEN version > 0 THEN status END AS status, CASE WHEN version = 2 THEN planned_qty END AS planned_qty
+FROM wolog"""
 
 SQL["stg_work_orders_latest"] = "SELECT * FROM wo"
 
@@ -353,7 +371,9 @@ FROM (SELECT shift_code, sum(delta_kwh_reset_safe) AS kwh FROM {shifted('energy'
 FULL JOIN (SELECT shift_code, sum(good_qty) AS units FROM {shifted('runs', 'start_time')} GROUP BY 1) b
   ON a.shift_code = b.shift_code"""
 
-_DEMAND = "(SELECT building, date_trunc('minute', time) AS minute, sum(total_power) AS power FROM energy GROUP BY 1, 2)"
+_DEMAND = """(SELECT building, minute, round(sum(power), 6) AS power FROM (
+  SELECT building, device_id, date_trunc('minute', time) AS minute, CAST(sum(total_power) AS DOUBLE) / count(total_power) AS power
+  FROM energy WHERE total_power IS NOT NULL GROUP BY ALL) GROUP BY 1, 2)"""
 SQL["demand_peak_by_shift"] = f"""
 SELECT building, shift_date, shift_code, {n('power', 'peak_power')}, minute AS peak_time
 FROM {shifted(_DEMAND, 'minute')} WHERE power IS NOT NULL
@@ -365,11 +385,9 @@ SELECT building, machine_type, date_id, {n('sum(delta_kwh_reset_safe)', 'kwh')},
 
 SQL["energy_by_state"] = f"""
 SELECT machine_id, state, count(*) AS readings, {n('sum(delta_kwh_reset_safe)', 'kwh')}, {avg('total_power', 'avg_power')}
-FROM (SELECT e.machine_id, e.time, e.total_power, e.delta_kwh_reset_safe, i.state, i.end_time
-  FROM energy e ASOF JOIN (SELECT * FROM intervals
-    QUALIFY row_number() OVER (PARTITION BY machine_id, start_time ORDER BY id DESC) = 1) i
-  ON e.machine_id = i.machine_id AND e.time >= i.start_time)
-WHERE end_time IS NULL OR time < end_time GROUP BY 1, 2"""
+FROM (SELECT e.machine_id, e.time, e.total_power, e.delta_kwh_reset_safe, i.state
+  FROM energy e JOIN intervals i
+  ON e.machine_id = i.machine_id AND e.time >= i.start_time AND (i.end_time IS NULL OR e.time < i.end_time)) GROUP BY 1, 2"""
 
 SQL["asof_hvac_energy"] = f"""
 SELECT h.energytag, h.msg_id, h.reading_time, {n('h.delta_temp_nullable', 'delta_temp_nullable')},
@@ -425,11 +443,10 @@ SQL["stream_energy"] = f"SELECT device_id, time, msg_id, {ns('total_power', 'tot
 
 SQL["anomaly_power_spike"] = f"""
 SELECT device_id, time, msg_id, {n('total_power', 'total_power')}, {n('mean', 'baseline')}, {n('z', 'z_score')}
-FROM (SELECT *, (CAST(total_power AS DOUBLE) - mean) / CASE WHEN sq / cnt - mean * mean > 1e-9
-    THEN sqrt(sq / cnt - mean * mean) END AS z
+FROM (SELECT *, (CAST(total_power AS DOUBLE) - mean) / CASE WHEN deviation > abs(mean) * 1e-12 THEN deviation END AS z
   FROM (SELECT *, sm / cnt AS mean FROM (
     SELECT device_id, time, msg_id, total_power, count(*) OVER w AS cnt, CAST(sum(total_power) OVER w AS DOUBLE) AS sm,
-      CAST(sum(CAST(total_power AS DECIMAL(18,6)) * CAST(total_power AS DECIMAL(18,6))) OVER w AS DOUBLE) AS sq
+      stddev_pop(CAST(total_power AS DOUBLE)) OVER w AS deviation
     FROM stg WHERE source = 'ems' AND total_power IS NOT NULL
     WINDOW w AS (PARTITION BY device_id ORDER BY time, msg_id ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING))
   WHERE cnt = 10)) WHERE abs(z) > 3"""
@@ -501,8 +518,9 @@ SELECT event_id, {n(single('k * 3 + 16000', 'event_id % 65536'), 'total_power')}
 SQL["register_round_trip"] = f"""
 SELECT msg_id, metric, {n('CAST(reading AS FLOAT)', 'first')}, {n('CAST(-reading / 3 AS FLOAT)', 'second')} FROM longm"""
 
-SQL["ingest_stream"] = """
-SELECT CAST(time AS DATE) AS date, source, count(*) AS records, max(time) AS newest FROM ev GROUP BY 1, 2"""
+SQL["ingest_stream"] = f"""
+SELECT l.msg_id, l.time, CAST(l.time AS DATE) AS date, l.device_id, source, metric, {n('reading', 'reading')}
+FROM longm l JOIN ev ON ev.msg_id = l.msg_id"""
 
 SQL["stream_tumbling"] = f"""
 SELECT device_id, window_start, window_start + INTERVAL 1 HOUR AS window_end, count(total_power) AS readings,

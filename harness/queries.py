@@ -96,12 +96,17 @@ def topic_routing(v: Views) -> DataFrame:
 
 @query
 def quarantine_split(v: Views) -> DataFrame:
+    """Every message with what becomes of it; one set aside keeps its text, topic and offset."""
     decoded = landing.from_text_members(telemetry_source.decode_json(v.text_messages))
-    marked = decoded.withColumn("outcome", F.coalesce(landing.quarantine_reason(), F.lit("landed")))
-    return marked.groupBy("outcome", F.col("equipmentType").alias("equipment_type")).agg(
-        F.count(F.lit(1)).alias("records"),
-        F.sum(F.col("value")["totalPower"].cast("decimal(28,12)")).alias("total_power"),
-        F.sum(F.col("value")["level"].cast("bigint")).alias("level"),
+    outcome = F.coalesce(landing.quarantine_reason(F.lit("2100-01-01").cast("timestamp")), F.lit("landed"))
+    return decoded.select(
+        "offset",
+        outcome.alias("outcome"),
+        F.when(outcome != "landed", F.col("message")).alias("message"),
+        F.when(outcome != "landed", F.col("topic")).alias("topic"),
+        F.col("equipmentType").alias("equipment_type"),
+        F.col("value")["totalPower"].alias("total_power"),
+        F.col("value")["level"].alias("level"),
     )
 
 
@@ -136,15 +141,22 @@ def message_dedupe(v: Views) -> DataFrame:
 # Change capture.
 
 
-def _order_snapshot(v: Views, *statuses: str, version: int) -> DataFrame:
-    log = v.work_order_log.where((F.col("version") == version) & F.col("status").isin(*statuses))
-    return log.select("work_order_id", "machine_id", "planned_qty", "status")
+def _order_snapshot(v: Views, version: int, moved: int) -> DataFrame:
+    """All orders of one version; every tenth has another number, so it comes and goes between snapshots."""
+    number = F.col("work_order_id")
+    log = v.work_order_log.where(F.col("version") == version)
+    return log.select(
+        F.when(number % 10 == 0, -number * 2 - moved).otherwise(number).alias("work_order_id"),
+        "machine_id",
+        "planned_qty",
+        "status",
+    )
 
 
 @query
 def cdc_events(v: Views) -> DataFrame:
-    before = _order_snapshot(v, "RUNNING", "DONE", version=1)
-    after = _order_snapshot(v, "RUNNING", "RELEASED", version=2)
+    before = _order_snapshot(v, version=1, moved=0)
+    after = _order_snapshot(v, version=2, moved=1)
     return changes.capture(before, after, ["work_order_id"]).select(
         "work_order_id",
         "op",
@@ -183,9 +195,10 @@ def cdc_route_counts(v: Views) -> DataFrame:
 
 @query
 def schema_evolution_union(v: Views) -> DataFrame:
-    early = v.work_order_log.where("version = 0").select("work_order_id", "machine_id", "due_date")
-    late = v.work_order_log.where("version = 1").select("work_order_id", "machine_id", "due_date", "status")
-    return changes.evolve([early, late])
+    first = v.work_order_log.where("version = 0").select("work_order_id", "machine_id", "due_date")
+    second = v.work_order_log.where("version = 1").select("work_order_id", "machine_id", "due_date", "status")
+    third = v.work_order_log.where("version = 2").select("work_order_id", "status", "planned_qty")
+    return changes.evolve([first, second, third])
 
 
 @query
@@ -660,11 +673,28 @@ def ingest_stream(v: Views) -> DataFrame:
     )
     ingest.start(events, f"{folder}/raw", f"{folder}/quarantine", f"{folder}/checkpoint", NOW).awaitTermination()
     landed = telemetry_source.read_raw(v.spark, f"{folder}/raw")
-    return landed.groupBy("date", "source").agg(
-        F.count(F.lit(1)).alias("records"), F.max("time").alias("newest")
+    return landed.select(
+        F.col("metadata")["msgId"].alias("msg_id"), "time", "date", "device_id", "source", F.explode("value").alias("metric", "reading")
     )
 
 
+@query
+def ingest_quarantine(v: Views) -> DataFrame:
+    """JSON messages landed by two streams with checkpoints of their own; all that is set aside, as it came."""
+    folder = work_folder(v.spark, "quarantine")
+    v.text_messages.write.parquet(f"{folder}/messages")
+    schema = v.text_messages.schema
+    for half in ("a", "b"):
+        messages = v.spark.readStream.schema(schema).parquet(f"{folder}/message[s]")
+        mine = messages.where(F.col("offset") % 2 == (0 if half == "a" else 1))
+        decoded = telemetry_source.decode_json(mine)
+        ingest.start(decoded, f"{folder}/raw", f"{folder}/bad", f"{folder}/state-{half}", NOW).awaitTermination()
+    aside = v.spark.read.parquet(f"{folder}/bad").select("offset", "reason", "message", "topic")
+    landed = telemetry_source.read_raw(v.spark, f"{folder}/raw")
+    rows = landed.select(F.col("metadata")["msgId"].cast("bigint").alias("offset"), F.lit("landed").alias("reason"))
+    return aside.unionByName(rows, allowMissingColumns=True)
+
+
 @query
 def stream_tumbling(v: Views) -> DataFrame:
     folder = work_folder(v.spark, "tumbling")
@@ -715,7 +745,7 @@ def stream_energy(v: Views) -> DataFrame:
         "device_id", "time", "msg_id", "total_power"
     )
     energy_stream.start(readings, f"{folder}/out", f"{folder}/checkpoint", NOW).awaitTermination()
-    return v.spark.read.parquet(f"{folder}/out/totals").drop("batch_id", "total_work")
+    return v.spark.read.parquet(f"{folder}/out/totals").drop("stream", "batch_id", "total_work")
 
 
 @query
@@ -728,7 +758,7 @@ def stream_cdc(v: Views) -> DataFrame:
     table = ChangeTable(v.spark, f"{folder}/table", ["device_no"], image)
     stream = changes.unwrap(v.change_envelopes(v.stream("events")))
     (
-        stream.writeStream.foreachBatch(table.append)
+        stream.writeStream.foreachBatch(table.sink(f"{folder}/checkpoint"))
         .option("checkpointLocation", f"{folder}/checkpoint")
         .trigger(**NOW)
         .start()

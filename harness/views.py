@@ -377,7 +377,10 @@ class Views:
             F.lit('","building":"'), F.col("building"),
             F.lit('","ts_utc":'), F.col("ts_utc").cast("string"),
             F.lit(',"value":{"totalPower":'), power, F.lit(',"level":'), k.cast("string"),
-            F.lit('},"metadata":{"msgId":"'), F.col("event_id").cast("string"), F.lit('"}}'),
+            F.lit('},"metadata":{"msgId":"'), F.col("event_id").cast("string"),
+            F.lit('","deviceId":"'), F.col("deviceId"), F.lit('"}}'),
         )
         events = self.events.withColumn("reading", F.col("event_id") / F.lit(2.0))
-        return events.select(F.when(k == 7, F.lit("not json")).otherwise(body).alias("value"))
+        return events.select(
+            F.when(k == 7, F.lit("not json")).otherwise(body).alias("value"), F.lit("bms.telemetry.test").alias("topic"), F.col("event_id").alias("offset")
+        )

@@ -121,3 +121,6 @@ LATENESS_SECONDS = 30
 # Pattern of telemetry topics and of change-log topics.
 TELEMETRY_TOPIC_PATTERN = r"(bms|ems)\..*"
 CHANGE_TOPIC_PATTERN = r"erp\.public\.(.*)"
+
+# An event time further ahead of the clock than this is not believed.
+LARGEST_CLOCK_LEAD = "1 DAY"

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millwatt import constants as C
+
 
 def minute_of_day(time: Column) -> Column:
     return F.hour(time) * 60 + F.minute(time)
@@ -32,9 +34,16 @@ def shift_date(time: Column, start: Column, end: Column) -> Column:
     return F.when((start > end) & (F.hour(time) < end), F.date_sub(day, 1)).otherwise(day)
 
 
-def newest_time(df: DataFrame) -> Column:
-    """Time of the newest row, as a scalar subquery; a table by day is read for its last day only."""
+def newest_time(df: DataFrame, ahead: str = C.LARGEST_CLOCK_LEAD) -> Column:
+    """Time of the newest row that is at most ``ahead`` in the future, as a scalar subquery.
+
+    Rows of a broken clock do not count, so one of them cannot expire a table or empty a panel. A
+    table by day is read for its last day only.
+    """
+    latest = F.current_timestamp() + F.expr(f"INTERVAL {ahead}")
+    df = df.where(F.col("time") <= latest)
     if "date" in df.columns:
+        df = df.where(F.col("date") <= F.to_date(latest))
         df = df.where(F.col("date") == df.agg(F.max("date").alias("d")).scalar())
     return df.agg(F.max("time").alias("t")).scalar()
 

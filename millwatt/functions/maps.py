@@ -34,13 +34,19 @@ def dimensions_json(building: Column, equipment_type: Column, device_id: Column)
     )
 
 
+def _number(value: Column) -> Column:
+    """Text as a finite number, else null: NaN and infinities sort above every reading."""
+    number = value.try_cast("double")
+    return F.when(~F.isnan(number) & (F.abs(number) < F.lit(float("inf"))), number)
+
+
 def numeric_members(values: Column) -> Column:
-    """Members of a text map that are numbers, as doubles."""
-    parsed = F.transform_values(values, lambda _, v: v.try_cast("double"))
+    """Members of a text map that are finite numbers, as doubles."""
+    parsed = F.transform_values(values, lambda _, v: _number(v))
     return F.map_filter(parsed, lambda _, v: v.isNotNull())
 
 
 def bad_members(values: Column) -> Column:
-    """Keys of a text map whose value is present but no number."""
-    bad = F.map_filter(values, lambda _, v: v.isNotNull() & v.try_cast("double").isNull())
+    """Keys of a text map whose value is present but no finite number."""
+    bad = F.map_filter(values, lambda _, v: v.isNotNull() & _number(v).isNull())
     return F.array_sort(F.map_keys(bad))

@@ -19,13 +19,13 @@ def text_key(*natural: Column) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws("|", *natural)), 1, 15), 16, 10).cast("bigint")
 
 
-def numbered_key(df: DataFrame, natural: str, name: str) -> DataFrame:
+def numbered_key(df: DataFrame, natural: str, name: str, **chunking) -> DataFrame:
     """Surrogate key 1..n along a unique serial key, without a global sort.
 
-    Ids are unique, so a run of a million ids holds at most a million rows and can be sorted by
-    one task; the runs' sizes then shift the numbers.
+    A large table is cut into runs of ids with about a million rows each, dense or not; each run is
+    sorted by one task, and the runs' sizes then shift the numbers.
     """
-    return ordered.numbered(ordered.by_serial(df, natural), [], [natural], name).drop(ordered.CHUNK)
+    return ordered.numbered(df, [], [natural], name, **chunking).drop(ordered.CHUNK)
 
 
 def calendar(

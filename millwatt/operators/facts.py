@@ -118,7 +118,7 @@ def energy(
     if energy_mode == "bucket":
         seen, delta = machine_readings(staged, dim_machine, dim_date, dim_time), now
     else:
-        cut = ordered.chunked(staged, ["device_id"], "time", **chunking)
+        cut = ordered.chunked(staged, ["device_id"], ["time", "msg_id"], **chunking)
         readings = machine_readings(cut, dim_machine, dim_date, dim_time)
         seen = ordered.previous(readings, ["device_id"], ["time", "msg_id"], {"_before": now})
         delta = now - F.col("_before")

@@ -69,13 +69,34 @@ def within_interval(
 ) -> DataFrame:
     """Points that fall in ``[start, end)`` of an interval of their key; a null end is open.
 
-    Intervals of one key follow each other (a machine is in one state at a time), so the only
-    candidate is the latest one begun. That keeps the work at one sort instead of all pairs of
-    points and intervals of a hot key. Interval columns come back in the struct ``matched``.
+    A machine is in one state at a time, so intervals of a key mostly follow each other. For those
+    that begin when all earlier ones have ended, the only candidate of a point is the latest begun,
+    which costs one sort instead of all pairs of points and intervals of a hot key. The others, which
+    begin inside an earlier one, meet the points of their key and day. A point in several
+    intervals comes out once for each. Interval columns come back in the struct ``matched``.
     """
-    found = as_of(points, intervals, keys, time, start, tie, how="inner", **chunking)
+    order = [start, tie] if tie else [start, end]
+    known = intervals.dropna(subset=[*keys, start])
+    reach = F.coalesce(F.col(end).cast("timestamp"), F.lit("9999-12-31").cast("timestamp"))
+    reached = ordered.running_max(known, keys, order, {"_reach": reach}, **chunking)
+    seen = ordered.previous(reached, keys, order, {"_before": F.col("_reach")}).drop(ordered.CHUNK)
+    inside = F.coalesce(F.col(start) < F.col("_before"), F.lit(False))
+    following = seen.where(~inside).select(*intervals.columns)
+    found = as_of(points, following, keys, time, start, tie, how="inner", **chunking)
     open_end = F.col(f"matched.{end}").isNull()
-    return found.where(open_end | (F.col(time) < F.col(f"matched.{end}")))
+    one = found.where(open_end | (F.col(time) < F.col(f"matched.{end}")))
+
+    newest = points.agg(F.max(time).alias("t")).scalar()
+    last = F.least(F.coalesce(F.col(end), newest), newest)
+    overlapping = (
+        seen.where(inside)
+        .select(*keys, F.struct(*intervals.columns).alias("matched"), F.to_date(start).alias("_first"), F.to_date(last).alias("_last"))
+        .where("_first <= _last")
+        .select(*keys, "matched", F.explode(F.sequence("_first", "_last", F.expr("INTERVAL 1 DAY"))).alias("_day"))
+    )
+    met = points.withColumn("_day", F.to_date(time)).join(overlapping, [*keys, "_day"])
+    more = met.where((F.col(time) >= F.col(f"matched.{start}")) & (open_end | (F.col(time) < F.col(f"matched.{end}"))))
+    return one.unionByName(more.select(*points.columns, "matched"))
 
 
 def with_children(parents: DataFrame, children: DataFrame, parent_key: str, child_key: str) -> DataFrame:
@@ -100,15 +121,16 @@ def with_shift(df: DataFrame, shifts: DataFrame, time: str) -> DataFrame:
     """Shift and shift day of every row, by the hour of ``time``.
 
     The range condition becomes an equality on the hour. The shifts are gathered to one row per
-    hour, 24 at most, which bounds the broadcast. Rows without a time are dropped.
+    hour, 24 at most, which bounds the broadcast. A row in an hour that no shift covers keeps its day and
+    has no shift; rows without a time are dropped.
     """
     per_hour = (
         shift_hours(shifts)
         .groupBy("hour_of_day")
         .agg(F.collect_list(F.struct("shift_id", "shift_code", "start_hour", "end_hour")).alias("_shifts"))
     )
-    placed = df.withColumn("hour_of_day", F.hour(time))
-    joined = placed.join(F.broadcast(per_hour), "hour_of_day").select(*df.columns, F.inline("_shifts"))
+    placed = df.where(F.col(time).isNotNull()).withColumn("hour_of_day", F.hour(time))
+    joined = placed.join(F.broadcast(per_hour), "hour_of_day", "left").select(*df.columns, F.inline_outer("_shifts"))
     return joined.withColumn(
         "shift_date", shift_date(F.col(time), F.col("start_hour"), F.col("end_hour"))
     ).drop("start_hour", "end_hour")

@@ -9,8 +9,6 @@ from millwatt import constants as C
 from millwatt.functions import labels, maps
 from millwatt.functions.clock import newest_time, since
 
-REQUIRED_DIMENSIONS = ("deviceId", "source", "equipmentType", "building")
-
 
 def from_text_members(events: DataFrame) -> DataFrame:
     """Events whose reading map holds text: number members are kept, others listed in ``bad_keys``."""
@@ -19,31 +17,37 @@ def from_text_members(events: DataFrame) -> DataFrame:
     )
 
 
-def reject_reason() -> Column:
-    """Why a decoded record cannot be landed; null for a good one."""
-    return (
+def reject_reason(latest: Column | None = None) -> Column:
+    """Why a decoded record cannot be landed; null for a good one.
+
+    ``latest`` is the latest event time that is believed; one broken clock would otherwise move "now" for
+    retention and every rolling panel.
+    """
+    reason = (
         F.when(F.col("deviceId").isNull(), F.lit("missing deviceId"))
         .when(F.col("ts_utc").isNull(), F.lit("missing ts_utc"))
         .when(F.col("value").isNull(), F.lit("missing value"))
         .when(F.col("metadata").isNull(), F.lit("missing metadata"))
+        .when(F.col("metadata")["deviceId"].isNull(), F.lit("missing metadata deviceId"))
     )
+    return reason if latest is None else reason.when(F.timestamp_millis("ts_utc") > latest, F.lit("time in the future"))
 
 
-def quarantine_reason() -> Column:
+def quarantine_reason(latest: Column | None = None) -> Column:
     """Reject reason, or the bad members of a record that is landed without them."""
     bad = F.when(
         F.size("bad_keys") > 0, F.concat(F.lit("bad value: "), F.array_join("bad_keys", ","))
     )
-    return F.coalesce(reject_reason(), bad)
+    return F.coalesce(reject_reason(latest), bad)
 
 
-def accepted(events: DataFrame) -> DataFrame:
-    return events.where(reject_reason().isNull())
+def accepted(events: DataFrame, latest: Column | None = None) -> DataFrame:
+    return events.where(reject_reason(latest).isNull())
 
 
-def quarantined(events: DataFrame) -> DataFrame:
-    """Rejected records and records that lost members, with the reason."""
-    return events.withColumn("reason", quarantine_reason()).where(F.col("reason").isNotNull())
+def quarantined(events: DataFrame, latest: Column | None = None) -> DataFrame:
+    """Rejected records and records that lost members, with the reason and all their columns."""
+    return events.withColumn("reason", quarantine_reason(latest)).where(F.col("reason").isNotNull())
 
 
 def land(events: DataFrame) -> DataFrame:
@@ -75,8 +79,8 @@ def route_topics(events: DataFrame) -> DataFrame:
     return events.withColumn("topic", labels.topic(F.col("source"), F.col("equipmentType")))
 
 
-def content_id(events: DataFrame) -> DataFrame:
-    """Fill a missing message id with a digest of the record, so replays get the same id."""
+def identified(events: DataFrame) -> DataFrame:
+    """Fill a missing message id with a digest of the record, so replays get the same id and are removed as copies."""
     digest = F.sha2(
         F.concat_ws(
             "|", "deviceId", F.col("ts_utc").cast("string"), F.to_json(F.array_sort(F.map_entries("value")))
@@ -88,6 +92,9 @@ def content_id(events: DataFrame) -> DataFrame:
     return events.withColumn("metadata", F.map_concat(others, F.create_map(F.lit("msgId"), msg_id)))
 
 
+content_id = identified
+
+
 def newest_day(raw: DataFrame, days: int) -> Column:
     """Day ``days`` before the newest row, as a scalar subquery."""
     return F.date_sub(F.to_date(newest_time(raw)), days)

@@ -2,14 +2,17 @@
 
 A plain ``Window.partitionBy(device)`` sends every row of a device to one task, which fails once one
 device holds a large share of a table. Here the windows run over a key and a *chunk*. A key of up to
-``max_rows`` rows is one chunk, number 0, and is handled like a plain window. The time line of a
-larger key is cut into chunks 1, 2, ... What a chunk needs from the chunks before it (the last
-value, the sum so far) is one small row per chunk, aggregated map-side, and joined back on key and
-chunk; that join uses the partitioning of the window, so full rows are shuffled once.
-
-Finding the large keys reads the key and order columns only. There are at most ``rows / max_rows``
-of them, which bounds the broadcast. Where there are none, adaptive execution drops the carrying
-part of the plan. Keys must not be null.
+``max_rows`` rows is one chunk, number 0, and is handled like a plain window. The rows of a larger
+key, in their order, are cut into chunks 1, 2, ... What a chunk needs from the chunks before it (the
+last value, the sum so far) is one small row per chunk, aggregated map-side, and joined back on key
+and chunk; that join uses the partitioning of the window, so full rows are shuffled once.
+
+Cuts follow the rows, not the clock: they are places of the whole order (time and ties) drawn from
+the key's own rows by hash, so that a wrong clock far away or many rows of one instant are cut like any
+others. Only rows alike in the whole order cannot be told apart and stay together. Finding the large keys
+reads the key and order columns only. There are at most ``rows / max_rows`` of them, and at most
+``DRAWS`` cuts for each ``max_rows`` rows, which bounds the broadcast. Where there are none, adaptive
+execution drops the carrying part of the plan. Keys must not be null; without keys the whole table is one.
 """
 
 from __future__ import annotations
@@ -21,58 +24,44 @@ from pyspark.sql import functions as F
 
 CHUNK = "_chunk"
 MAX_CHUNK_ROWS = 1_000_000
-# A large key's rows are counted in this many equal parts of its time line to find its density.
-PARTS = 1000
+# Rows drawn for each ``max_rows`` rows; after half as many there is a cut.
+DRAWS = 16
+# Cuts looked through at a time when a row is placed.
+STRIDE = 64
 
 
-def position(df: DataFrame, order: str) -> Column:
-    """The order column as a whole number: microseconds for times, the value itself for counters."""
-    kind = df.schema[order].dataType.typeName()
-    if kind in ("timestamp", "timestamp_ntz"):
-        return F.unix_micros(F.col(order).cast("timestamp"))
-    return F.col(order).cast("bigint")
-
-
-def by_serial(df: DataFrame, serial: str, rows: int = 1_000_000) -> DataFrame:
-    """Chunks of a table that is ordered as a whole by a unique whole number."""
-    return df.withColumn(CHUNK, F.floor(F.col(serial) / F.lit(rows)) + 1)
-
-
-def chunked(df: DataFrame, keys: Sequence[str], order: str, max_rows: int = MAX_CHUNK_ROWS) -> DataFrame:
+def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str] | str, max_rows: int = MAX_CHUNK_ROWS) -> DataFrame:
     """Add the chunk number, which never decreases along ``order`` within a key.
 
-    Pieces of a large key are of equal time, short enough that the densest part of its time line
-    gives ``max_rows`` rows per piece.
+    Chunks of a large key hold about half of ``max_rows`` rows, and by the law of large numbers never twice that.
     """
     if CHUNK in df.columns:
         return df
-    keys = list(keys)
-    placed = df.withColumn("_place", position(df, order))
-    spans = (
-        placed.groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("_rows"),
-            F.min("_place").alias("_low"),
-            (F.max("_place") - F.min("_place") + 1).cast("double").alias("_span"),
-        )
-        .where(F.col("_rows") > max_rows)
-        .drop("_rows")
-    )
-    share = (F.col("_place") - F.col("_low")) / F.col("_span")
-    parts = (
-        placed.join(F.broadcast(spans), keys)
-        .groupBy(*keys, "_low", "_span", F.floor(share * PARTS).alias("_part"))
-        .agg(F.count(F.lit(1)).alias("_rows"))
-    )
-    large = parts.groupBy(*keys, "_low", "_span").agg(
-        F.ceil(F.max("_rows") * F.lit(float(PARTS)) / max_rows).alias("_pieces")
-    )
-    number = F.when(F.col("_pieces").isNull(), F.lit(0)).otherwise(F.floor(share * F.col("_pieces")) + 1)
-    return (
-        placed.join(F.broadcast(large), keys, "left")
-        .withColumn(CHUNK, number.cast("bigint"))
-        .select(*df.columns, CHUNK)
+    keys, order = list(keys), [order] if isinstance(order, str) else list(order)
+    place = F.struct(*order)
+    narrow = df.select(*keys, place.alias("_place"))
+    sizes = narrow.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > max_rows)
+    # A row is drawn by the hash of its key and place, so every branch of a plan draws the same ones.
+    draws = min(DRAWS, max_rows)
+    every = max_rows // draws
+    drawn = narrow.where(F.pmod(F.xxhash64(*keys, "_place"), F.lit(every)) == 0)
+    drawn = drawn.join(F.broadcast(sizes.select(*keys)), keys) if keys else drawn.crossJoin(F.broadcast(sizes.select(F.lit(1).alias("_large"))))
+    by_place = Window.partitionBy(*keys).orderBy("_place")
+    cuts = (
+        drawn.withColumn("_draw", F.row_number().over(by_place))
+        .where(F.col("_draw") % max(draws // 2, 1) == 0)
+        .groupBy(*keys)
+        .agg(F.array_sort(F.collect_set("_place")).alias("_cuts"))
+        .where(F.size("_cuts") > 0)
+        .withColumn("_steps", F.filter("_cuts", lambda _, i: i % STRIDE == 0))
     )
+    # Cuts before the row: whole strides by their first cuts, then those of the last stride.
+    stride = F.greatest(F.size(F.filter("_steps", lambda c: c < F.col("_here"))) - 1, F.lit(0)) * STRIDE
+    before = stride + F.size(F.filter(F.slice("_cuts", stride + 1, STRIDE), lambda c: c < F.col("_here")))
+    number = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(before + 1)
+    placed = df.withColumn("_here", place)
+    found = placed.join(F.broadcast(cuts), keys, "left") if keys else placed.join(F.broadcast(cuts), F.lit(True), "left")
+    return found.withColumn(CHUNK, number.cast("bigint")).select(*df.columns, CHUNK)
 
 
 def _inside(keys: Sequence[str], order: Sequence[str]) -> Window:
@@ -118,7 +107,7 @@ def following(
 
 
 def _neighbour(df, keys, order, values, shift, edge, **chunking) -> DataFrame:
-    source = chunked(df, keys, order[0], **chunking)
+    source = chunked(df, keys, order, **chunking)
     packed = F.struct(*[value.alias(name) for name, value in values.items()])
     edges = _per_chunk(source, keys, edge(packed, F.struct(*order)).alias("_edge"))
     carried = edges.select(*keys, CHUNK, shift("_edge").over(_across(keys)).alias("_carried"))
@@ -146,7 +135,7 @@ def running_max(
 
 
 def _running(df, keys, order, values, total, combine, **chunking) -> DataFrame:
-    source = chunked(df, keys, order[0], **chunking)
+    source = chunked(df, keys, order, **chunking)
     sums = _per_chunk(source, keys, *[total(value).alias(f"_all_{name}") for name, value in values.items()])
     carried = sums.select(
         *keys, CHUNK, *[total(f"_all_{name}").over(_chunks_before(keys)).alias(f"_before_{name}") for name in values]
@@ -162,7 +151,7 @@ def last_known(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, value: Column, **chunking
 ) -> DataFrame:
     """Latest ``value`` that is not null, at the current row or before it."""
-    source = chunked(df, keys, order[0], **chunking)
+    source = chunked(df, keys, order, **chunking)
     place = F.when(value.isNotNull(), F.struct(*order))
     tails = _per_chunk(source, keys, F.max_by(value, place).alias("_tail"))
     latest = F.last("_tail", ignorenulls=True).over(_chunks_before(keys))

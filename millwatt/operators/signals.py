@@ -34,12 +34,12 @@ def accumulate_work(
     """Add ``added_work`` and its running sum ``total_work`` per device.
 
     A reading's power counts for the time since the reading before; the first reading and one
-    without power add nothing.
+    without power, or with one beyond a million million kW, add nothing. Power counts to six decimals.
     """
     order = [time, *ties]
     seen = ordered.previous(readings, [key], order, {"_before": F.col(time)}, **chunking)
     span = (F.unix_micros(time) - F.unix_micros("_before")).cast("decimal(19,0)")
-    added = F.coalesce(F.col(power).cast("decimal(18,6)") * span, F.lit(0)).cast(WORK)
+    added = F.coalesce(F.col(power).try_cast("decimal(18,6)") * span, F.lit(0)).cast(WORK)
     stepped = seen.withColumn("added_work", added).drop("_before")
     return ordered.running_sum(stepped, [key], order, {"total_work": F.col("added_work")}).drop(
         ordered.CHUNK
@@ -66,32 +66,29 @@ def spikes(
 ) -> DataFrame:
     """Readings more than ``threshold`` standard deviations from the mean of the ``rows`` before.
 
-    Mean and deviation come from exact sums of the value and its square; fewer than ``rows``
-    readings before, or no spread among them, give no score.
+    The deviation is taken from the distances to the mean, so large readings with little spread keep
+    their digits; fewer than ``rows`` readings before, or no spread among them, give no score.
     """
     known = readings.where(F.col(value).isNotNull())
-    squared = (F.col(value).cast("decimal(18,6)") * F.col(value).cast("decimal(18,6)")).cast(NUMERIC)
     windowed = ordered.trailing(
         known,
         [key],
         list(order),
         rows,
-        {
-            "_n": F.count(F.col(value)),
-            "_sum": F.sum(F.col(value)),
-            "_squares": F.sum(squared),
-        },
+        {"_n": F.count(F.col(value)), "_sum": F.sum(F.col(value)), "_seen": F.collect_list(F.col(value).cast("double"))},
         **chunking,
     )
-    average = ratio(F.col("_sum"), F.col("_n"))
-    variance = ratio(F.col("_squares"), F.col("_n")) - average * average
-    deviation = F.when(variance > 1e-9, F.sqrt(variance))
-    scored = windowed.where(F.col("_n") == rows).select(
-        *readings.columns,
-        average.alias("baseline"),
-        ((F.col(value).cast("double") - average) / deviation).alias("z_score"),
+    average = windowed.where(F.col("_n") == rows).withColumn("baseline", ratio(F.col("_sum"), F.col("_n")))
+    squares = F.aggregate(
+        F.transform("_seen", lambda x: (x - F.col("baseline")) * (x - F.col("baseline"))), F.lit(0.0), lambda a, x: a + x
     )
-    return scored.where(F.abs("z_score") > threshold)
+    deviation = F.sqrt(squares / F.col("_n"))
+    scored = average.withColumn("_deviation", deviation).where(F.col("_deviation") > F.abs("baseline") * F.lit(1e-12))
+    return scored.select(
+        *readings.columns,
+        "baseline",
+        ((F.col(value).cast("double") - F.col("baseline")) / F.col("_deviation")).alias("z_score"),
+    ).where(F.abs("z_score") > threshold)
 
 
 def late_rows(
@@ -99,15 +96,14 @@ def late_rows(
     arrival: str,
     time: str = "time",
     lateness_seconds: int = C.LATENESS_SECONDS,
-    rows: int = 1_000_000,
+    **chunking,
 ) -> DataFrame:
     """Rows whose time is more than ``lateness_seconds`` behind the newest one that arrived before.
 
-    ``arrival`` is a unique serial number; its runs of ``rows`` numbers are handled apart and only
-    their newest times are compared across the table.
+    ``arrival`` is a unique serial number, dense or not; runs of it are handled apart and only their
+    newest times are compared across the table.
     """
-    runs = ordered.by_serial(arrivals, arrival, rows)
-    seen = ordered.running_max(runs, [], [arrival], {"newest": F.col(time)})
+    seen = ordered.running_max(arrivals, [], [arrival], {"newest": F.col(time)}, **chunking)
     limit = F.col("newest") - F.expr(f"INTERVAL {int(lateness_seconds)} SECONDS")
     return seen.where(F.col(time) < limit).drop(ordered.CHUNK)
 
@@ -154,7 +150,7 @@ def setpoint_deviation(raw: DataFrame, profiles: DataFrame) -> DataFrame:
     ``profiles`` is the fixed profile table of a few dozen rows, so it is broadcast.
     """
     joined = long_metrics(raw).join(F.broadcast(profiles), ["equipment_type", "metric"])
-    gap = (F.col("reading") - F.col("setpoint")).cast(NUMERIC)
+    gap = (F.col("reading") - F.col("setpoint")).try_cast(NUMERIC)
     return joined.groupBy("device_id", "equipment_type", "metric", "unit").agg(
         F.count(gap).alias("readings"),
         ratio(F.sum(gap), F.count(gap)).alias("mean_deviation"),

@@ -61,21 +61,38 @@ def machine_readings(stg: DataFrame) -> DataFrame:
     )
 
 
+def live(raw: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Latest row of every key that its last change did not delete.
+
+    Rows are ordered by ``order``, then by source time and log position; tables captured without change
+    columns have no deletes. Rows alike in all of these are told apart by their content.
+    """
+    change = [name for name in ("__source_ts_ms", "__lsn") if name in raw.columns and name not in order]
+    rest = sorted(set(raw.columns) - {*keys, *order, *change})
+    latest = latest_per_key(raw, keys, [*order, *change, *rest])
+    for column, deleted in (("__op", "d"), ("__deleted", "true")):
+        if column in raw.columns:
+            latest = latest.where(~F.coalesce(F.col(column) == deleted, F.lit(False)))
+    return latest
+
+
 def machines(raw: DataFrame) -> DataFrame:
-    """Latest production machine rows by source time."""
-    kept = raw.where(F.col("machine_type").isin(*C.MACHINE_TYPE_ORDER))
-    return latest_per_key(kept, ["machine_id"], ["__source_ts_ms"]).select(
+    """Latest production machine rows by source time, deleted ones left out."""
+    latest = live(raw, ["machine_id"], ["__source_ts_ms"])
+    return latest.where(F.col("machine_type").isin(*C.MACHINE_TYPE_ORDER)).select(
         "machine_id", "machine_type", "building", "energy_tag", "rated_power_kw", "is_active"
     )
 
 
 def products(raw: DataFrame) -> DataFrame:
-    return raw.select("product_id", "name", "sku", "family", "uom")
+    """Products; of captured rows the latest of each, deleted ones left out."""
+    rows = live(raw, ["product_id"], ["__source_ts_ms"]) if "__source_ts_ms" in raw.columns else raw
+    return rows.select("product_id", "name", "sku", "family", "uom")
 
 
 def work_orders(raw: DataFrame) -> DataFrame:
-    """Latest work order rows by update time."""
-    return latest_per_key(raw, ["work_order_id"], ["updated_at"]).select(
+    """Latest work order rows by update time, deleted ones left out."""
+    return live(raw, ["work_order_id"], ["updated_at"]).select(
         "work_order_id", "order_no", "product_id", "machine_id", "planned_qty", "due_date", "status"
     )
 

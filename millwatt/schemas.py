@@ -1,4 +1,4 @@
-"""Table shapes, written as DDL strings that Spark parses."""
+"""Table shapes, written as DDL strings that Spark parses. The plant's contract names them."""
 
 from __future__ import annotations
 
@@ -32,7 +32,7 @@ SAMPLE_EMS = (
 )
 
 # Change columns added to every captured row.
-CHANGE_COLUMNS = "__op string, __source_ts_ms bigint, __deleted string"
+CHANGE_COLUMNS = "__op string, __source_ts_ms bigint, __lsn bigint, __deleted string"
 
 ERP_TABLES = {
     "products": "product_id int, sku string, name string, family string, uom string, "

@@ -60,12 +60,16 @@ def erp_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     )
 
 
-def numbered_folders(spark: SparkSession, pattern: str) -> dict[int, str]:
-    """Folders named ``<name>=<number>`` that match ``pattern``, by number."""
+def folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match ``pattern``."""
     path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
     found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
-    paths = [status.getPath() for status in found]
-    return {int(p.getName().split("=")[1]): p.toString() for p in paths}
+    return [status.getPath().toString() for status in found]
+
+
+def numbered_folders(spark: SparkSession, pattern: str) -> dict[int, str]:
+    """Folders named ``<name>=<number>`` that match ``pattern``, by number."""
+    return {int(p.rstrip("/").rsplit("=", 1)[1]): p for p in folders(spark, pattern)}
 
 
 def delete_folder(spark: SparkSession, folder: str) -> None:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millwatt import constants as C
 from millwatt import schemas
+from millwatt.sources.files import delete_folder, folders
 
 # A registry-framed message starts with a marker byte and a four-byte schema id.
 FRAME_BYTES = 5
@@ -18,27 +19,46 @@ def read_topics(
     pattern: str = C.TELEMETRY_TOPIC_PATTERN,
     starting: str = "earliest",
     max_offsets: int | None = None,
+    fail_on_data_loss: bool = True,
 ) -> DataFrame:
-    """Stream of the telemetry topics; needs the Kafka connector on the class path."""
+    """Stream of the telemetry topics; needs the Kafka connector on the class path.
+
+    A topic that lost messages before they were read stops the stream unless told otherwise.
+    """
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribePattern", pattern)
         .option("startingOffsets", starting)
-        .option("failOnDataLoss", "false")
+        .option("failOnDataLoss", str(fail_on_data_loss).lower())
     )
     if max_offsets:
         reader = reader.option("maxOffsetsPerTrigger", max_offsets)
     return reader.load()
 
 
+# Where a message came from, kept beside its columns as far as the source has it.
+ORIGIN = ("topic", "partition", "offset")
+
+
+def _origin(messages: DataFrame, value: str) -> list[Column]:
+    """The message as it came and its place, so that one set aside can be replayed."""
+    return [F.col(value).alias("message"), *[F.col(name) for name in ORIGIN if name in messages.columns]]
+
+
 def decode_avro(messages: DataFrame, value: str = "value") -> DataFrame:
-    """Registry-framed Avro messages to event columns; broken ones come back with null columns."""
+    """Registry-framed Avro messages to event columns; broken ones come back with null columns.
+
+    The message itself and its topic, partition and offset come along.
+    """
     from pyspark.sql.avro.functions import from_avro
 
     body = F.expr(f"substring({value}, {FRAME_BYTES + 1})")
     event = from_avro(body, schemas.TELEMETRY_AVRO, {"mode": "PERMISSIVE"})
-    return messages.select(event.alias("e")).select(
+    origin = _origin(messages, value)
+    return messages.select(*origin, event.alias("e")).select(
+        "message",
+        *[name for name in ORIGIN if name in messages.columns],
         "e.deviceId",
         "e.source",
         "e.equipmentType",
@@ -50,9 +70,14 @@ def decode_avro(messages: DataFrame, value: str = "value") -> DataFrame:
 
 
 def decode_json(messages: DataFrame, value: str = "value") -> DataFrame:
-    """JSON messages to event columns with text members; a broken message becomes null columns."""
+    """JSON messages to event columns with text members; a broken message becomes null columns.
+
+    The message itself and its topic, partition and offset come along.
+    """
     event = F.from_json(F.col(value).cast("string"), schemas.TELEMETRY_TEXT_EVENT)
-    return messages.select(event.alias("e")).select("e.*")
+    origin = _origin(messages, value)
+    placed = [name for name in ORIGIN if name in messages.columns]
+    return messages.select(*origin, event.alias("e")).select("message", *placed, "e.*")
 
 
 def read_event_files(spark: SparkSession, path: str, streaming: bool = False, fmt: str = "parquet") -> DataFrame:
@@ -86,26 +111,31 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
 
 
 def compact_days(spark: SparkSession, path: str, target: str, before: str, files: int) -> None:
-    """Rewrite the days before ``before`` into about ``files`` sorted files at ``target``.
+    """Write the table anew at ``target``, with the days before ``before`` in about ``files`` sorted files.
 
-    The old folder is only read; readers move to ``target`` once the job has ended.
+    Later days are copied as they are, so readers can move to ``target`` once the job has ended; the old folder
+    is only read. Nothing may be appended to it meanwhile.
     """
-    old = read_raw(spark, path).where(F.col("date") < F.lit(before).cast("date"))
-    by_device(old, files).write.mode("overwrite").partitionBy("date").option("compression", "zstd").parquet(target)
+    raw = read_raw(spark, path)
+    limit = F.lit(before).cast("date")
+    old = by_device(raw.where(F.col("date") < limit), files)
+    old.write.mode("overwrite").partitionBy("date").option("compression", "zstd").parquet(target)
+    write_raw(raw.where(F.col("date") >= limit), target)
 
 
 def drop_days(spark: SparkSession, path: str, before: str) -> list[str]:
-    """Delete the day folders of a raw table that are older than ``before``; returns their names."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    root = hadoop.Path(f"{path.rstrip('/')}/date=*")
-    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    dropped = []
-    # One entry per day of the retention range.
-    for status in files.globStatus(root) or []:
-        name = status.getPath().getName()
-        if name.split("=")[1] < before:
-            files.delete(status.getPath(), True)
-            dropped.append(name)
+    """Delete the day folders of a raw table that are older than ``before``; returns their days.
+
+    Days lie in the folder itself or in the stream and batch folders of the landing stream.
+    """
+    root = path.rstrip("/")
+    dropped = set()
+    for pattern in ("date=*", "batch_id=*/date=*", "stream=*/batch_id=*/date=*"):
+        for folder in folders(spark, f"{root}/{pattern}"):
+            day = folder.rstrip("/").rsplit("=", 1)[1]
+            if day < before:
+                delete_folder(spark, folder)
+                dropped.add(f"date={day}")
     return sorted(dropped)
 
 

@@ -1,10 +1,11 @@
 """Running energy per device over micro-batches.
 
 Each batch is integrated with the batch operator, which cuts a busy device's rows into chunks, and
-starts from one stored row per device (last time, total so far). The stored rows are a versioned
-table in the checkpoint folder, so a batch that is run again starts from the same rows and writes
-the same result. Rows not later than the device's stored time cannot be placed any more and are set
-aside.
+starts from one stored row per device (last reading's time and message, total so far). The stored
+rows are a table of versions, each named by the stream and batch that wrote it: a batch that is run
+again starts from the version before its own and writes the same result, and a stream with a new
+checkpoint goes on from the newest version. Readings that do not come after the stored one, by
+time and message id, cannot be placed any more and are set aside.
 """
 
 from __future__ import annotations
@@ -17,40 +18,56 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millwatt.functions.numeric import NUMERIC
 from millwatt.operators import signals
-from millwatt.sources.files import delete_folder, empty, numbered_folders
+from millwatt.sources.files import delete_folder, empty, exists, folders
+from millwatt.streaming.runs import stream_id
 
-STATE = f"device_id string, last_time timestamp, total_work {signals.WORK}"
+STATE = f"device_id string, last_time timestamp, last_msg string, total_work {signals.WORK}"
 
 
 def start(readings: DataFrame, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """``readings`` holds ``device_id, time, msg_id, total_power``; totals go to ``out/totals``."""
     return (
-        readings.writeStream.foreachBatch(_writer(out))
+        readings.writeStream.foreachBatch(_writer(out, checkpoint))
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "2 seconds"}))
         .start()
     )
 
 
-def _state(spark: SparkSession, out: str, batch_id: int) -> DataFrame:
-    """Rows stored by the batch before; batch ids follow each other without gaps."""
-    if batch_id == 0:
-        return empty(spark, STATE)
-    return spark.read.schema(STATE).parquet(f"{out}/state/batch_id={batch_id - 1}")
+def versions(spark: SparkSession, out: str) -> dict[int, tuple[str, int, str]]:
+    """Stored states that were written to their end: stream, batch and folder by version."""
+    found = {}
+    for folder in folders(spark, f"{out}/state/version=*/stream=*/batch_id=*"):
+        version, stream, batch = (part.split("=", 1)[1] for part in folder.rstrip("/").split("/")[-3:])
+        if exists(spark, f"{folder}/_SUCCESS"):
+            found[int(version)] = (stream, int(batch), folder)
+    return found
+
+
+def _before(spark: SparkSession, out: str, stream: str, batch_id: int) -> tuple[int, DataFrame]:
+    """Version this batch writes, and the state it starts from."""
+    known = versions(spark, out)
+    own = [v for v, (s, b, _) in known.items() if (s, b) == (stream, batch_id)]
+    version = own[0] if own else max(known, default=-1) + 1
+    if version - 1 not in known:
+        return version, empty(spark, STATE)
+    return version, spark.read.schema(STATE).parquet(known[version - 1][2])
 
 
 def advance(readings: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Readings with their running total, and readings that came too late to count."""
     joined = readings.join(state, "device_id", "left")
-    late = joined.where(F.col("time") <= F.col("last_time")).select(*readings.columns)
-    fresh = joined.where(F.col("last_time").isNull() | (F.col("time") > F.col("last_time"))).select(
-        *readings.columns
+    # A reading without a message id comes first among those of its time.
+    after = (F.col("time") > F.col("last_time")) | (
+        (F.col("time") == F.col("last_time")) & (F.coalesce("msg_id", F.lit("")) > F.coalesce("last_msg", F.lit("")))
     )
+    late = joined.where(F.col("last_time").isNotNull() & ~F.coalesce(after, F.lit(False))).select(*readings.columns)
+    fresh = joined.where(F.col("last_time").isNull() | after).select(*readings.columns)
     # The stored reading stands before the batch; its own power is already counted.
     seeds = state.select(
         "device_id",
         F.col("last_time").alias("time"),
-        F.lit("").alias("msg_id"),
+        F.col("last_msg").alias("msg_id"),
         F.lit(None).cast(NUMERIC).alias("total_power"),
     )
     fresh = fresh.select(
@@ -75,24 +92,28 @@ def next_state(state: DataFrame, totals: DataFrame) -> DataFrame:
     """Stored rows after the batch: the last total of devices seen, the old row of the others."""
     last = F.max_by("total_work", F.struct("time", "msg_id"))
     seen = totals.groupBy("device_id").agg(
-        F.max("time").alias("last_time"), last.alias("total_work")
+        F.max("time").alias("last_time"),
+        F.max(F.struct("time", "msg_id"))["msg_id"].alias("last_msg"),
+        last.alias("total_work"),
     )
     return seen.unionByName(state.join(seen.select("device_id"), "device_id", "left_anti"))
 
 
-def _writer(out: str) -> Callable[[DataFrame, int], None]:
+def _writer(out: str, checkpoint: str) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        state = _state(spark, out, batch_id)
+        stream = stream_id(spark, checkpoint)
+        version, state = _before(spark, out, stream, batch_id)
         totals, late = advance(batch, state)
-        target = f"{out}/totals/batch_id={batch_id}"
+        place = f"stream={stream}/batch_id={batch_id}"
+        target = f"{out}/totals/{place}"
         totals.write.mode("overwrite").parquet(target)
-        late.write.mode("overwrite").parquet(f"{out}/late/batch_id={batch_id}")
+        late.write.mode("overwrite").parquet(f"{out}/late/{place}")
         written = spark.read.schema(totals.schema).parquet(target)
-        next_state(state, written).write.mode("overwrite").parquet(f"{out}/state/batch_id={batch_id}")
-        # A repeated batch needs the rows of the one before; older ones are of no use.
-        for number, folder in numbered_folders(spark, f"{out}/state/batch_id=*").items():
-            if number < batch_id - 1:
-                delete_folder(spark, folder)
+        next_state(state, written).write.mode("overwrite").parquet(f"{out}/state/version={version}/{place}")
+        # A repeated batch needs the version before its own; older ones are of no use.
+        for number, (_, _, folder) in versions(spark, out).items():
+            if number < version - 1:
+                delete_folder(spark, folder.rsplit("/", 2)[0])
 
     return write

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from millwatt import constants as C
 from millwatt.operators import landing
 from millwatt.sources.telemetry import by_device
+from millwatt.streaming.runs import stream_id
 
 
 def start(
@@ -18,30 +20,37 @@ def start(
     quarantine_path: str,
     checkpoint: str,
     trigger: dict | None = None,
+    ahead: str = C.LARGEST_CLOCK_LEAD,
 ) -> StreamingQuery:
     """Land an event stream whose ``value`` map holds text or numbers.
 
-    Each batch is written under its own batch id in both tables and replaces itself when it is run
-    again, so a batch that fails half way leaves nothing behind or twice.
+    Each batch is written under the stream's id and its own batch id in both tables and replaces
+    itself when it is run again, so a batch that fails half way leaves nothing behind or twice, and a
+    stream with a new checkpoint adds to what others landed. Records more than ``ahead`` in the
+    future are set aside. Columns beside the event's own, such as the message text, its topic and
+    its offset, go to the quarantine as they are, so that a record can be replayed.
     """
     parsed = landing.from_text_members(events.withColumn("value", F.col("value").cast("map<string,string>")))
     return (
-        parsed.writeStream.foreachBatch(_writer(raw_path, quarantine_path))
+        parsed.writeStream.foreachBatch(_writer(raw_path, quarantine_path, checkpoint, ahead))
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "2 seconds"}))
         .start()
     )
 
 
-def _writer(raw_path: str, quarantine_path: str) -> Callable[[DataFrame, int], None]:
+def _writer(raw_path: str, quarantine_path: str, checkpoint: str, ahead: str) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
-        # Read three times below: to sample the ranges, to write good rows, to write bad ones.
+        place = f"stream={stream_id(batch.sparkSession, checkpoint)}/batch_id={batch_id}"
+        latest = F.current_timestamp() + F.expr(f"INTERVAL {ahead}")
+        # Read three times below: to sample the ranges, to write good rows, to write bad ones. A lost
+        # executor's part of it is read from the source again.
         batch.persist()
         try:
-            good = landing.land(landing.accepted(batch))
-            by_device(good).write.mode("overwrite").partitionBy("date").parquet(f"{raw_path}/batch_id={batch_id}")
-            bad = landing.quarantined(batch).withColumn("value", F.to_json("value"))
-            bad.write.mode("overwrite").parquet(f"{quarantine_path}/batch_id={batch_id}")
+            good = landing.land(landing.identified(landing.accepted(batch, latest)))
+            by_device(good).write.mode("overwrite").partitionBy("date").parquet(f"{raw_path}/{place}")
+            bad = landing.quarantined(batch, latest).withColumn("value", F.to_json("value"))
+            bad.write.mode("overwrite").parquet(f"{quarantine_path}/{place}")
         finally:
             batch.unpersist()
 

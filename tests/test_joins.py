@@ -69,3 +69,23 @@ def test_shift_wraps_past_midnight(frame):
     )
     got = joins.with_shift(runs, shifts, "t").select(F.hour("t"), "shift_code", F.col("shift_date").cast("string"))
     assert table(got) == [(1, "C", "2024-01-05"), (23, "C", "2024-01-05"), (6, "A", "2024-01-06")]
+    night = joins.with_shift(runs, shifts.where("shift_code = 'C'"), "t").select(F.hour("t"), "shift_code", F.col("shift_date").cast("string"))
+    assert table(night) == [(1, "C", "2024-01-05"), (23, "C", "2024-01-05"), (6, None, "2024-01-06")]
+
+
+@pytest.mark.parametrize("max_rows", [6, 10_000])
+def test_within_interval_matches_brute_force_where_intervals_overlap(frame, max_rows):
+    rng = random.Random(max_rows)
+    points = [(rng.choice("aab"), at(rng.randrange(6000)), i) for i in range(200)]
+    intervals = []
+    for i in range(60):
+        start = rng.randrange(6000)
+        end = None if rng.random() < 0.1 else at(start + rng.choice((0, 5, 60, 2000)))
+        intervals.append((rng.choice("aab"), at(start), end, i))
+    got = joins.within_interval(
+        frame(points, "m string, t timestamp, n int"),
+        frame(intervals, "m string, s timestamp, e timestamp, id int"),
+        ["m"], "t", "s", "e", "id", max_rows=max_rows,
+    )
+    want = [(n, i) for m, t, n in points for k, s, e, i in intervals if m == k and s <= t and (e is None or t < e)]
+    assert sorted((r.n, r.matched.id) for r in got.collect()) == sorted(want)

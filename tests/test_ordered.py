@@ -133,9 +133,24 @@ def test_chained_operators_share_chunks(frame):
 
 def test_whole_table_numbers_by_serial(frame):
     ids = random.Random(7).sample(range(10_000), 300)
-    df = ordered.by_serial(frame([(i,) for i in ids], "id bigint"), "id", rows=100)
-    got = {r.id: r.n for r in ordered.numbered(df, [], ["id"], "n").collect()}
-    assert got == {value: place + 1 for place, value in enumerate(sorted(ids))}
+    for max_rows in (40, 1000):
+        got = ordered.numbered(frame([(i,) for i in ids], "id bigint"), [], ["id"], "n", max_rows=max_rows).collect()
+        assert {r.id: r.n for r in got} == {value: place + 1 for place, value in enumerate(sorted(ids))}
+
+
+@pytest.mark.parametrize("odd", ["outlier", "instant", "serial"])
+def test_chunks_stay_small_whatever_the_clock(frame, odd):
+    """A row far in the future, one instant for all, and ids far apart."""
+    far = datetime(9999, 1, 1)
+    rows = [("k", START + timedelta(seconds=i), i, 0) for i in range(5000)] + [("k", far, 9999, 0)]
+    if odd == "instant":
+        rows = [("k", START, i, 0) for i in range(5000)]
+    if odd == "serial":
+        rows = [("k", START, i**2 * 1000 % 2_000_000_011, 0) for i in range(5000)]
+    keys = [] if odd == "serial" else KEYS
+    df = ordered.chunked(frame(rows, SCHEMA), keys, ["tie"] if odd == "serial" else ORDER, max_rows=500)
+    sizes = [r["count"] for r in df.groupBy("_chunk").count().collect()]
+    assert max(sizes) <= 1000 and len(sizes) >= 6 and sum(sizes) == len(rows)
 
 
 def test_latest_and_first_per_key(frame):

@@ -58,7 +58,8 @@ def test_raw_table_by_day(spark, frame):
     assert table(back.groupBy("date").count()) == [(date(2024, 5, d), 50) for d in (1, 2, 3)]
     telemetry.compact_days(spark, path, target, before="2024-05-03", files=2)
     old = telemetry.read_raw(spark, target)
-    assert old.count() == 100 and len(old.inputFiles()) <= 4
+    assert old.count() == 150 and len(old.where("date < '2024-05-03'").inputFiles()) <= 7
+    assert table(old.groupBy("date").count()) == table(back.groupBy("date").count())
     assert telemetry.retained(back, F.lit("2024-05-02").cast("date")).count() == 100
     assert table(pipeline.expire(back, days=1)) == [(date(2024, 5, 1),)]
     assert landing.within_retention(back, days=1).count() == 51
@@ -73,6 +74,22 @@ def test_expired_days_are_dropped(spark, frame):
     assert telemetry.drop_days(spark, path, "2024-05-03") == []
 
 
+def test_streamed_days_are_dropped_and_one_bad_clock_expires_nothing(spark, frame):
+    path = work_folder(spark, "streamed")
+    raw = raw_frame(frame)
+    bad = raw.limit(1).withColumn("time", F.lit("2952-01-01").cast("timestamp")).withColumn("date", F.to_date("time"))
+    telemetry.write_raw(raw, f"{path}/stream=a/batch_id=0")
+    telemetry.write_raw(raw.unionByName(bad), f"{path}/stream=b/batch_id=0")
+    back = telemetry.read_raw(spark, path)
+    assert back.count() == 301
+    assert table(pipeline.expire(back, days=1)) == [(date(2024, 5, 1),)]
+    assert pipeline.expire(back, days=1, as_of=F.lit("2024-05-02").cast("timestamp")).count() == 0
+    assert landing.within_retention(back, days=1).count() == 2 * 51 + 1
+    assert panels.recent(back, hours=24).where("time < '2900-01-01'").count() == 2 * 51
+    assert telemetry.drop_days(spark, path, "2024-05-03") == ["date=2024-05-01", "date=2024-05-02"]
+    assert telemetry.read_raw(spark, path).where("date < '2024-05-03'").count() == 0
+
+
 def test_time_range_prunes_days(spark, frame):
     path = work_folder(spark, "prune")
     telemetry.write_raw(raw_frame(frame), path)
@@ -109,9 +126,13 @@ def test_silver_scan_reads_needed_columns_only(spark, frame):
 def test_json_messages(spark, frame):
     good = {"deviceId": "d", "source": "bms", "equipmentType": "AHU", "building": "b", "ts_utc": 5,
             "value": {"a": 1.5, "b": "x"}, "metadata": {"msgId": "1"}}
-    messages = frame([(json.dumps(good),), ("broken",)], "value string")
+    messages = frame([(json.dumps(good), "t", 7), ("broken", "t", 8)], "value string, topic string, offset bigint")
     got = telemetry.decode_json(messages)
     assert table(got, "deviceId", "value") == [(None, None), ("d", {"a": "1.5", "b": "x"})]
+    bad = landing.quarantined(landing.from_text_members(got))
+    assert table(bad, "message", "topic", "offset", "reason") == [
+        ("broken", "t", 8, "missing deviceId"), (json.dumps(good), "t", 7, "missing metadata deviceId")
+    ]
 
 
 def test_event_files_as_batch(spark, frame):

@@ -12,7 +12,6 @@ from millwatt import schemas
 from millwatt.operators import signals
 from millwatt.session import work_folder
 from millwatt.sources import telemetry
-from millwatt.sources.files import numbered_folders
 from millwatt.streaming import energy, ingest, windows
 
 START = datetime(2024, 5, 1)
@@ -115,4 +114,59 @@ def test_energy_over_batches_equals_one_batch(spark, frame, folder):
     whole = signals.integrate_energy(frame([*rows, ("d9", START, "new", 1.0)], READING))
     assert table(got, "device_id", "msg_id", "total_kwh") == table(whole, "device_id", "msg_id", "total_kwh")
     assert table(spark.read.parquet(f"{out}/late"), "msg_id") == [("late",)]
-    assert sorted(numbered_folders(spark, f"{out}/state/batch_id=*")) == [2, 3]
+    assert sorted(energy.versions(spark, out)) == [2, 3]
+
+
+def test_energy_goes_on_with_a_new_checkpoint(spark, frame, folder):
+    source, out = folder("source"), folder("out")
+    rows = [("d", START + timedelta(minutes=6 * i), str(i), 10.0) for i in range(21)]
+
+    def run(state):
+        energy.start(spark.readStream.schema(READING).parquet(source), out, state, NOW).awaitTermination()
+
+    feed(frame, source, READING, rows[:11])
+    run(folder("first"))
+    feed(frame, source, READING, [*rows[11:], ("d", rows[10][1], "a-later-id", 10.0)])
+    run(folder("second"))
+    got = {r.msg_id: float(r.total_kwh) for r in spark.read.parquet(f"{out}/totals").collect()}
+    # Ten kilowatts for two hours; the second run sees the first one's files again and sets them aside.
+    assert got["10"] == 10.0 and got["20"] == 20.0 and got["a-later-id"] == 10.0
+    assert spark.read.parquet(f"{out}/late").count() == 11 and spark.read.parquet(f"{out}/totals").count() == 22
+
+
+def test_landing_with_a_new_checkpoint_keeps_earlier_rows(spark, frame, folder):
+    raw, bad = folder("raw"), folder("bad")
+    for name in ("a", "b"):
+        source = folder("source")
+        good = (name, "bms", "AHU", "b", 1000, {"x": 1.0}, {"deviceId": name})
+        feed(frame, source, schemas.TELEMETRY_EVENT, [good, (name, "bms", "AHU", "b", None, {}, {})])
+        ingest.start(telemetry.read_event_files(spark, source, streaming=True), raw, bad, folder("state"), NOW).awaitTermination()
+    assert table(telemetry.read_raw(spark, raw), "device_id") == [("a",), ("b",)]
+    assert table(spark.read.parquet(bad), "deviceId", "reason") == [("a", "missing ts_utc"), ("b", "missing ts_utc")]
+    ids = [r.id for r in spark.read.parquet(raw).selectExpr("metadata['msgId'] as id").collect()]
+    assert None not in ids and len(set(ids)) == 2
+
+
+CHANGE = "op string, before struct<id:int>, after struct<id:int>, source struct<ts_ms:bigint,lsn:bigint>"
+
+
+def test_changes_with_a_new_checkpoint_and_three_batches(spark, frame, folder):
+    from millwatt.operators import changes
+    from millwatt.sources.changelog import ChangeTable
+
+    source, first, second = folder("source"), folder("first"), folder("second")
+    kept = ChangeTable(spark, folder("table"), ["id"], "id int")
+
+    def run(state):
+        stream = changes.unwrap(spark.readStream.schema(CHANGE).parquet(source))
+        stream.writeStream.foreachBatch(kept.sink(state)).option("checkpointLocation", state).trigger(**NOW).start().awaitTermination()
+
+    for at in range(3):
+        feed(frame, source, CHANGE, [("c", None, (at,), (at, at)), ("d", (at - 1,), None, (at, 100 + at))])
+        run(first)
+    kept.compact()
+    kept.clean()
+    source = folder("again")
+    feed(frame, source, CHANGE, [("c", None, (50,), (50, 50))])
+    run(second)
+    assert table(kept.current(), "id") == [(2,), (50,)]

@@ -173,15 +173,20 @@ def test_t15_one_bad_member_keeps_the_others(frame):
             (None, "bms", "AHU", "b", 1000, {"x": "1"}, {}),
             ("e", "bms", "AHU", "b", None, {"x": "1"}, {}),
             ("f", "bms", "AHU", "b", 5, {"x": "1"}, {"deviceId": "f"}),
+            ("g", "bms", "AHU", "b", 5, {"x": "NaN", "y": "-Infinity", "z": "2"}, {"deviceId": "g"}),
+            ("h", "bms", "AHU", "b", 5, {"x": "1"}, {"source": "bms"}),
+            ("i", "bms", "AHU", "b", 2_600_000_000_000, {"x": "1"}, {"deviceId": "i"}),
         ],
         schema,
     )
     parsed = landing.from_text_members(events)
-    assert table(landing.quarantined(parsed), "reason") == [
-        ("bad value: Supply_Temp",), ("missing deviceId",), ("missing ts_utc",)
+    latest = F.lit("2030-01-01").cast("timestamp")
+    assert table(landing.quarantined(parsed, latest), "reason") == [
+        ("bad value: Supply_Temp",), ("bad value: x,y",), ("missing deviceId",), ("missing metadata deviceId",),
+        ("missing ts_utc",), ("time in the future",)
     ]
-    landed = {r.device_id: r.value for r in landing.land(landing.accepted(parsed)).collect()}
-    assert landed == {"d": {"Return_Temp": 21.5}, "f": {"x": 1.0}}
+    landed = {r.device_id: r.value for r in landing.land(landing.accepted(parsed, latest)).collect()}
+    assert landed == {"d": {"Return_Temp": 21.5}, "f": {"x": 1.0}, "g": {"z": 2.0}}
 
 
 def test_t15_text_that_is_no_number_becomes_null(raw):
@@ -323,12 +328,19 @@ def test_spikes_need_history_and_spread(frame):
     assert got[0].baseline == 5.5 and got[0].z_score == pytest.approx(89.0)
 
 
+def test_spikes_on_large_readings_with_little_spread(frame):
+    rows = [("d", NOON + timedelta(minutes=i), str(i), 1_000_000 + 0.001 * (-1) ** i) for i in range(12)]
+    rows += [("d", NOON + timedelta(minutes=99), "x", 1_000_000.05)]
+    got = signals.spikes(frame(rows, "device_id string, time timestamp, msg_id string, total_power double"), block_rows=10).collect()
+    assert [r.msg_id for r in got] == ["x"] and got[0].z_score == pytest.approx(50, rel=1e-3)
+
+
 def test_late_rows(frame):
     rows = [(1, NOON), (2, NOON + timedelta(seconds=40)), (3, NOON + timedelta(seconds=10)), (4, NOON + timedelta(seconds=9)),
             (5, NOON + timedelta(seconds=100))]
     df = frame(rows, "arrival bigint, time timestamp")
     for size in (1, 2, 1000):
-        assert table(signals.late_rows(df, "arrival", rows=size), "arrival") == [(4,)]
+        assert table(signals.late_rows(df, "arrival", max_rows=size), "arrival") == [(4,)]
 
 
 def test_stuck_values(frame):
