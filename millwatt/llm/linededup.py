@@ -5,7 +5,7 @@ so are lines within one word of each other (one word replaced, added or missing)
 earliest occurrence, by document id and line number, stays; a line goes when any copy of it occurs earlier, judged on
 the input.
 
-* Equal lines are one row with their first occurrence, whatever their number.
+* Equal lines are found by their hashes, counted in each task before the shuffle.
 * Two lines within one word share their first or their last half (of the shorter, rounded down to four words). Only
   lines that share a half with a different line go on; this is exact, and most lines end here.
 * Those emit every variant with one word deleted, on the side that is not shared, as a hashed key, and the whole line. Equal
@@ -13,7 +13,8 @@ the input.
   aggregated to its earliest line, so a bucket costs a row for each member, never pairs.
 * Each line and the earliest one of its key are compared word by word before the link counts.
 
-Native DataFrame functions only. Variant hashes are running sums (exclusive or) over a line's words, linear in its length.
+The halves that lines share and the candidates are broadcast when counted to be at most ``BROADCAST_ROWS``, so that no text is
+shuffled to find the few candidates; beyond that Spark shuffles both sides. Native DataFrame functions only. Variant hashes are running sums (exclusive or) over a line's words, linear in its length.
 
 Defined results: words are separated by ``[\\x20\\x09-\\x0D]+``, lines by a line feed; lines with fewer words, blank ones
 included, always stay; a null or empty text has no removed lines and keeps its text; a null id comes before all others; rows with
@@ -25,11 +26,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .stage import written
+from .stage import small, written
 
 MIN_WORDS = 3
 FUZZY_WORDS = 8
 BLOCK = 62  # lines in one mask
+BROADCAST_ROWS = 1_000_000  # of 8 to 40 bytes
 _LINE = ["l1", "l2"]
 _AT = ["doc_id", "digest", "line_no"]
 
@@ -88,33 +90,34 @@ def removed(docs: DataFrame) -> DataFrame:
         ),
         "lines",
     )
-    distinct = written(
-        narrow.groupBy(*_LINE).agg(
-            F.min(_order(*_AT)).alias("first"),
-            F.max(_order(*_AT)).alias("last"),
-            F.first("n").alias("n"),
-            F.first("halves").alias("halves"),
-        ),
-        "lines-distinct",
+    # Halves that different lines share, then the lines that have one.
+    keys = narrow.select(*_LINE, F.explode("halves").alias("half")).select("l1", "half.key")
+    shared = written(
+        keys.groupBy("key").agg(F.min("l1").alias("x"), F.max("l1").alias("y")).where("x <> y").select("key"), "lines-halves"
     )
-    keys = distinct.select(*_LINE, F.explode("halves").alias("half")).select(*_LINE, "half.*")
-    shared = keys.groupBy("key").agg(F.min("l1").alias("x"), F.max("l1").alias("y")).where("x <> y").select("key")
     near = (
-        keys.join(shared, "key")
-        .groupBy(*_LINE)
-        .agg(F.min(F.when(F.col("side") == 0, F.col("h"))).alias("head"), F.min(F.when(F.col("side") == 1, F.col("h"))).alias("tail"))
-        .join(distinct.select(*_LINE, "first", "n"), _LINE)
+        narrow.select(*_LINE, *_AT, "n", F.explode("halves").alias("half"))
+        .select(*_LINE, *_AT, "n", "half.*")
+        .join(small(shared, BROADCAST_ROWS), "key")
+        .groupBy(*_LINE, "n")
+        .agg(
+            F.min(F.when(F.col("side") == 0, F.col("h"))).alias("head"),
+            F.min(F.when(F.col("side") == 1, F.col("h"))).alias("tail"),
+            F.min(_order(*_AT)).alias("first"),
+        )
     )
+    near = written(near, "lines-near")
     # One text for each candidate: that of its first occurrence.
     texts = all_lines.where(F.col("n") >= FUZZY_WORDS).select(*_identity(F.col("line")), "line", _order(*_AT).alias("first"))
-    candidates = written(texts.join(near, [*_LINE, "first"]).dropDuplicates(_LINE), "lines-near")
+    candidates = written(
+        texts.join(small(near, BROADCAST_ROWS), [*_LINE, "first"]).dropDuplicates(_LINE).drop(*_LINE), "lines-candidates"
+    )
 
-    words = candidates.select(*_LINE, "first", "n", "head", "tail", F.posexplode(F.split("line", " ")).alias("i", "word"))
+    words = candidates.select("first", "n", "head", "tail", F.posexplode(F.split("line", " ")).alias("i", "word"))
     words = words.withColumn("here", F.xxhash64("i", "word")).withColumn("shifted", F.xxhash64(F.col("i") - 1, "word"))
-    own = Window.partitionBy(*_LINE)
+    own = Window.partitionBy("first")
     upto = own.orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     sums = words.select(
-        *_LINE,
         "first",
         "n",
         "i",
@@ -161,13 +164,15 @@ def removed(docs: DataFrame) -> DataFrame:
         .where(within_one("words", "other"))
     )
     nearest = checked.groupBy("first").agg(F.min("partner").alias("partner"))
-    affected = (
-        distinct.select(*_LINE, "first", "last")
-        .join(nearest, "first", "left")
-        .where("first <> last or partner is not null")
-        .select(*_LINE, F.least("first", F.coalesce("partner", "first")).alias("stays"))
-    )
-    return narrow.select(*_LINE, *_AT).join(affected, _LINE).where(_order(*_AT) > F.col("stays")).select(*_AT).distinct()
+    # Lines that occur more than once, and lines near an earlier one.
+    copies = narrow.groupBy(*_LINE).count().where("count > 1").select(*_LINE)
+    moved = near.join(nearest, "first").select(*_LINE, "partner")
+    # Each is written before it is joined, so that Spark can split a line with very many copies.
+    affected = written(copies.join(moved, _LINE, "full_outer"), "lines-affected")
+    at = written(narrow.select(*_LINE, *_AT).join(affected, _LINE), "lines-at")
+    firsts = at.groupBy(*_LINE).agg(F.min(_order(*_AT)).alias("first"), F.first("partner").alias("partner"))
+    stays = written(firsts.select(*_LINE, F.least("first", F.coalesce("partner", "first")).alias("stays")), "lines-stay")
+    return at.drop("partner").join(stays, _LINE).where(_order(*_AT) > F.col("stays")).select(*_AT).distinct()
 
 
 def within_one(a: str, b: str) -> Column:

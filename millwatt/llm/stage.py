@@ -30,3 +30,8 @@ def sampled(df: DataFrame, key: str, bound: int, seed: int) -> DataFrame:
     chosen by the hash of their key. For fitting models only; nothing is collected but one count."""
     rows = df.count()
     return df if rows <= bound else df.where(share(F.col(key), seed) < bound / rows)
+
+
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """A written table, to be broadcast in joins when it has at most ``rows`` rows; else Spark shuffles it."""
+    return F.broadcast(df) if df.count() <= rows else df
