@@ -9,7 +9,7 @@ Documents with equal sets are one class and go on as its smallest id. In each ba
 the smallest one of the bucket, exactly, on full sets. Links give components. Where a bucket still holds several
 components, its classes are dealt to blocks of bounded size and blocks are laid side by side: whole signatures (one byte
 a value) are compared across components inside the task, and pairs whose estimate comes within four standard errors of
-the threshold are compared exactly as well. So a large group of near copies costs a link for each member and not for each
+the threshold are compared exactly there as well; only links come out. So a large group of near copies costs a link for each member and not for each
 pair, and documents that merely share a passage are told apart by their signatures without a row for each pair.
 
 Defined results: words are lower-cased in A-Z and split at ``[\\x20\\x09-\\x0D]+``; a text with fewer words than a shingle is
@@ -160,17 +160,18 @@ def _sets_of(packed: pa.Array, d1: list[int], d2: list[int]) -> Iterator[np.ndar
             yield sets[bounds[k] : bounds[k + 1]] if (one[k], two[k]) == (d1[i], d2[i]) else None
 
 
+def _near(x: np.ndarray | None, y: np.ndarray | None, percent: int) -> bool:
+    both = 0 if x is None or y is None else len(np.intersect1d(x, y, assume_unique=True))
+    return both > 0 and 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def _compare(percent: int):
     def run(batches):
         for batch in batches:
             column = lambda name: batch.column(name).to_pylist()  # noqa: E731, B023
             left = _sets_of(batch.column("pa"), column("a1"), column("a2"))
             right = _sets_of(batch.column("pb"), column("b1"), column("b2"))
-            near = []
-            for x, y in zip(left, right, strict=True):
-                both = 0 if x is None or y is None else len(np.intersect1d(x, y, assume_unique=True))
-                near.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
-            keep = pa.array(near, pa.bool_())
+            keep = pa.array([_near(x, y, percent) for x, y in zip(left, right, strict=True)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
 
     return run
@@ -213,36 +214,44 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
 
 
 def _across(percent: int):
-    """Pairs of different components whose signatures come near the threshold, each in the first band that they share."""
+    """Links between components in a group of two blocks, each in the first band that its two classes share.
+
+    Whole signatures are compared first; sets are unpacked and compared where they come near the threshold.
+    """
     least = percent / 100 - SLACK
     needed = int(np.ceil(2 * FUNCTIONS * (least + (1 - least) / 256)))
 
     def run(batches):
         for group in _groups(batches, ["band", "value", "i", "j"]):
-            if group.num_rows < 2:
-                continue
-            rep, component = group.column("rep").to_numpy(), group.column("component").to_numpy()
-            block, band = group.column("block").to_numpy(), group.column("band")[0].as_py()
-            i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
+            component = group.column("component").to_numpy()
             if (component == component[0]).all():
                 continue
+            rep, block = group.column("rep").to_numpy(), group.column("block").to_numpy()
+            i, j, band = (group.column(x)[0].as_py() for x in ("i", "j", "band"))
             values = np.frombuffer(b"".join(group.column("values").to_pylist()), np.uint8).reshape(len(rep), -1)
             bands = np.array(group.column("bands").to_pylist(), np.int64)
+            pairs = []
             for x in np.flatnonzero(block == i).tolist():
                 other = np.flatnonzero((component != component[x]) & (block == j) & ((rep > rep[x]) | (i != j)))
-                if not len(other):
-                    continue
                 near = other[(values[other] == values[x]).sum(1) >= needed]
                 near = near[(bands[near, :band] != bands[x, :band]).all(1)]
-                if len(near):
-                    a, b = np.maximum(rep[near], rep[x]), np.minimum(rep[near], rep[x])
-                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+                pairs += [(x, y) for y in near.tolist()]
+            if not pairs:
+                continue
+            used = np.unique(np.array(pairs))
+            rows = group.take(pa.array(used)).combine_chunks()
+            packed = rows.column("packed").chunk(0)
+            sets = dict(zip(used.tolist(), _sets_of(packed, rows.column("d1").to_pylist(), rows.column("d2").to_pylist()), strict=True))
+            found = [(x, y) for x, y in pairs if _near(sets[x], sets[y], percent)]
+            if found:
+                a, b = rep[np.array(found)].T
+                yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["a", "b"])
 
     return run
 
 
-def across(members: DataFrame, classes: DataFrame, found: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Likely links between components within the buckets of ``members`` (``band, value, rep``)."""
+def across(members: DataFrame, classes: DataFrame, found: DataFrame, packed: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Links between components of ``found`` within the buckets of ``members`` (``band, value, rep``), confirmed on full sets."""
     bucket = ["band", "value"]
     placed = members.join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
         *bucket, "rep", F.coalesce("component", "rep").alias("component")
@@ -253,16 +262,17 @@ def across(members: DataFrame, classes: DataFrame, found: DataFrame, percent: in
         .where("low <> high")
         .select(*bucket, F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
     )
-    block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    beside = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    open_rows = written(placed.join(sizes, bucket), "minhash-open")
+    # An id with several texts has a row for each; the one of the class is told by its digest.
+    texts = packed.select(F.col("doc_id").alias("rep"), "packed")
     laid = (
-        placed.join(sizes, bucket)
-        .withColumn("block", block)
-        .withColumn("with", beside)
+        open_rows.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+        .join(classes.select("rep", "d1", "d2", "bands", "values"), "rep")
+        .join(texts, "rep")
+        .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("i", F.least("block", "with"))
         .withColumn("j", F.greatest("block", "with"))
         .drop("with", "blocks")
-        .join(classes.select("rep", "bands", "values"), "rep")
     )
     kind = members.schema["rep"].dataType.simpleString()
     key = [*bucket, "i", "j"]
@@ -289,8 +299,7 @@ def dedup(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     pairs = in_buckets.where("rep <> leader").select(F.col("rep").alias("a"), F.col("leader").alias("b")).distinct()
     links = written(confirmed(_widened(pairs, classes), packed, percent), "minhash-links")
     found = written(components(links), "minhash-components")
-    more = written(across(in_buckets, classes, found, percent), "minhash-across")
-    links = links.unionByName(written(confirmed(_widened(more, classes), packed, percent), "minhash-links"))
+    links = links.unionByName(written(across(in_buckets, classes, found, packed, percent).distinct(), "minhash-links"))
     # An id that stands for several sets connects them.
     same_id = (
         signed.where("n_shingles > 0 and doc_id is not null").groupBy("doc_id").agg(F.min("d1").alias("x"), F.max("d1").alias("y")).where("x <> y")
