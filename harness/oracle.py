@@ -364,6 +364,17 @@ JOIN (SELECT energy_tag, date_trunc('day', time) AS bucket, CAST(sum(total_power
 WHERE e.equipment_type = 'Chiller' GROUP BY e.equipment_key, name
 ORDER BY sum(power) / sum(pn) DESC NULLS LAST, name LIMIT 10"""
 
+SQL["chiller_efficiency"] = f"""
+SELECT e.equipment_key, name, floor(gap) AS load, count(*) AS buckets, {n('CAST(sum(CAST(power AS DECIMAL(28,12))) AS DOUBLE) / count(*)', 'avg_power_kw')},
+  {n('CAST(sum(CAST(power AS DECIMAL(28,12))) AS DOUBLE) / CAST(sum(CAST(gap AS DECIMAL(28,12))) AS DOUBLE)', 'kw_per_degree')}
+FROM (SELECT equipment_key, date_trunc('day', time) AS bucket,
+    CAST(sum(delta_temp_nullable) AS DOUBLE) / nullif(count(delta_temp_nullable), 0) AS gap FROM hvac GROUP BY 1, 2) h
+JOIN dim_equipment e ON h.equipment_key = e.equipment_key
+JOIN (SELECT energy_tag, date_trunc('day', time) AS bucket,
+    CAST(sum(total_power) AS DOUBLE) / nullif(count(total_power), 0) AS power FROM energy GROUP BY 1, 2) p
+  ON p.energy_tag = e.energytag AND p.bucket = h.bucket
+WHERE e.equipment_type = 'Chiller' AND gap > 0 AND power IS NOT NULL GROUP BY 1, 2, 3"""
+
 SQL["kwh_per_unit_by_shift"] = f"""
 SELECT coalesce(a.shift_code, b.shift_code) AS shift_code, {n('coalesce(kwh, 0)', 'total_kwh')},
   CAST(coalesce(units, 0) AS BIGINT) AS total_units, {n('CAST(kwh AS DOUBLE) / nullif(units, 0)', 'kwh_per_unit')}
@@ -457,6 +468,8 @@ SELECT arrival, time, newest FROM (
     SELECT event_id AS arrival, time - CASE WHEN event_id % 13 = 0 THEN INTERVAL 2 MINUTE ELSE INTERVAL 0 MINUTE END AS time
     FROM ev)) WHERE time < newest - INTERVAL 30 SECOND"""
 
+SQL["stream_late_audit"] = SQL["late_audit"]
+
 SQL["state_transition_check"] = """
 SELECT id, machine_id, previous_state, state, previous_state IS NULL OR (previous_state = 'RUN')
   OR (previous_state = 'IDLE' AND state IN ('IDLE', 'RUN')) OR (previous_state = 'DOWN' AND state IN ('DOWN', 'IDLE'))

@@ -29,7 +29,7 @@ from millwatt.plans import analytics, panels, pipeline
 from millwatt.session import work_folder
 from millwatt.sources import telemetry as telemetry_source
 from millwatt.streaming import energy as energy_stream
-from millwatt.streaming import ingest, windows
+from millwatt.streaming import ingest, lateness, windows
 
 Query = Callable[[Views], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -490,6 +490,11 @@ def chiller_dt_vs_power(v: Views) -> DataFrame:
     return analytics.chiller_delta_vs_power(v.hvac, _power(v), v.dim_equipment, bucket="day")
 
 
+@query
+def chiller_efficiency(v: Views) -> DataFrame:
+    return analytics.chiller_efficiency(v.hvac, _power(v), v.dim_equipment, bucket="day")
+
+
 @query
 def kwh_per_unit_by_shift(v: Views) -> DataFrame:
     return analytics.kwh_per_unit(v.energy, v.runs, v.shifts_raw)
@@ -767,5 +772,22 @@ def stream_cdc(v: Views) -> DataFrame:
     return table.current().select("device_no", "status", "amount")
 
 
+@query
+def stream_late_audit(v: Views) -> DataFrame:
+    """The audit over a stream of the events in two files, the second half of the serials last."""
+    folder = work_folder(v.spark, "late")
+    back = F.when(F.col("event_id") % 13 == 0, 120_000).otherwise(0)
+    rows = v.events.select("event_id", "ts_utc")
+    half = rows.agg(F.max("event_id")).first()[0] // 2
+    for part in (F.col("event_id") <= half, F.col("event_id") > half):
+        rows.where(part).write.mode("append").parquet(f"{folder}/events")
+        stream = v.spark.readStream.schema(rows.schema).parquet(f"{folder}/event[s]")
+        arrivals = stream.select(
+            F.col("event_id").alias("arrival"), F.timestamp_millis(F.col("ts_utc") - back).alias("time")
+        )
+        lateness.start(arrivals, f"{folder}/out", f"{folder}/checkpoint", trigger=NOW).awaitTermination()
+    return v.spark.read.schema("arrival bigint, time timestamp, newest timestamp").parquet(f"{folder}/out/late").select("arrival", "time", "newest")
+
+
 def run(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return present(QUERIES[name](Views(spark, folder)))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millwatt.functions.clock import hours_between
-from millwatt.functions.numeric import mean, ratio
+from millwatt.functions.numeric import NUMERIC, mean, ratio
 from millwatt.operators.joins import as_of, with_shift, within_interval
 
 
@@ -44,6 +44,32 @@ def chiller_delta_vs_power(
     )
 
 
+def chiller_efficiency(
+    hvac: DataFrame, readings: DataFrame, dim_equipment: DataFrame, bucket: str = "hour", step: float = 1.0
+) -> DataFrame:
+    """Power that chillers take for the heat they move, by chiller and load.
+
+    Load is the mean return-supply gap of a bucket of time, in steps of ``step`` degrees; the source has no
+    water flow, so heat is told by the gap alone. Buckets without a gap above zero have no load and do not
+    count. Both sides are averaged per asset and bucket before they meet.
+    """
+    chillers = dim_equipment.where(F.col("equipment_type") == "Chiller").select("equipment_key", "name", "energytag")
+    gaps = hvac.groupBy("equipment_key", F.date_trunc(bucket, "time").alias("bucket")).agg(
+        mean(F.col("delta_temp_nullable")).alias("gap")
+    )
+    power = readings.groupBy(F.col("device_name").alias("energytag"), F.date_trunc(bucket, "time").alias("bucket")).agg(
+        mean(F.col("total_power")).alias("power")
+    )
+    met = gaps.where("gap > 0").join(chillers, "equipment_key").join(power.where("power is not null"), ["energytag", "bucket"])
+    banded = met.withColumn("load", F.floor(F.col("gap") / F.lit(float(step))) * F.lit(float(step)))
+    exact = {name: F.sum(F.col(name).cast(NUMERIC)) for name in ("gap", "power")}
+    return banded.groupBy("equipment_key", "name", "load").agg(
+        F.count(F.lit(1)).alias("buckets"),
+        ratio(exact["power"], F.count(F.lit(1))).alias("avg_power_kw"),
+        ratio(exact["power"], exact["gap"]).alias("kw_per_degree"),
+    )
+
+
 def kwh_per_unit(energy: DataFrame, runs: DataFrame, shifts: DataFrame) -> DataFrame:
     """Energy used per good unit and shift.
 

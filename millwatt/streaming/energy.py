@@ -12,14 +12,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millwatt.functions.numeric import NUMERIC
 from millwatt.operators import signals
-from millwatt.sources.files import delete_folder, empty, exists, folders
-from millwatt.streaming.runs import stream_id
+from millwatt.streaming.runs import before, forget, stream_id
 
 STATE = f"device_id string, last_time timestamp, last_msg string, total_work {signals.WORK}"
 
@@ -34,26 +33,6 @@ def start(readings: DataFrame, out: str, checkpoint: str, trigger: dict | None =
     )
 
 
-def versions(spark: SparkSession, out: str) -> dict[int, tuple[str, int, str]]:
-    """Stored states that were written to their end: stream, batch and folder by version."""
-    found = {}
-    for folder in folders(spark, f"{out}/state/version=*/stream=*/batch_id=*"):
-        version, stream, batch = (part.split("=", 1)[1] for part in folder.rstrip("/").split("/")[-3:])
-        if exists(spark, f"{folder}/_SUCCESS"):
-            found[int(version)] = (stream, int(batch), folder)
-    return found
-
-
-def _before(spark: SparkSession, out: str, stream: str, batch_id: int) -> tuple[int, DataFrame]:
-    """Version this batch writes, and the state it starts from."""
-    known = versions(spark, out)
-    own = [v for v, (s, b, _) in known.items() if (s, b) == (stream, batch_id)]
-    version = own[0] if own else max(known, default=-1) + 1
-    if version - 1 not in known:
-        return version, empty(spark, STATE)
-    return version, spark.read.schema(STATE).parquet(known[version - 1][2])
-
-
 def advance(readings: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Readings with their running total, and readings that came too late to count."""
     joined = readings.join(state, "device_id", "left")
@@ -103,7 +82,7 @@ def _writer(out: str, checkpoint: str) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         stream = stream_id(spark, checkpoint)
-        version, state = _before(spark, out, stream, batch_id)
+        version, state = before(spark, out, stream, batch_id, STATE)
         totals, late = advance(batch, state)
         place = f"stream={stream}/batch_id={batch_id}"
         target = f"{out}/totals/{place}"
@@ -111,9 +90,6 @@ def _writer(out: str, checkpoint: str) -> Callable[[DataFrame, int], None]:
         late.write.mode("overwrite").parquet(f"{out}/late/{place}")
         written = spark.read.schema(totals.schema).parquet(target)
         next_state(state, written).write.mode("overwrite").parquet(f"{out}/state/version={version}/{place}")
-        # A repeated batch needs the version before its own; older ones are of no use.
-        for number, (_, _, folder) in versions(spark, out).items():
-            if number < version - 1:
-                delete_folder(spark, folder.rsplit("/", 2)[0])
+        forget(spark, out, version)
 
     return write

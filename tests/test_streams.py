@@ -12,7 +12,7 @@ from millwatt import schemas
 from millwatt.operators import signals
 from millwatt.session import work_folder
 from millwatt.sources import telemetry
-from millwatt.streaming import energy, ingest, windows
+from millwatt.streaming import energy, ingest, lateness, runs, windows
 
 START = datetime(2024, 5, 1)
 NOW = {"availableNow": True}
@@ -114,7 +114,7 @@ def test_energy_over_batches_equals_one_batch(spark, frame, folder):
     whole = signals.integrate_energy(frame([*rows, ("d9", START, "new", 1.0)], READING))
     assert table(got, "device_id", "msg_id", "total_kwh") == table(whole, "device_id", "msg_id", "total_kwh")
     assert table(spark.read.parquet(f"{out}/late"), "msg_id") == [("late",)]
-    assert sorted(energy.versions(spark, out)) == [2, 3]
+    assert sorted(runs.versions(spark, out)) == [2, 3]
 
 
 def test_energy_goes_on_with_a_new_checkpoint(spark, frame, folder):
@@ -170,3 +170,15 @@ def test_changes_with_a_new_checkpoint_and_three_batches(spark, frame, folder):
     feed(frame, source, CHANGE, [("c", None, (50,), (50, 50))])
     run(second)
     assert table(kept.current(), "id") == [(2,), (50,)]
+
+
+def test_late_rows_over_batches_equal_one_batch(spark, frame, folder):
+    source, out, state = folder("source"), folder("out"), folder("state")
+    schema = "arrival bigint, time timestamp"
+    rows = [(3 * i, START + timedelta(seconds=20 * i - (90 if i % 7 == 3 else 0))) for i in range(40)]
+    for part in (rows[:13], rows[13:14], rows[14:]):
+        feed(frame, source, schema, part)
+        lateness.start(spark.readStream.schema(schema).parquet(source), out, state, trigger=NOW).awaitTermination()
+    got = spark.read.schema("arrival bigint, time timestamp, newest timestamp").parquet(f"{out}/late").select("arrival", "time", "newest")
+    whole = signals.late_rows(frame(rows, schema), "arrival")
+    assert table(got) == table(whole) and got.count() >= 5
