@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -41,16 +44,31 @@ def get_session(app: str = "millwatt", master: str | None = None, **extra: str)
 
 
 _local_root: list[str] = []
+_made: list[str] = []
 
 
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder for ``purpose`` under the shared folder named by ``spark.checkpoint.dir``.
 
-    Only where the session names none, as in unit tests on one machine, a local one is used.
+    Only a session that runs in one process on one machine, as in unit tests, may leave the setting out; it
+    gets a local folder that goes with the process.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         if not _local_root:
             _local_root.append(tempfile.mkdtemp(prefix="run-"))
+            atexit.register(shutil.rmtree, _local_root[0], ignore_errors=True)
         root = _local_root[0]
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    folder = f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    _made.append(folder)
+    return folder
+
+
+def release(spark: SparkSession) -> None:
+    """Remove the folders this process asked for; call it when no frame built on them is needed any more."""
+    while _made:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
