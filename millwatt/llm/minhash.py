@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
+from .packing import pack, unpack
 from .stage import written
 from .words import Words, mix, rolling, tokenise
 
@@ -135,24 +136,9 @@ def signatures(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_shingles long, d1 long, d2 long, bands array<long>, values binary")
 
 
-def _packed(docs: DataFrame) -> DataFrame:
-    kind = docs.schema["doc_id"].dataType.simpleString()
-
-    def run(batches):
-        codec = pa.Codec("zstd")
-        for batch in batches:
-            texts = [(t or "").encode() for t in batch.column("text").to_pylist()]
-            packed = [len(t).to_bytes(8, "little") + codec.compress(t, asbytes=True) for t in texts]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(packed, pa.binary())], names=["doc_id", "packed"])
-
-    return docs.mapInArrow(run, f"doc_id {kind}, packed binary")
-
-
 def _sets_of(packed: pa.Array, d1: list[int], d2: list[int]) -> Iterator[np.ndarray | None]:
     """The set of each packed text; None where it is not the set of that digest."""
-    codec = pa.Codec("zstd")
-    texts = [codec.decompress(p[8:], int.from_bytes(p[:8], "little"), asbytes=True) for p in packed.to_pylist()]
-    for tokens in tokenise(pa.array(texts, pa.binary()).cast(pa.string()), lower=True):
+    for tokens in tokenise(unpack(packed), lower=True):
         sets, bounds = shingle_sets(tokens)
         one, two = _digests(sets, bounds)
         for k in range(len(tokens)):
@@ -295,7 +281,7 @@ def dedup(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         "minhash-buckets",
     )
     in_buckets = written(members.join(shared, ["band", "value"]).select("band", "value", "rep", "leader"), "minhash-members")
-    packed = _packed(docs)
+    packed = pack(docs, ["doc_id"])
     pairs = in_buckets.where("rep <> leader").select(F.col("rep").alias("a"), F.col("leader").alias("b")).distinct()
     links = written(confirmed(_widened(pairs, classes), packed, percent), "minhash-links")
     found = written(components(links), "minhash-components")

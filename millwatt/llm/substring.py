@@ -29,13 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .packing import pack, unpack
 from .stage import written
 from .words import _BASE, _BASE_INVERSE, Words, mix, powers, rolling, tokenise
 
 WINDOW = 35
 SHORT = 9  # a quarter of the window, rounded up: 9, 18, 35
 SLACK = WINDOW - SHORT  # places at which the short piece may lie in a window, less one
-_ZSTD = "zstd"
 
 
 def _least(g: np.ndarray, count: int) -> np.ndarray:
@@ -117,28 +117,6 @@ def _anchors(docs: DataFrame) -> DataFrame:
     )
 
 
-def _packed(docs: DataFrame) -> DataFrame:
-    """The documents with their texts compressed, for moving them."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-
-    def run(batches):
-        codec = pa.Codec(_ZSTD)
-        for batch in batches:
-            texts = [(t or "").encode() for t in batch.column("text").to_pylist()]
-            packed = [len(t).to_bytes(8, "little") + codec.compress(t, asbytes=True) for t in texts]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("digest"), pa.array(packed, pa.binary())], names=["doc_id", "digest", "packed"]
-            )
-
-    return docs.mapInArrow(run, f"doc_id {kind}, digest int, packed binary")
-
-
-def _unpack(packed: pa.Array) -> pa.Array:
-    codec = pa.Codec(_ZSTD)
-    raw = packed.to_pylist()
-    return pa.array([codec.decompress(p[8:], int.from_bytes(p[:8], "little"), asbytes=True) for p in raw], pa.binary()).cast(pa.string())
-
-
 def _same(a: DataFrame, b: DataFrame, keys: list[str]):
     """Join condition on keys that may be null."""
     on = [a[k].eqNullSafe(b[k]) for k in keys]
@@ -174,7 +152,7 @@ def repeated(docs: DataFrame) -> DataFrame:
     opened = doubled.join(mixed, "short").groupBy("copy.doc_id", "copy.digest").agg(
         F.collect_list(F.struct("short", "span", F.col("copy.place").alias("place"), "most", "least", "n")).alias("spans")
     )
-    packed = _packed(docs)
+    packed = pack(docs, ["doc_id", "digest"])
     texts = packed.join(opened, _same(packed, opened, ["doc_id", "digest"])).drop(opened["doc_id"]).drop(opened["digest"])
     # Rows with the same id and text would give their spans twice.
     windows = written(texts.dropDuplicates(["doc_id", "digest"]).select("packed", "spans").mapInArrow(_open, "w1 long, w2 long, short long, span long, l byte, n long"), "substring-35")
@@ -190,7 +168,7 @@ def _open(batches):
     names = ["w1", "w2", "short", "span", "l", "n"]
     for batch in batches:
         spans = batch.column("spans").to_pylist()
-        for tokens in tokenise(_unpack(batch.column("packed"))):
+        for tokens in tokenise(unpack(batch.column("packed"))):
             one, two = rolling(tokens.hashes, WINDOW), rolling(tokens.hashes, WINDOW, salt=0x5DEECE66D)
             out = {x: [] for x in names}
             for k in range(len(tokens)):
@@ -210,7 +188,7 @@ def _cut(batches):
     """Remove the words of marked windows."""
     for batch in batches:
         marks = batch.column("marks").to_pylist()
-        texts = _unpack(batch.column("packed"))
+        texts = unpack(batch.column("packed"))
         n_words, n_removed, kept, sha = [], [], [], []
         for tokens in tokenise(texts):
             data = tokens.data.tobytes()
@@ -241,7 +219,7 @@ def dedup(docs: DataFrame) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_text, kept_sha256``: kept words are joined by one space."""
     docs = docs.select("doc_id", "text", F.coalesce(F.xxhash64("text"), F.lit(0)).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("digest"))
     marks = repeated(docs)
-    packed = _packed(docs)
+    packed = pack(docs, ["doc_id", "digest"])
     rows = packed.join(marks, _same(packed, marks, ["doc_id", "digest"]), "left").select(packed["doc_id"], "packed", "marks")
     kind = docs.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(_cut, f"doc_id {kind}, n_words long, n_removed long, kept_text string, kept_sha256 string")

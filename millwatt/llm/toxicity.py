@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -108,6 +109,7 @@ SUBSTITUTED, MASKED, DROPPED, JOINED, BROKEN = -1.0, -2.0, -8.0, -0.3, -1.5
 PAIR_READ_ONCE, RUN_READ_ONCE, RUN_READ_TWICE, RUN_KEPT = -7.0, -0.5, -1.5, -6.0
 
 
+@cache
 def _class_of(c: str) -> int:
     return int(classes(np.array([ord(c)], np.uint32), np.array([c.isalpha()]))[0])
 
@@ -140,11 +142,12 @@ def lattice(span: str) -> list[list[tuple[str, float]]]:
 
 
 def decode(span: str, model: np.ndarray) -> str:
-    """The likeliest reading of a disguised span (Viterbi over the last two classes)."""
-    best: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+    """The likeliest reading of a disguised span (Viterbi over the last two classes; of equal ones the first found)."""
+    # For each state the value of its best path, and the path as pieces linked to the one before.
+    best: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
     for options in [*lattice(span), [(" ", 0.0)]]:
-        after: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (value, text) in best.items():
+        after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+        for (a, b), (value, path) in best.items():
             for string, cost in options:
                 v, x, y = value + cost, a, b
                 for c in string:
@@ -152,9 +155,13 @@ def decode(span: str, model: np.ndarray) -> str:
                     v += model[x, y, z]
                     x, y = y, z
                 if (x, y) not in after or v > after[x, y][0]:
-                    after[x, y] = (v, text + string)
+                    after[x, y] = (v, (path, string))
         best = after
-    return max(best.values())[1].strip()
+    path, pieces = max(best.values(), key=lambda found: found[0])[1], []
+    while path:
+        path, piece = path
+        pieces.append(piece)
+    return "".join(reversed(pieces)).strip()
 
 
 def spans(block: Letters) -> Iterator[tuple[int, int, int]]:
@@ -174,17 +181,25 @@ def spans(block: Letters) -> Iterator[tuple[int, int, int]]:
     inner = sign & next_letter & (last_letter | before(sign, 1) | ~before(letter | sign, 1))
     tail = sign & last_letter & before(letter, 2) & ~after(letter | sign, 1) & (p != ord("!")) & (p != ord("|")) & (p != ord("("))
     broken = noise & last_letter & next_letter
-    alone = letter & ~next_letter & ~last_letter
-    gap = ~letter & ~sign
-    apart = alone & after(gap, 1) & after(alone, 2) & after(alone, 4) & after(alone, 6)
+    # Four or more single letters or signs, one or two other characters apart.
+    part = letter | sign
+    alone = part & ~(after(part, 1) & ~edge[1:]) & ~(before(part, 1) & ~edge[:-1])
+    places = np.flatnonzero(alone)
+    close = np.zeros(len(places) + 1, bool)
+    if len(places) > 1:
+        close[1:-1] = (np.diff(places) <= 3) & (np.cumsum(edge[:-1])[places[1:]] == np.cumsum(edge[:-1])[places[:-1]])
+    run_start = np.flatnonzero(close[1:] & ~close[:-1])
+    run_end = np.flatnonzero(~close[1:] & close[:-1])
+    apart, stretch = np.zeros(n, bool), np.zeros(n, bool)
+    for a, b in zip(run_start.tolist(), run_end.tolist(), strict=True):
+        if b - a >= 3:
+            apart[places[a]] = True
+            stretch[places[a] : places[b] + 1] = True
     marked = drawn | inner | tail | broken | apart
     if not marked.any():
         return
     body = letter | sign | (noise & last_letter & next_letter)
-    # Letters set apart by one sign belong together.
-    stretch = alone & ((after(alone, 2) & after(gap, 1)) | (before(alone, 2) & before(gap, 1)))
-    between = gap & before(alone, 1) & after(alone, 1) & before(stretch, 1) & after(stretch, 1)
-    body |= between
+    body |= stretch
     begin = body & (~before(body, 1) | edge[:-1])
     starts = np.flatnonzero(begin)
     if not len(starts):

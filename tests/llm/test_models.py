@@ -158,7 +158,7 @@ def chars():
 
 @pytest.mark.parametrize(
     ("span", "word"),
-    [("1d10t", "idiot"), ("i d i o t", "idiot"), ("i.d.i.o.t", "idiot"), ("idiooooot", "idiot"), ("cl0wn", "clown"), ("l-o-s-e-r", "loser"), ("tr@sh", "trash"), ("$tup1d", "stupid"), ("st*pid", "stupid"), ("w0rthless", "worthless")],
+    [("1d10t", "idiot"), ("i d i o t", "idiot"), ("i  d  i  o  t", "idiot"), ("i d 1 0 t", "idiot"), ("i.d.i.o.t", "idiot"), ("idiooooot", "idiot"), ("cl0wn", "clown"), ("l-o-s-e-r", "loser"), ("tr@sh", "trash"), ("$tup1d", "stupid"), ("st*pid", "stupid"), ("w0rthless", "worthless")],
 )
 def test_disguised_words_are_restored(chars, span, word):
     (block,) = letters(pa.array([f"you {span} and"]))
