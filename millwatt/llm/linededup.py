@@ -223,23 +223,23 @@ def dedup(docs: DataFrame) -> DataFrame:
         .groupBy(F.col("doc_id").alias("mask_id"), F.col("digest").alias("mask_digest"))
         .agg(F.collect_list(F.struct("block", "bits")).alias("sparse"), F.max("block").alias("blocks"))
         .withColumn(
-            "mask",
+            "removed_mask",
             F.transform(
                 F.sequence(F.lit(0), F.col("blocks")),
                 lambda b: F.coalesce(F.get(F.filter("sparse", lambda s: s["block"] == b), F.lit(0))["bits"], F.lit(0)),
             ),
         )
-        .select("mask_id", "mask_digest", "mask")
+        .select("mask_id", "mask_digest", "removed_mask")
     )
     joined = docs.join(
         masks, docs["doc_id"].eqNullSafe(masks["mask_id"]) & (_digest(F.coalesce(docs["text"], F.lit(""))) == masks["mask_digest"]), "left"
     )
     stays = F.filter(
         F.split("text", "\n"),
-        lambda x, i: F.coalesce(F.call_function("shiftright", F.get(F.col("mask"), F.floor(i / BLOCK).cast("int")), i % BLOCK).bitwiseAND(F.lit(1)), F.lit(0)) == 0,
+        lambda x, i: F.coalesce(F.call_function("shiftright", F.get(F.col("removed_mask"), F.floor(i / BLOCK).cast("int")), i % BLOCK).bitwiseAND(F.lit(1)), F.lit(0)) == 0,
     )
-    cut = joined.withColumn("text", F.when(F.col("mask").isNull(), F.col("text")).otherwise(F.array_join(stays, "\n")))
-    cut = cut.where(F.col("mask").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    cut = joined.withColumn("text", F.when(F.col("removed_mask").isNull(), F.col("text")).otherwise(F.array_join(stays, "\n")))
+    cut = cut.where(F.col("removed_mask").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     if "n_chars" in docs.columns:
-        cut = cut.withColumn("n_chars", F.when(F.col("mask").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+        cut = cut.withColumn("n_chars", F.when(F.col("removed_mask").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
     return cut.select(*docs.columns)

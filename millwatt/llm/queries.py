@@ -35,7 +35,8 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return found.select("doc_id", "contaminated", "n_items", F.array_join(F.col("items").cast("array<string>"), ",").alias("items"))
+    items = F.array_join(F.col("items").cast("array<string>"), ",").alias("items")
+    return found.select("doc_id", "contaminated", (~F.col("contaminated")).alias("kept"), "n_items", items)
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

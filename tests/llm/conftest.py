@@ -42,7 +42,7 @@ ODD = [
     (9, "same same same same same same same same same same same same", "en", "s", 1),
 ]
 # Names that operators give to columns of their own.
-CLASHING = ["score", "kept", "digest", "size", "target", "bands", "values", "component_id", "lang_pred", "copy", "line", "n", "packed", "hashes"]
+CLASHING = ["score", "kept", "digest", "size", "target", "bands", "values", "component_id", "lang_pred", "copy", "line", "n", "packed", "hashes", "mask", "blocks", "rep", "first", "at"]
 
 
 @pytest.fixture
