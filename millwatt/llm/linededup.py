@@ -13,8 +13,8 @@ the input.
   aggregated to its earliest line, so a bucket costs a row for each member, never pairs.
 * Each line and the earliest one of its key are compared word by word before the link counts.
 
-The halves that lines share and the candidates are broadcast when counted to be at most ``BROADCAST_ROWS``, so that no text is
-shuffled to find the few candidates; beyond that Spark shuffles both sides. Native DataFrame functions only. Variant hashes are running sums (exclusive or) over a line's words, linear in its length.
+The halves that lines share and the documents with candidates are broadcast when counted to be at most ``BROADCAST_ROWS``, so
+that no text is shuffled to find the few candidates; beyond that Spark shuffles both sides. Native DataFrame functions only. Variant hashes are running sums (exclusive or) over a line's words, linear in its length.
 
 Defined results: words are separated by ``[\\x20\\x09-\\x0D]+``, lines by a line feed; lines with fewer words, blank ones
 included, always stay; a null or empty text has no removed lines and keeps its text; a null id comes before all others; rows with
@@ -31,7 +31,7 @@ from .stage import small, written
 MIN_WORDS = 3
 FUZZY_WORDS = 8
 BLOCK = 62  # lines in one mask
-BROADCAST_ROWS = 1_000_000  # of 8 to 40 bytes
+BROADCAST_ROWS = 200_000  # of some hundred bytes at most
 _LINE = ["l1", "l2"]
 _AT = ["doc_id", "digest", "line_no"]
 
@@ -54,7 +54,7 @@ def lines(docs: DataFrame) -> DataFrame:
         "doc_id", _digest(F.col("text")).alias("digest"), F.posexplode(F.split(_plain(F.col("text")), "\n")).alias("line_no", "line")
     )
     trimmed = rows.withColumn("line", F.trim("line"))
-    spaces = F.length("line") - F.length(F.replace(F.col("line"), F.lit(" "), F.lit("")))
+    spaces = F.octet_length("line") - F.octet_length(F.replace(F.col("line"), F.lit(" "), F.lit("")))
     return trimmed.withColumn("n", F.when(F.col("line") == "", 0).otherwise(spaces + 1)).where(F.col("n") >= MIN_WORDS)
 
 
@@ -78,6 +78,25 @@ def _order(*names: str) -> Column:
     return F.struct(*names)
 
 
+def _texts(docs: DataFrame, near: DataFrame) -> DataFrame:
+    """``first, n, head, tail, line`` of each candidate, its text taken from its first occurrence.
+
+    Only documents that hold one are split into lines again.
+    """
+    wanted = written(
+        near.groupBy(F.col("first.doc_id").alias("at_id"), F.col("first.digest").alias("at_digest")).agg(
+            F.collect_list(F.struct("first", "n", "head", "tail")).alias("wanted")  # at most the lines of one document
+        ),
+        "lines-wanted",
+    )
+    texts = docs.where(F.col("text").isNotNull()).select("doc_id", _digest(F.col("text")).alias("digest"), "text")
+    small_wanted = small(wanted, BROADCAST_ROWS)
+    same = texts["doc_id"].eqNullSafe(wanted["at_id"]) & (texts["digest"] == wanted["at_digest"])
+    found = texts.join(small_wanted, same).select("wanted", F.split(_plain(F.col("text")), "\n").alias("lines"))
+    each = F.transform("wanted", lambda w: F.struct(w["first"].alias("first"), w["n"].alias("n"), w["head"].alias("head"), w["tail"].alias("tail"), F.trim(F.get(F.col("lines"), w["first"]["line_no"])).alias("line")))
+    return found.select(F.explode(each).alias("c")).select("c.*").dropDuplicates(["first"])
+
+
 def removed(docs: DataFrame) -> DataFrame:
     """``doc_id, digest, line_no`` of every line that goes (once for rows with the same id and text)."""
     all_lines = lines(docs)
@@ -107,11 +126,7 @@ def removed(docs: DataFrame) -> DataFrame:
         )
     )
     near = written(near, "lines-near")
-    # One text for each candidate: that of its first occurrence.
-    texts = all_lines.where(F.col("n") >= FUZZY_WORDS).select(*_identity(F.col("line")), "line", _order(*_AT).alias("first"))
-    candidates = written(
-        texts.join(small(near, BROADCAST_ROWS), [*_LINE, "first"]).dropDuplicates(_LINE).drop(*_LINE), "lines-candidates"
-    )
+    candidates = written(_texts(docs, near), "lines-candidates")
 
     words = candidates.select("first", "n", "head", "tail", F.posexplode(F.split("line", " ")).alias("i", "word"))
     words = words.withColumn("here", F.xxhash64("i", "word")).withColumn("shifted", F.xxhash64(F.col("i") - 1, "word"))
@@ -200,7 +215,7 @@ def report(docs: DataFrame) -> DataFrame:
     sizes = docs.select(
         "doc_id",
         _digest(text).alias("digest"),
-        F.when(text == "", 0).otherwise(F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("long").alias("n_lines"),
+        F.when(text == "", 0).otherwise(F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("long").alias("n_lines"),
     )
     same = sizes["doc_id"].eqNullSafe(gone["doc_id"]) & (sizes["digest"] == gone["digest"])
     return sizes.join(gone, same, "left").select(

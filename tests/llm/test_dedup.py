@@ -231,6 +231,13 @@ def test_lines_match_brute_force(docs, seed):
     assert sorted((r.doc_id, r.line_no) for r in got) == sorted(brute_lines(rows))
 
 
+def test_lines_match_without_broadcasts(docs, monkeypatch):
+    monkeypatch.setattr(linededup, "BROADCAST_ROWS", -1)
+    rows = edited(8)
+    got = linededup.removed(docs(rows)).collect()
+    assert sorted((r.doc_id, r.line_no) for r in got) == sorted(brute_lines(rows))
+
+
 def test_kept_lines_are_untouched(docs):
     rows = edited(4) + [(50, "\n".join(f"line number {k} of a text of many lines, all different k{k}" for k in range(200)) + "\nu1  u2")]
     rows += [(51, rows[-1][1] + "\nlast  words\there stay as they are in this line")]

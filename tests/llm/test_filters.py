@@ -68,6 +68,14 @@ def test_leaks_match_brute_force(spark, docs, seed):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, _ in rows if not want[i])
 
 
+def test_leaks_match_without_broadcasts(spark, docs, monkeypatch):
+    monkeypatch.setattr(decontam, "BROADCAST_ROWS", -1)
+    rows, items = leaky(11)
+    found = decontam.decontaminate(docs(rows), spark.createDataFrame(items, BENCHMARK)).collect()
+    want = brute_leaks(rows, items)
+    assert {r.doc_id: set(r["items"]) for r in found} == {i: want[i] for i, _ in rows}
+
+
 def test_two_replaced_tokens_in_a_window_are_still_found(spark, docs):
     passage = [f"p{i}" for i in range(13)]
     rows = []
