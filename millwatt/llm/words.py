@@ -71,7 +71,7 @@ class Words:
         return np.repeat(np.arange(len(self)), np.diff(self.bounds))
 
 
-def chunks(texts: pa.Array, size: int = 1 << 21, most: int = 1 << 30) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def chunks(texts: pa.Array, size: int = 1 << 20, most: int = 1 << 30) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Pieces of a string array: first row, bytes, and bounds of the rows in them.
 
     A piece has whole texts, ``most`` of them and ``size`` bytes together, or one longer text. Null counts as empty.
