@@ -40,13 +40,17 @@ def tokens(text: Column) -> Column:
     return F.transform(found, lambda w: F.xxhash64(w))
 
 
+def _digest(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def _pair(h: Column, after: Column) -> Column:
     """Bit of two neighbouring tokens, from their hashes."""
     return F.pmod(h.bitwiseXOR(F.call_function("shiftright", after, F.lit(7))), F.lit(BITS))
 
 
 def _around(hashes: Column, at: Column, salt: int) -> Column:
-    """The hashes from ``REACH`` before a place to ``REACH`` after the longest mask; beyond the text a value that equals nothing."""
+    """The hashes from ``REACH`` before a place to ``REACH`` after the longest mask; ``salt`` beyond the text."""
     return F.transform(
         F.sequence(at - REACH, at + (LONGEST + REACH - 1)),
         lambda k: F.when(k >= 0, F.coalesce(F.get(hashes, k), F.lit(salt))).otherwise(F.lit(salt)),
@@ -68,7 +72,9 @@ _END = {"doc": -1, "item": -2}  # stand for tokens beyond the text
 def bitmap(places: DataFrame) -> list[int]:
     """The pairs that start a seed, as masks of 32 bits: ``BITS`` bits whatever the size of the benchmark."""
     bits = places.select(_pair(F.get("hashes", "at"), F.get("hashes", F.col("at") + 1)).alias("bit"))
-    masks = bits.groupBy(F.expr("shiftright(bit, 5)").cast("int").alias("k")).agg(F.expr("bit_or(shiftleft(1L, cast(bit & 31 as int)))").alias("m"))
+    masks = bits.groupBy(F.expr("cast(shiftright(bit, 5) as int)").alias("k")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(bit & 31 as int)))").alias("m")
+    )
     out = [0] * (BITS // 32)
     for r in masks.collect():  # at most BITS / 32 rows
         out[r.k] = r.m
@@ -76,11 +82,16 @@ def bitmap(places: DataFrame) -> list[int]:
 
 
 def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``doc_id, digest, item_id, shift`` of every verified overlap; ``shift`` is the place in the document less that in the item."""
-    items = written(benchmark.select("item_id", tokens(F.col("text")).alias("hashes")).where(F.size("hashes") >= SHORTEST), "benchmark")
+    """``doc_id, digest, item_id, shift`` of every verified overlap.
+
+    ``shift`` is the place in the document less the place in the item.
+    """
+    long_enough = benchmark.select("item_id", tokens(F.col("text")).alias("hashes")).where(F.size("hashes") >= SHORTEST)
+    items = written(long_enough, "benchmark")
     places = items.select("item_id", "hashes", F.explode(F.sequence(F.lit(0), F.size("hashes") - SHORTEST)).alias("at"))
+    beside = _around(F.col("hashes"), F.col("at"), _END["item"])
     starts = written(
-        places.select("item_id", F.size("hashes").alias("length"), "at", _around(F.col("hashes"), F.col("at"), _END["item"]).alias("item"))
+        places.select("item_id", F.size("hashes").alias("length"), "at", beside.alias("item"))
         .withColumn("s", F.explode(_seeds("item")))
         .select("item_id", "length", F.col("at").alias("item_at"), "item", "s.*")
         # A mask that leaves the item would hash what stands for its end.
@@ -89,7 +100,7 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     known = F.split(F.lit(",".join(map(str, bitmap(places)))), ",").cast("array<long>")
     count = starts.count()
-    hashed = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("digest"), tokens(F.col("text")).alias("hashes"))
+    hashed = docs.select("doc_id", _digest(F.col("text")).alias("digest"), tokens(F.col("text")).alias("hashes"))
 
     def likely(h: Column, i: Column) -> Column:
         bit = _pair(h, F.get(F.col("hashes"), i + 1))
@@ -100,12 +111,10 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = hashed.withColumn(
         "at", F.array_compact(F.transform(F.slice("hashes", 1, F.greatest(F.size("hashes") - (SHORTEST - 1), F.lit(0))), likely))
     )
-    near = found.select(
-        "doc_id",
-        "digest",
-        F.explode(F.transform("at", lambda k: F.struct(k.alias("at"), _around(F.col("hashes"), k, _END["doc"]).alias("doc")))).alias("p"),
-    )
-    seeded = near.select("doc_id", "digest", "p.at", "p.doc").withColumn("s", F.explode(_seeds("doc"))).select("doc_id", "digest", "at", "doc", "s.*")
+    place = lambda k: F.struct(k.alias("at"), _around(F.col("hashes"), k, _END["doc"]).alias("doc"))
+    near = found.select("doc_id", "digest", F.explode(F.transform("at", place)).alias("p"))
+    each = near.select("doc_id", "digest", "p.at", "p.doc").withColumn("s", F.explode(_seeds("doc")))
+    seeded = each.select("doc_id", "digest", "at", "doc", "s.*")
     met = seeded.join(F.broadcast(starts) if count <= BROADCAST_ROWS else starts, ["mask", "seed"])
     return (
         met.withColumn("same", F.zip_with("doc", "item", lambda x, y: (x == y).cast("int")))
@@ -130,7 +139,8 @@ def _overlaps() -> Column:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id, contaminated, n_items, items`` for every document; ``items`` are the ids of its benchmark items, in order."""
-    rows = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("digest"), F.lit(1).alias("one"), F.lit(None).cast(benchmark.schema["item_id"].dataType).alias("item_id"))
+    no_item = F.lit(None).cast(benchmark.schema["item_id"].dataType).alias("item_id")
+    rows = docs.select("doc_id", _digest(F.col("text")).alias("digest"), F.lit(1).alias("one"), no_item)
     leaks = hits(docs.select("doc_id", "text"), benchmark).select("doc_id", "digest", F.lit(0).alias("one"), "item_id").distinct()
     each = rows.unionByName(leaks).groupBy("doc_id", "digest").agg(
         F.sum("one").alias("times"), F.sum(1 - F.col("one")).alias("n_items"), F.array_sort(F.collect_set("item_id")).alias("items")
@@ -146,6 +156,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` without a benchmark overlap, all columns as they were."""
-    leaks = hits(docs.select("doc_id", "text"), benchmark).select(F.col("doc_id").alias("leak_id"), F.col("digest").alias("leak_digest")).distinct()
-    same = docs["doc_id"].eqNullSafe(leaks["leak_id"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == leaks["leak_digest"])
+    leaks = hits(docs.select("doc_id", "text"), benchmark).select(
+        F.col("doc_id").alias("leak_id"), F.col("digest").alias("leak_digest")
+    )
+    same = docs["doc_id"].eqNullSafe(leaks["leak_id"]) & (_digest(docs["text"]) == leaks["leak_digest"])
     return docs.join(leaks, same, "left_anti")

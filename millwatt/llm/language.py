@@ -103,7 +103,11 @@ def fit(docs: DataFrame, sample: int = 4000, landmarks: int = 128, ridge: float
     target = np.array([names.index(lang) for lang, _ in rows])
     per = max(4, landmarks // len(names))
     # Rows lie in order of their bits, which is no order of meaning: take them at even steps.
-    chosen = np.concatenate([own[np.linspace(0, len(own) - 1, min(per, len(own))).astype(int)] for own in (np.flatnonzero(target == k) for k in range(len(names)))])
+    chosen = []
+    for k in range(len(names)):
+        own = np.flatnonzero(target == k)
+        chosen.append(own[np.linspace(0, len(own) - 1, min(per, len(own))).astype(int)])
+    chosen = np.concatenate(chosen)
     unpack = lambda p: np.unpackbits(p, axis=1).astype(np.float32)
     z = unpack(packed[chosen])
     k = np.concatenate([kernel(unpack(packed[i : i + ROWS]), z) for i in range(0, len(packed), ROWS)]).astype(np.float64)

@@ -14,7 +14,8 @@ the input.
 * Each line and the earliest one of its key are compared word by word before the link counts.
 
 The halves that lines share and the documents with candidates are broadcast when counted to be at most ``BROADCAST_ROWS``, so
-that no text is shuffled to find the few candidates; beyond that Spark shuffles both sides. Native DataFrame functions only. Variant hashes are running sums (exclusive or) over a line's words, linear in its length.
+that no text is shuffled to find the few candidates; beyond that Spark shuffles both sides. Native DataFrame functions
+only. Variant hashes are running sums (exclusive or) over a line's words, linear in its length.
 
 Defined results: words are separated by ``[\\x20\\x09-\\x0D]+``, lines by a line feed; lines with fewer words, blank ones
 included, always stay; a null or empty text has no removed lines and keeps its text; a null id comes before all others; rows with
@@ -50,8 +51,9 @@ def _digest(text: Column) -> Column:
 
 def lines(docs: DataFrame) -> DataFrame:
     """``doc_id, digest, line_no, line, n`` of every line with ``MIN_WORDS`` words or more."""
+    parts = F.split(_plain(F.col("text")), "\n")
     rows = docs.where(F.col("text").isNotNull()).select(
-        "doc_id", _digest(F.col("text")).alias("digest"), F.posexplode(F.split(_plain(F.col("text")), "\n")).alias("line_no", "line")
+        "doc_id", _digest(F.col("text")).alias("digest"), F.posexplode(parts).alias("line_no", "line")
     )
     trimmed = rows.withColumn("line", F.trim("line"))
     spaces = F.octet_length("line") - F.octet_length(F.replace(F.col("line"), F.lit(" "), F.lit("")))
@@ -93,7 +95,8 @@ def _texts(docs: DataFrame, near: DataFrame) -> DataFrame:
     small_wanted = small(wanted, BROADCAST_ROWS)
     same = texts["doc_id"].eqNullSafe(wanted["at_id"]) & (texts["digest"] == wanted["at_digest"])
     found = texts.join(small_wanted, same).select("wanted", F.split(_plain(F.col("text")), "\n").alias("lines"))
-    each = F.transform("wanted", lambda w: F.struct(w["first"].alias("first"), w["n"].alias("n"), w["head"].alias("head"), w["tail"].alias("tail"), F.trim(F.get(F.col("lines"), w["first"]["line_no"])).alias("line")))
+    line = lambda w: F.trim(F.get(F.col("lines"), w["first"]["line_no"])).alias("line")
+    each = F.transform("wanted", lambda w: F.struct(*[w[x].alias(x) for x in ("first", "n", "head", "tail")], line(w)))
     return found.select(F.explode(each).alias("c")).select("c.*").dropDuplicates(["first"])
 
 
@@ -155,7 +158,8 @@ def removed(docs: DataFrame) -> DataFrame:
             )
         ).alias("v"),
     )
-    whole = sums.where("i = 0").select("first", F.struct(F.xxhash64("n", "all_here").alias("key"), F.lit(2).alias("role")).alias("v"))
+    full = F.struct(F.xxhash64("n", "all_here").alias("key"), F.lit(2).alias("role"))
+    whole = sums.where("i = 0").select("first", full.alias("v"))
     variants = written(deleted.unionByName(whole).select("first", "v.*"), "lines-variants")
     # Keys of replacements and of deletions are hashes of different shape and do not meet.
     met = (
@@ -196,26 +200,26 @@ def within_one(a: str, b: str) -> Column:
     They do when their common head and tail together cover all but one word of the longer.
     """
     longer, shorter = F.greatest(F.size(a), F.size(b)), F.least(F.size(a), F.size(b))
-    head = F.array_position(F.transform(F.arrays_zip(F.slice(a, 1, shorter).alias("x"), F.slice(b, 1, shorter).alias("y")), lambda p: p["x"] == p["y"]), F.lit(False))
-    tail = F.array_position(
-        F.transform(
-            F.arrays_zip(F.slice(F.reverse(a), 1, shorter).alias("x"), F.slice(F.reverse(b), 1, shorter).alias("y")),
-            lambda p: p["x"] == p["y"],
-        ),
-        F.lit(False),
-    )
-    count = lambda at: F.when(at == 0, shorter).otherwise(at - 1)
-    return (longer - shorter <= 1) & (count(head) + count(tail) >= longer - 1)
+
+    def common(x: Column, y: Column) -> Column:
+        """Length of the common head."""
+        same = F.zip_with(F.slice(x, 1, shorter), F.slice(y, 1, shorter), lambda p, q: p == q)
+        at = F.array_position(same, F.lit(False))
+        return F.when(at == 0, shorter).otherwise(at - 1)
+
+    covered = common(F.col(a), F.col(b)) + common(F.reverse(a), F.reverse(b))
+    return (longer - shorter <= 1) & (covered >= longer - 1)
 
 
 def report(docs: DataFrame) -> DataFrame:
     """``doc_id, n_lines, n_removed, removed``: numbers of the removed lines, from 0, joined by commas."""
     gone = removed(docs).groupBy("doc_id", "digest").agg(F.array_sort(F.collect_list("line_no")).alias("gone"))
     text = F.coalesce(F.col("text"), F.lit(""))
+    feeds = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit("")))
     sizes = docs.select(
         "doc_id",
         _digest(text).alias("digest"),
-        F.when(text == "", 0).otherwise(F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("long").alias("n_lines"),
+        F.when(text == "", 0).otherwise(feeds + 1).cast("long").alias("n_lines"),
     )
     same = sizes["doc_id"].eqNullSafe(gone["doc_id"]) & (sizes["digest"] == gone["digest"])
     return sizes.join(gone, same, "left").select(
@@ -227,9 +231,9 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def dedup(docs: DataFrame) -> DataFrame:
-    """The documents with their removed lines taken out of ``text``; all columns as they were but ``n_chars``, counted anew if there.
+    """The documents with their removed lines taken out of ``text``.
 
-    A document whose every word went is a copy of others and goes too.
+    All other columns stay as they were but ``n_chars``, which is counted anew if there. A document whose every word went is a copy of others and goes too.
     """
     masks = (
         removed(docs)
@@ -246,15 +250,18 @@ def dedup(docs: DataFrame) -> DataFrame:
         )
         .select("mask_id", "mask_digest", "removed_mask")
     )
-    joined = docs.join(
-        masks, docs["doc_id"].eqNullSafe(masks["mask_id"]) & (_digest(F.coalesce(docs["text"], F.lit(""))) == masks["mask_digest"]), "left"
-    )
-    stays = F.filter(
-        F.split("text", "\n"),
-        lambda x, i: F.coalesce(F.call_function("shiftright", F.get(F.col("removed_mask"), F.floor(i / BLOCK).cast("int")), i % BLOCK).bitwiseAND(F.lit(1)), F.lit(0)) == 0,
-    )
-    cut = joined.withColumn("text", F.when(F.col("removed_mask").isNull(), F.col("text")).otherwise(F.array_join(stays, "\n")))
-    cut = cut.where(F.col("removed_mask").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    own = _digest(F.coalesce(docs["text"], F.lit("")))
+    joined = docs.join(masks, docs["doc_id"].eqNullSafe(masks["mask_id"]) & (own == masks["mask_digest"]), "left")
+
+    def gone(i: Column) -> Column:
+        bits = F.get(F.col("removed_mask"), F.floor(i / BLOCK).cast("int"))
+        return F.coalesce(F.call_function("shiftright", bits, i % BLOCK).bitwiseAND(F.lit(1)), F.lit(0)) == 1
+
+    untouched = F.col("removed_mask").isNull()
+    left = F.array_join(F.filter(F.split("text", "\n"), lambda _, i: ~gone(i)), "\n")
+    cut = joined.withColumn("text", F.when(untouched, F.col("text")).otherwise(left))
+    cut = cut.where(untouched | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     if "n_chars" in docs.columns:
-        cut = cut.withColumn("n_chars", F.when(F.col("removed_mask").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+        counted = F.length("text").cast(docs.schema["n_chars"].dataType)
+        cut = cut.withColumn("n_chars", F.when(untouched, F.col("n_chars")).otherwise(counted))
     return cut.select(*docs.columns)

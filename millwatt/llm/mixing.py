@@ -40,9 +40,10 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, percent: int =
         (repeats * F.col("source_size")).alias("cap"),
     )
     fill = Window.orderBy(F.col("cap") / F.col("weight"), "source_key")
+    upto = fill.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     everything = Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     levels = (
-        weighed.withColumn("filled", F.sum("cap").over(fill.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("cap"))
+        weighed.withColumn("filled", F.sum("cap").over(upto) - F.col("cap"))
         .withColumn("open_weight", F.sum("weight").over(fill.rowsBetween(Window.currentRow, Window.unboundedFollowing)))
         .withColumn("budget", F.sum("source_size").over(everything) * percent / 100)
         .withColumn("level", (F.col("budget") - F.col("filled")) / F.col("open_weight"))
@@ -89,7 +90,8 @@ def mix(
     )
     sizes = pieces.groupBy("source_key").agg(F.first("source").alias("source"), F.sum("piece_size").alias("source_size"))
     plan = offsets.join(targets(sizes, weights, percent, repeats), "source_key")
-    within = Window.partitionBy("source_key", "piece").orderBy("turn", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    in_turn = Window.partitionBy("source_key", "piece").orderBy("turn", "doc_id", "size")
+    within = in_turn.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     queued = (
         items.withColumn("inner", F.sum("size").over(within))
         .join(plan, ["source_key", "piece"])

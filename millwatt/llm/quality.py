@@ -55,7 +55,8 @@ def shapes(tokens: Words) -> np.ndarray:
     fresh[starts] = True
     count = np.cumsum(fresh)
     rank = count - np.repeat(count[starts], lengths)
-    terms = np.where(fresh, mix(kind.astype(np.uint64) + (np.minimum(rank, 15).astype(np.uint64) << np.uint64(8)) + np.uint64(1 << 20)), np.uint64(0))
+    placed = kind.astype(np.uint64) + (np.minimum(rank, 15).astype(np.uint64) << np.uint64(8)) + np.uint64(1 << 20)
+    terms = np.where(fresh, mix(placed), np.uint64(0))
     return mix(np.add.reduceat(terms, starts))
 
 
@@ -124,7 +125,9 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", sample: int
             for tokens in tokenise(batch.column("text")):
                 text, column, value = features(tokens)
                 cut = np.searchsorted(text, np.arange(len(tokens) + 1))
-                rows += [(column[a:b].astype(np.int32), value[a:b].astype(np.float32), y[tokens.first + k]) for k, (a, b) in enumerate(zip(cut, cut[1:], strict=False))]
+                column, value = column.astype(np.int32), value.astype(np.float32)
+                for k, (a, b) in enumerate(zip(cut, cut[1:], strict=False)):
+                    rows.append((column[a:b].copy(), value[a:b].copy(), y[tokens.first + k]))
         # The order of a shard's rows must not depend on how they arrived.
         rows.sort(key=lambda r: (len(r[0]), r[0].tobytes(), r[1].tobytes(), r[2]))
         order = np.random.default_rng(0)
@@ -137,8 +140,8 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", sample: int
 
     rows = labelled(docs, labels, target, sample, 7)
     shards = rows.repartition(SHARDS, F.pmod(F.xxhash64("doc_id", F.lit(77)), F.lit(SHARDS)))
-    summed = shards.select("text", "y").mapInArrow(train, "at long, weight double").groupBy("at").agg(F.sum("weight").alias("weight"))
-    found = summed.collect()  # at most SPACE + 1 rows
+    trained = shards.select("text", "y").mapInArrow(train, "at long, weight double")
+    found = trained.groupBy("at").agg(F.sum("weight").alias("weight")).collect()  # at most SPACE + 1 rows
     weights = np.zeros(SPACE + 1)
     for r in found:
         weights[r.at] = r.weight / SHARDS

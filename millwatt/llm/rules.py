@@ -51,8 +51,9 @@ def ratios(docs: DataFrame, trusted: DataFrame, bound: int = 20_000, shrink: flo
     flagged = docs.select("doc_id", _hashes(F.col("text")).alias("hashes")).join(
         F.broadcast(ids), F.col("doc_id") == F.col("trusted_id"), "left"
     )
+    is_trusted = F.col("trusted_id").isNotNull().cast("long")
     counts = (
-        flagged.select(F.explode(_grams(F.col("hashes"))).alias("bucket"), F.col("trusted_id").isNotNull().cast("long").alias("t"))
+        flagged.select(F.explode(_grams(F.col("hashes"))).alias("bucket"), is_trusted.alias("t"))
         .groupBy("bucket")
         .agg(F.sum("t").alias("seen"), F.count("*").alias("raw"))
     )
@@ -131,7 +132,8 @@ def judge(docs: DataFrame, trusted: DataFrame, threshold: float = -0.1, bound: i
     total = F.aggregate(_grams(F.col("hashes")), F.lit(0).cast("long"), lambda a, b: a + F.get(table, b))
     grams = F.greatest(2 * F.col("n_words") - 1, F.lit(1))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    judged = measure(docs).select("doc_id", *BASE, failed.alias("base_failed"), (total / grams / F.lit(float(UNIT))).alias("score"))
+    score = total / grams / F.lit(float(UNIT))
+    judged = measure(docs).select("doc_id", *BASE, failed.alias("base_failed"), score.alias("score"))
     return judged.select(
         "doc_id", *BASE, "base_failed", (~F.col("base_failed") & (F.col("score") >= F.lit(threshold))).alias("kept"), "score"
     )

@@ -75,15 +75,16 @@ def templates(pages: DataFrame) -> DataFrame:
     for depth in range(1, DEPTH + 1):
         parent = F.slice("general", 1, depth - 1)
         here = F.get("general", F.lit(depth - 1))
+        deep = F.size("general") >= depth
         wide = (
-            shapes.where(F.size("general") >= depth)
+            shapes.where(deep)
             .groupBy(F.col("host").alias("at_host"), parent.alias("at"))
             .agg(F.count_distinct(here).alias("children"))
             .where(F.col("children") > MANY_CHILDREN)
             .select("at_host", "at", F.lit(True).alias("wide"))
         )
         shapes = (
-            shapes.join(wide, (F.col("host") == F.col("at_host")) & (parent == F.col("at")) & (F.size("general") >= depth), "left")
+            shapes.join(wide, (F.col("host") == F.col("at_host")) & (parent == F.col("at")) & deep, "left")
             .withColumn(
                 "general",
                 F.when(
