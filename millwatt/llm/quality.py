@@ -4,8 +4,8 @@ Features of a text are its words and pairs of words, and runs of one to three wo
 digits, other signs as they are; marked when a word repeats the one before), hashed to 2**18 columns, valued
 ``log(1 + count)`` and scaled to unit length. Scores are sparse dot products.
 
-Training takes a bounded sample of labelled rows (``sample``). It is dealt to a fixed number of shards by hash; each
-shard runs FTRL-proximal over its rows and Spark averages the weights, at most 2**18 rows, which come to the driver and
+Training takes a bounded sample of labelled rows (``sample``). It is dealt to ``SHARDS`` groups by hash; each
+group, at most a few thousand texts, runs FTRL-proximal over its rows and Spark averages the weights, at most 2**18 rows, which come to the driver and
 go to the scorers. Scoring is a map over the documents without a shuffle.
 
 Defined results: a null or empty text has no features and scores as the intercept says; without any label of both
@@ -118,16 +118,14 @@ def labelled(docs: DataFrame, labels: DataFrame, target: str, sample: int, seed:
 def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", sample: int = 20_000, epochs: int = 3) -> np.ndarray:
     """The averaged weights: ``SPACE`` columns and the intercept."""
 
-    def train(batches):
-        model, rows = Ftrl(SPACE), []
-        for batch in batches:
-            y = batch.column("y").to_pylist()
-            for tokens in tokenise(batch.column("text")):
-                text, column, value = features(tokens)
-                cut = np.searchsorted(text, np.arange(len(tokens) + 1))
-                column, value = column.astype(np.int32), value.astype(np.float32)
-                for k, (a, b) in enumerate(zip(cut, cut[1:], strict=False)):
-                    rows.append((column[a:b].copy(), value[a:b].copy(), y[tokens.first + k]))
+    def train(shard: pa.Table) -> pa.Table:
+        model, rows, y = Ftrl(SPACE), [], shard.column("y").to_pylist()
+        for tokens in tokenise(shard.column("text")):
+            text, column, value = features(tokens)
+            cut = np.searchsorted(text, np.arange(len(tokens) + 1))
+            column, value = column.astype(np.int32), value.astype(np.float32)
+            for k, (a, b) in enumerate(zip(cut, cut[1:], strict=False)):
+                rows.append((column[a:b].copy(), value[a:b].copy(), y[tokens.first + k]))
         # The order of a shard's rows must not depend on how they arrived.
         rows.sort(key=lambda r: (len(r[0]), r[0].tobytes(), r[1].tobytes(), r[2]))
         order = np.random.default_rng(0)
@@ -136,15 +134,17 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", sample: int
                 model.learn(*rows[i])
         weights = model.weights()
         some = np.flatnonzero(weights)
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(weights[some])], names=["at", "weight"])
+        # The last row counts the shard itself.
+        return pa.table({"at": np.append(some, -1), "weight": np.append(weights[some], 1.0)})
 
     rows = labelled(docs, labels, target, sample, 7)
-    shards = rows.repartition(SHARDS, F.pmod(F.xxhash64("doc_id", F.lit(77)), F.lit(SHARDS)))
-    trained = shards.select("text", "y").mapInArrow(train, "at long, weight double")
-    found = trained.groupBy("at").agg(F.sum("weight").alias("weight")).collect()  # at most SPACE + 1 rows
+    shard = F.pmod(F.xxhash64("doc_id", F.lit(77)), F.lit(SHARDS)).alias("shard")
+    trained = rows.select(shard, "text", "y").groupBy("shard").applyInArrow(train, "at long, weight double")
+    found = {r.at: r.weight for r in trained.groupBy("at").agg(F.sum("weight").alias("weight")).collect()}  # SPACE + 2 rows
+    shards = found.pop(-1, 1.0)
     weights = np.zeros(SPACE + 1)
-    for r in found:
-        weights[r.at] = r.weight / SHARDS
+    for at, weight in found.items():
+        weights[at] = weight / shards
     return weights
 
 
