@@ -31,14 +31,15 @@ def _hashes(text: Column) -> Column:
     return F.transform(words(text), lambda w: F.xxhash64(w))
 
 
-def _grams(hashes: Column) -> Column:
-    """Bucket of each word, and of each pair of neighbours."""
-    single = F.transform(hashes, lambda h: F.pmod(h, F.lit(BUCKETS)).cast("int"))
-    pairs = F.transform(
-        F.slice(hashes, 1, F.greatest(F.size(hashes) - 1, F.lit(0))),
-        lambda h, i: F.pmod(F.xxhash64(h, F.get(hashes, i + 1)), F.lit(BUCKETS)).cast("int"),
+def _pairs(hashes: Column) -> Column:
+    """A hash of every two neighbouring words."""
+    return F.transform(
+        F.slice(hashes, 1, F.greatest(F.size(hashes) - 1, F.lit(0))), lambda h, i: F.xxhash64(h, F.get(hashes, i + 1))
     )
-    return F.concat(single, pairs)
+
+
+def _bucket(gram: Column) -> Column:
+    return F.pmod(gram, F.lit(BUCKETS)).cast("int")
 
 
 def ratios(docs: DataFrame, trusted: DataFrame, bound: int = 20_000, shrink: float = 2.0) -> DataFrame:
@@ -48,13 +49,12 @@ def ratios(docs: DataFrame, trusted: DataFrame, bound: int = 20_000, shrink: flo
     their ids can be broadcast; the raw counts cover all documents.
     """
     ids = sampled(trusted.select(F.col("doc_id").alias("trusted_id")).dropna().distinct(), "trusted_id", bound, 10)
-    flagged = docs.select("doc_id", _hashes(F.col("text")).alias("hashes")).join(
-        F.broadcast(ids), F.col("doc_id") == F.col("trusted_id"), "left"
-    )
+    hashed = docs.select("doc_id", _hashes(F.col("text")).alias("hashes")).withColumn("pairs", _pairs(F.col("hashes")))
+    flagged = hashed.join(F.broadcast(ids), F.col("doc_id") == F.col("trusted_id"), "left")
     is_trusted = F.col("trusted_id").isNotNull().cast("long")
     counts = (
-        flagged.select(F.explode(_grams(F.col("hashes"))).alias("bucket"), is_trusted.alias("t"))
-        .groupBy("bucket")
+        flagged.select(F.explode(F.concat("hashes", "pairs")).alias("gram"), is_trusted.alias("t"))
+        .groupBy(_bucket(F.col("gram")).alias("bucket"))
         .agg(F.sum("t").alias("seen"), F.count("*").alias("raw"))
     )
     counts = written(counts, "rules-counts")  # used twice; at most BUCKETS rows
@@ -68,23 +68,29 @@ def ratios(docs: DataFrame, trusted: DataFrame, bound: int = 20_000, shrink: flo
     )
 
 
-def _windows(hashes: Column) -> Column:
-    """A hash of every ``WINDOW`` consecutive words."""
+def _windows(hashes: Column, pairs: Column) -> Column:
+    """A hash of every ``WINDOW`` consecutive words, from two pairs and the last word."""
     return F.transform(
-        F.slice(hashes, 1, F.greatest(F.size(hashes) - (WINDOW - 1), F.lit(0))),
-        lambda h, i: F.xxhash64(h, *[F.get(hashes, i + k) for k in range(1, WINDOW)]),
+        F.slice(pairs, 1, F.greatest(F.size(hashes) - (WINDOW - 1), F.lit(0))),
+        lambda p, i: F.xxhash64(p, F.get(pairs, i + 2), F.get(hashes, i + 4)),
     )
 
 
+def _bytes(text: Column, c: str) -> Column:
+    """How often a character of one byte occurs."""
+    return F.octet_length(text) - F.octet_length(F.replace(text, F.lit(c), F.lit("")))
+
+
 def measure(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``hashes`` and the base statistics of each document."""
+    """``doc_id``, the hashes of words and ``pairs``, and the base statistics of each document."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    lines = F.filter(F.split(text, "\n"), lambda line: F.length(F.translate(line, BLANK_CHARS, "")) > 0)
+    lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
+    n_blanks = sum((_bytes(F.col("text"), c) for c in BLANK_CHARS[1:]), _bytes(F.col("text"), BLANK_CHARS[0]))
     first = docs.select("doc_id", text.alias("text")).select(
         "doc_id",
         _hashes(F.col("text")).alias("hashes"),
-        F.length(F.translate("text", BLANK_CHARS, "")).cast("long").alias("word_chars"),
-        (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        (F.length("text") - n_blanks).cast("long").alias("word_chars"),
+        F.regexp_count("text", F.lit(f"[{SYMBOLS}]")).cast("long").alias("n_symbols"),
         lines.alias("lines"),
     )
     second = first.select(
@@ -94,8 +100,8 @@ def measure(docs: DataFrame) -> DataFrame:
         "word_chars",
         "n_symbols",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        _windows(F.col("hashes")).alias("windows"),
-    )
+        _pairs(F.col("hashes")).alias("pairs"),
+    ).withColumn("windows", _windows(F.col("hashes"), F.col("pairs")))
     order = F.when(
         F.size(F.array_distinct("windows")) < F.size("windows"),
         F.array_sort(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))),
@@ -129,10 +135,12 @@ def judge(docs: DataFrame, trusted: DataFrame, threshold: float = -0.1, bound: i
         ratio[r.bucket] = round(r.ratio * UNIT)
     # One constant array; whole units, so that sums do not depend on their order.
     table = F.split(F.lit(",".join(map(str, ratio))), ",").cast("array<long>")
-    total = F.aggregate(_grams(F.col("hashes")), F.lit(0).cast("long"), lambda a, b: a + F.get(table, b))
-    grams = F.greatest(2 * F.col("n_words") - 1, F.lit(1))
+    total = F.lit(0)
+    for grams in ("hashes", "pairs"):
+        total = total + F.aggregate(grams, F.lit(0).cast("long"), lambda a, g: a + F.get(table, _bucket(g)))
+    count = F.greatest(2 * F.col("n_words") - 1, F.lit(1))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    score = total / grams / F.lit(float(UNIT))
+    score = total / count / F.lit(float(UNIT))
     judged = measure(docs).select("doc_id", *BASE, failed.alias("base_failed"), score.alias("score"))
     return judged.select(
         "doc_id", *BASE, "base_failed", (~F.col("base_failed") & (F.col("score") >= F.lit(threshold))).alias("kept"), "score"
