@@ -144,22 +144,30 @@ def repeated(docs: DataFrame) -> DataFrame:
         "substring-spans",
     )
     # Twice the length, to either side.
-    on_left = spans.groupBy("short", "left").agg(F.sum("n").alias("n_left")).where("n_left > 1").select("short", "left", F.lit(True).alias("l"))
-    on_right = spans.groupBy("short", "right").agg(F.sum("n").alias("n_right")).where("n_right > 1").select("short", "right", F.lit(True).alias("r"))
-    doubled = spans.join(on_left, ["short", "left"], "left").join(on_right, ["short", "right"], "left").where("l or r").drop("l", "r")
+    doubled = spans
+    for side, found in (("left", "l"), ("right", "r")):
+        again = spans.groupBy("short", side).agg(F.sum("n").alias("all_n")).where("all_n > 1")
+        doubled = doubled.join(again.select("short", side, F.lit(True).alias(found)), ["short", side], "left")
+    doubled = doubled.where("l or r").drop("l", "r")
     # The full window. Spans that differ while their anchor is the same are opened, unless all of them repeat.
-    mixed = doubled.groupBy("short").agg(F.count("*").alias("spans"), F.min("n").alias("rarest")).where("spans > 1 and rarest = 1").select("short")
+    mixed = doubled.groupBy("short").agg(F.count("*").alias("spans"), F.min("n").alias("rarest"))
+    mixed = mixed.where("spans > 1 and rarest = 1").select("short")
     opened = doubled.join(mixed, "short").groupBy("copy.doc_id", "copy.digest").agg(
         F.collect_list(F.struct("short", "span", F.col("copy.place").alias("place"), "most", "least", "n")).alias("spans")
     )
     packed = pack(docs, ["doc_id", "digest"])
     texts = packed.join(opened, _same(packed, opened, ["doc_id", "digest"])).drop(opened["doc_id"]).drop(opened["digest"])
     # Rows with the same id and text would give their spans twice.
-    windows = written(texts.dropDuplicates(["doc_id", "digest"]).select("packed", "spans").mapInArrow(_open, "w1 long, w2 long, short long, span long, l byte, n long"), "substring-35")
+    texts = texts.dropDuplicates(["doc_id", "digest"]).select("packed", "spans")
+    windows = written(
+        texts.mapInArrow(_open, "w1 long, w2 long, short long, span long, l byte, n long"), "substring-35"
+    )
     again = windows.groupBy("w1", "w2").agg(F.sum("n").alias("all_n")).where("all_n > 1").select("w1", "w2")
-    by_window = windows.join(again, ["w1", "w2"]).groupBy(*key).agg(F.bit_or(F.expr("shiftleft(1, cast(l as int))")).alias("mask"))
+    bit = F.expr("shiftleft(1, cast(l as int))")
+    by_window = windows.join(again, ["w1", "w2"]).groupBy(*key).agg(F.bit_or(bit).alias("mask"))
     whole = doubled.where("n > 1").select(*key, F.expr("shiftleft(1, most + 1) - shiftleft(1, cast(least as int))").alias("mask"))
-    marks = whole.unionByName(by_window).groupBy(*key).agg(F.bit_or("mask").alias("mask"))
+    # Written before the join, so that Spark can split a span with very many copies.
+    marks = written(whole.unionByName(by_window).groupBy(*key).agg(F.bit_or("mask").alias("mask")), "substring-marks")
     return kept.join(marks, key).groupBy("doc_id", "digest").agg(F.collect_list(F.struct("place", "mask")).alias("marks"))
 
 
@@ -204,20 +212,26 @@ def _cut(batches):
                         np.add.at(gone, at, 1)
                         np.add.at(gone, at + WINDOW, -1)
                 stays = np.cumsum(gone[:-1]) == 0
-                text = b" ".join([data[s:e] for s, e in zip(tokens.starts[a:b][stays].tolist(), tokens.ends[a:b][stays].tolist(), strict=True)])
+                places_kept = zip(tokens.starts[a:b][stays].tolist(), tokens.ends[a:b][stays].tolist(), strict=True)
+                text = b" ".join([data[s:e] for s, e in places_kept])
                 n_words.append(b - a)
                 n_removed.append(b - a - int(stays.sum()))
                 kept.append(text)
                 sha.append(hashlib.sha256(text).hexdigest())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string()), pa.array(sha, pa.string())],
-            names=["doc_id", "n_words", "n_removed", "kept_text", "kept_sha256"],
-        )
+        columns = [
+            batch.column("doc_id"),
+            pa.array(n_words, pa.int64()),
+            pa.array(n_removed, pa.int64()),
+            pa.array(kept, pa.binary()).cast(pa.string()),
+            pa.array(sha, pa.string()),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "n_removed", "kept_text", "kept_sha256"])
 
 
 def dedup(docs: DataFrame) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_text, kept_sha256``: kept words are joined by one space."""
-    docs = docs.select("doc_id", "text", F.coalesce(F.xxhash64("text"), F.lit(0)).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("digest"))
+    digest = F.coalesce(F.xxhash64("text"), F.lit(0)).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
+    docs = docs.select("doc_id", "text", digest.alias("digest"))
     marks = repeated(docs)
     packed = pack(docs, ["doc_id", "digest"])
     rows = packed.join(marks, _same(packed, marks, ["doc_id", "digest"]), "left").select(packed["doc_id"], "packed", "marks")
