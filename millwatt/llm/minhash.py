@@ -9,8 +9,8 @@ Documents with equal sets are one class and go on as its smallest id. In each ba
 the smallest one of the bucket, exactly, on full sets. Links give components. Where a bucket still holds several
 components, its classes are dealt to blocks of bounded size and blocks are laid side by side: whole signatures (one byte
 a value) are compared across components inside the task, and pairs whose estimate comes within four standard errors of
-the threshold are compared exactly there as well; only links come out. So a large group of near copies costs a link for each member and not for each
-pair, and documents that merely share a passage are told apart by their signatures without a row for each pair.
+the threshold are compared exactly there as well; only links come out. So a large group of near copies costs a link for each
+member and not for each pair, and documents that merely share a passage are told apart by their signatures without a row for each pair.
 
 Defined results: words are lower-cased in A-Z and split at ``[\\x20\\x09-\\x0D]+``; a text with fewer words than a shingle is
 one shingle; a null, empty or blank text has none, is linked with nothing and stays; rows with one id are one document
@@ -133,7 +133,9 @@ def signatures(docs: DataFrame) -> DataFrame:
                     names=["doc_id", "n_shingles", "d1", "d2", "bands", "values"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_shingles long, d1 long, d2 long, bands array<long>, values binary")
+    return docs.select("doc_id", "text").mapInArrow(
+        run, f"doc_id {kind}, n_shingles long, d1 long, d2 long, bands array<long>, values binary"
+    )
 
 
 def _sets_of(packed: pa.Array, d1: list[int], d2: list[int]) -> Iterator[np.ndarray | None]:
@@ -227,7 +229,8 @@ def _across(percent: int):
             used = np.unique(np.array(pairs))
             rows = group.take(pa.array(used)).combine_chunks()
             packed = rows.column("packed").chunk(0)
-            sets = dict(zip(used.tolist(), _sets_of(packed, rows.column("d1").to_pylist(), rows.column("d2").to_pylist()), strict=True))
+            unpacked = _sets_of(packed, rows.column("d1").to_pylist(), rows.column("d2").to_pylist())
+            sets = dict(zip(used.tolist(), unpacked, strict=True))
             found = [(x, y) for x, y in pairs if _near(sets[x], sets[y], percent)]
             if found:
                 a, b = rep[np.array(found)].T
@@ -269,17 +272,15 @@ def dedup(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``."""
     docs = docs.select("doc_id", "text")
     signed = written(signatures(docs), "minhash-signatures")
+    filled = signed.where("n_shingles > 0 and doc_id is not null")
     classes = written(
-        signed.where("n_shingles > 0 and doc_id is not null")
-        .groupBy("d1", "d2")
+        filled.groupBy("d1", "d2")
         .agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("values").alias("values")),
         "minhash-classes",
     )
     members = classes.select("rep", F.posexplode("bands").alias("band", "value"))
-    shared = written(
-        members.groupBy("band", "value").agg(F.min("rep").alias("leader"), F.max("rep").alias("last")).where("leader <> last").drop("last"),
-        "minhash-buckets",
-    )
+    buckets = members.groupBy("band", "value").agg(F.min("rep").alias("leader"), F.max("rep").alias("last"))
+    shared = written(buckets.where("leader <> last").drop("last"), "minhash-buckets")
     in_buckets = written(members.join(shared, ["band", "value"]).select("band", "value", "rep", "leader"), "minhash-members")
     packed = pack(docs, ["doc_id"])
     pairs = in_buckets.where("rep <> leader").select(F.col("rep").alias("a"), F.col("leader").alias("b")).distinct()
@@ -287,9 +288,7 @@ def dedup(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     found = written(components(links), "minhash-components")
     links = links.unionByName(written(across(in_buckets, classes, found, packed, percent).distinct(), "minhash-links"))
     # An id that stands for several sets connects them.
-    same_id = (
-        signed.where("n_shingles > 0 and doc_id is not null").groupBy("doc_id").agg(F.min("d1").alias("x"), F.max("d1").alias("y")).where("x <> y")
-    )
+    same_id = filled.groupBy("doc_id").agg(F.min("d1").alias("x"), F.max("d1").alias("y")).where("x <> y")
     reps = signed.join(same_id.select("doc_id"), "doc_id", "left_semi").join(classes.select("d1", "d2", "rep"), ["d1", "d2"])
     links = links.unionByName(reps.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
     found = components(links)
