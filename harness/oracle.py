@@ -307,6 +307,9 @@ SQL["dq_accepted_values"] = " UNION ALL ".join(
         ("dim_machine", "machine_type", "'INJECTION_MOULDING','CNC','HEATING'"),
     ]
 )
+SQL["build_checks"] = " UNION ALL ".join(
+    SQL[f"dq_{part}"] for part in ("not_null", "source_not_null", "unique", "relationships", "accepted_values")
+)
 SQL["dq_orphans"] = " UNION ALL ".join(
     [
         check("work_orders", "machine_id", "relationships",

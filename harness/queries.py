@@ -409,6 +409,16 @@ def dq_accepted_values(v: Views) -> DataFrame:
     return _check(v, quality.ACCEPTED_VALUES)
 
 
+@query
+def build_checks(v: Views) -> DataFrame:
+    """All checks of a whole model build; readings without power make it one that is not published."""
+    folder = work_folder(v.spark, "build")
+    try:
+        return pipeline.build(v.spark, v.raw, v.master, v.erp, folder)
+    except pipeline.ChecksFailed as failed:
+        return failed.results
+
+
 @query
 def dq_orphans(v: Views) -> DataFrame:
     """Relationship checks on the landed tables, where rows without a parent do occur."""

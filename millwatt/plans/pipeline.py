@@ -18,7 +18,11 @@ from millwatt.sources.telemetry import by_device
 
 
 class ChecksFailed(RuntimeError):
-    """A declared check found bad rows."""
+    """A declared check found bad rows; ``results`` has a row for every check."""
+
+    def __init__(self, message: str, results: DataFrame):
+        super().__init__(message)
+        self.results = results
 
 
 def models(
@@ -195,7 +199,7 @@ def build(
     # One row per declared check, so this list is short whatever the data.
     broken = [f"{r.model}.{r.column} {r.test}: {r.failures}" for r in failed.collect()]
     if broken:
-        raise ChecksFailed("; ".join(broken))
+        raise ChecksFailed("; ".join(broken), results)
     version.publish()
     return results
 
