@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from harness.sql_views import TOPIC, shifted, with_views
+from harness.sql_views import CODE, TOPIC, shifted, with_views
 
 
 def n(expression: str, name: str) -> str:
@@ -70,6 +70,19 @@ SQL["retention_expired"] = """
 SELECT DISTINCT CAST(time AS DATE) AS date FROM ev
 WHERE CAST(time AS DATE) < (SELECT CAST(max(time) AS DATE) - 14 FROM ev)"""
 
+_PER_DAY = """
+SELECT CAST(time AS DATE) AS date, count(*) AS rows, count(DISTINCT device_id) AS devices, max(time) AS newest FROM"""
+SQL["raw_by_day"] = f"{_PER_DAY} ev GROUP BY 1"
+SQL["raw_compacted"] = SQL["raw_by_day"]
+SQL["raw_retained"] = f"""{_PER_DAY} (SELECT time, device_id FROM ev
+  WHERE CAST(time AS DATE) >= (SELECT CAST(max(time) AS DATE) - 14 FROM ev)
+  UNION ALL SELECT TIMESTAMP '2950-01-01', device_id FROM ev WHERE event_id = 0) GROUP BY 1"""
+
+SQL["csv_master"] = f"""
+SELECT m.id, m.name, type, building, {CODE} AS "buildingCode", energytag AS "energyTag", bmstag AS "bmsTag",
+  CASE s_nationkey % 3 WHEN 0 THEN '1' WHEN 1 THEN 'true' ELSE 'f' END AS isactive
+FROM master m JOIN supplier ON s_suppkey = m.id"""
+
 SQL["message_dedupe"] = "SELECT msg_id, time, device_id, source FROM ev"
 
 SQL["cdc_events"] = """

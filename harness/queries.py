@@ -25,8 +25,9 @@ from millwatt.operators import (
     signals,
     staging,
 )
-from millwatt.plans import analytics, panels, pipeline
+from millwatt.plans import analytics, panels, pipeline, upkeep
 from millwatt.session import work_folder
+from millwatt.sources import files
 from millwatt.sources import telemetry as telemetry_source
 from millwatt.streaming import energy as energy_stream
 from millwatt.streaming import ingest, lateness, windows
@@ -128,6 +129,49 @@ def retention_expired(v: Views) -> DataFrame:
     return pipeline.expire(v.raw, days=14)
 
 
+def _per_day(raw: DataFrame) -> DataFrame:
+    return raw.groupBy("date").agg(
+        F.count(F.lit(1)).alias("rows"), F.countDistinct("device_id").alias("devices"), F.max("time").alias("newest")
+    )
+
+
+@query
+def raw_by_day(v: Views) -> DataFrame:
+    """The raw table written by day, clustered by device, and read back."""
+    folder = work_folder(v.spark, "raw")
+    telemetry_source.write_raw(v.raw, folder)
+    return _per_day(telemetry_source.read_raw(v.spark, folder))
+
+
+@query
+def raw_compacted(v: Views) -> DataFrame:
+    """The same after the compaction job, read from where it leaves the table."""
+    folder = work_folder(v.spark, "compact")
+    telemetry_source.write_raw(v.raw, f"{folder}/old/stream=a/batch_id=0")
+    return _per_day(upkeep.compact(v.spark, f"{folder}/old", f"{folder}/new", files=4))
+
+
+@query
+def raw_retained(v: Views) -> DataFrame:
+    """What the retention job leaves of a streamed table that also holds a row of a wrong clock."""
+    folder = work_folder(v.spark, "retain")
+    wrong = v.raw.where("metadata['msgId'] = '0'").withColumn("time", F.lit("2950-01-01").cast("timestamp"))
+    telemetry_source.write_raw(v.raw, f"{folder}/stream=a/batch_id=0")
+    telemetry_source.write_raw(wrong.withColumn("date", F.to_date("time")), f"{folder}/stream=b/batch_id=0")
+    upkeep.retire(v.spark, folder, days=14)
+    return _per_day(telemetry_source.read_raw(v.spark, folder))
+
+
+@query
+def csv_master(v: Views) -> DataFrame:
+    """The asset master through its CSV form, where missing values are the text NULL."""
+    folder = work_folder(v.spark, "master")
+    v.master.write.option("header", True).option("nullValue", "NULL").csv(folder)
+    return files.read_machine_master(v.spark, folder).select(
+        "id", "name", "type", "building", "buildingCode", "energyTag", "bmsTag", "isactive"
+    )
+
+
 @query
 def message_dedupe(v: Views) -> DataFrame:
     """Every 50th message arrives twice; one copy stays."""
