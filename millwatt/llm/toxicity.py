@@ -2,8 +2,11 @@
 
 Channel and language model. Letter trigrams of all documents are counted in Spark and make the character language model.
 A disguised span (signs standing for letters, a letter drawn out, letters set apart) is a lattice: each sign is
-one of the letters it may stand for, or noise; a run of a letter is one or two of it; a gap between single letters
-is a break or nothing. Viterbi decoding picks the likeliest reading. All other words are their own only reading.
+one of the letters it may stand for, or noise; a run of a letter or sign is one or two of it; a gap between single letters,
+however wide, is a break or nothing. Viterbi decoding picks the likeliest reading of every span, whatever its length; at most
+``BEAM`` states go from one place to the next. A span with more signs than letters, or a
+long one with signs, is a code when its reading costs more than ``CODE`` a letter: it stays as it is. All other words are their own
+only reading.
 
 Scoring. Words of restored texts are weighed by their smoothed log-odds in toxic against other labelled texts (a
 word counts from ``SUPPORT`` toxic texts on); a document is the weight and number of the lexicon words it has and
@@ -22,6 +25,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cache
+from heapq import nlargest
 
 import numpy as np
 import pyarrow as pa
@@ -56,7 +60,9 @@ READINGS = {
 NOISE = "*._-~'`^"
 VOWELS = "aeiou"  # an asterisk often hides one
 CLASSES = 64  # 0 is all but letters, 1 to 26 are a to z, the rest share the others
-LONGEST = 24  # longer mixed spans are codes, not words
+BEAM = 64  # states kept at each place of a span
+LONGEST = 24  # a longer span may be a code
+CODE = -7.0  # log probability a letter: words new to the model are above, hexadecimal ids below
 SUPPORT = 4
 LEXICON = 5_000
 SALT = np.uint64(0x9E3779B97F4A7C15)
@@ -117,14 +123,15 @@ def _class_of(c: str) -> int:
 def lattice(span: str) -> list[list[tuple[str, float]]]:
     """For each place of a span the strings it may be read as, with their channel cost."""
     out: list[list[tuple[str, float]]] = []
+    gap = lambda c: not c.isalpha() and c not in READINGS
     i = 0
     while i < len(span):
         c = span[i]
         j = i
-        while j < len(span) and span[j] == c:
+        while j < len(span) and (span[j] == c or (gap(c) and gap(span[j]))):
             j += 1
+        n = j - i
         if c.isalpha():
-            n = j - i
             if n == 1:
                 out.append([(c, 0.0)])
             elif n == 2:
@@ -132,8 +139,12 @@ def lattice(span: str) -> list[list[tuple[str, float]]]:
             else:
                 out.append([(c, RUN_READ_ONCE), (c * 2, RUN_READ_TWICE), (c * n, RUN_KEPT)])
         elif c in READINGS:
-            out += [[(x, SUBSTITUTED) for x in READINGS[c]] + [("", DROPPED)]] * (j - i)
-        elif c == "*":
+            each = [(x, SUBSTITUTED) for x in READINGS[c]] + [("", DROPPED)]
+            if n < 3:
+                out += [each] * n
+            else:
+                out.append([(x * k, k * SUBSTITUTED + cost) for x in READINGS[c] for k, cost in ((1, RUN_READ_ONCE), (2, RUN_READ_TWICE))] + each[-1:])
+        elif "*" in span[i:j]:
             out.append([(x, MASKED) for x in VOWELS] + [("", MASKED), (" ", 2 * BROKEN)])
         else:
             out.append([("", JOINED), (" ", BROKEN)])
@@ -143,6 +154,11 @@ def lattice(span: str) -> list[list[tuple[str, float]]]:
 
 def decode(span: str, model: np.ndarray) -> str:
     """The likeliest reading of a disguised span (Viterbi over the last two classes; of equal ones the first found)."""
+    return decoded(span, model)[0]
+
+
+def decoded(span: str, model: np.ndarray) -> tuple[str, float]:
+    """The likeliest reading of a span and its log probability, that of the channel and the end of the word included."""
     # For each state the value of its best path, and the path as pieces linked to the one before.
     best: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
     for options in [*lattice(span), [(" ", 0.0)]]:
@@ -156,12 +172,19 @@ def decode(span: str, model: np.ndarray) -> str:
                     x, y = y, z
                 if (x, y) not in after or v > after[x, y][0]:
                     after[x, y] = (v, (path, string))
-        best = after
-    path, pieces = max(best.values(), key=lambda found: found[0])[1], []
+        best = after if len(after) <= BEAM else dict(nlargest(BEAM, after.items(), key=lambda state: state[1][0]))
+    (value, path), pieces = max(best.values(), key=lambda found: found[0]), []
     while path:
         path, piece = path
         pieces.append(piece)
-    return "".join(reversed(pieces)).strip()
+    return "".join(reversed(pieces)).strip(), value
+
+
+def is_code(span: str, reading: str, value: float) -> bool:
+    """Whether a span, long or with more signs than letters, has a reading that costs more than words do."""
+    signs, alphas = sum(c in READINGS for c in span), sum(c.isalpha() for c in span)
+    doubtful = signs > alphas or (signs and signs + alphas > LONGEST)
+    return doubtful and value < (len(reading) + 1) * CODE
 
 
 def spans(block: Letters) -> Iterator[tuple[int, int, int]]:
@@ -181,13 +204,13 @@ def spans(block: Letters) -> Iterator[tuple[int, int, int]]:
     inner = sign & next_letter & (last_letter | before(sign, 1) | ~before(letter | sign, 1))
     tail = sign & last_letter & before(letter, 2) & ~after(letter | sign, 1) & (p != ord("!")) & (p != ord("|")) & (p != ord("("))
     broken = noise & last_letter & next_letter
-    # Four or more single letters or signs, one or two other characters apart.
+    # Four or more single letters or signs with nothing but other characters between.
     part = letter | sign
     alone = part & ~(after(part, 1) & ~edge[1:]) & ~(before(part, 1) & ~edge[:-1])
     places = np.flatnonzero(alone)
     close = np.zeros(len(places) + 1, bool)
     if len(places) > 1:
-        close[1:-1] = (np.diff(places) <= 3) & (np.cumsum(edge[:-1])[places[1:]] == np.cumsum(edge[:-1])[places[:-1]])
+        close[1:-1] = (np.diff(np.cumsum(part)[places]) == 1) & (np.cumsum(edge[:-1])[places[1:]] == np.cumsum(edge[:-1])[places[:-1]])
     run_start = np.flatnonzero(close[1:] & ~close[:-1])
     run_end = np.flatnonzero(~close[1:] & close[:-1])
     apart, stretch = np.zeros(n, bool), np.zeros(n, bool)
@@ -249,9 +272,8 @@ class Reader:
         if span not in self.known:
             if len(self.known) > 200_000:
                 self.known.clear()
-            signs = sum(not c.isalpha() for c in span.replace(" ", ""))
-            plain = len(span) > LONGEST and not any(c.isspace() for c in span)
-            self.known[span] = span if plain or 2 * signs > len(span) + 1 else decode(span, self.model)
+            reading, value = decoded(span, self.model)
+            self.known[span] = span if is_code(span, reading, value) else reading
         return self.known[span]
 
     def restored(self, block: Letters) -> Iterator[tuple[int, int, int, str]]:

@@ -165,6 +165,22 @@ def test_disguised_words_are_restored(chars, span, word):
     assert [r for *_, r in toxicity.Reader(chars).restored(block)] == [word]
 
 
+@pytest.mark.parametrize(
+    ("span", "word"),
+    [("1d107", "idiot"), ("p47h371c", "pathetic"), ("i..d..i..o..t", "idiot"), ("i--d--i--o--t", "idiot"), ("w__o__r__t__h__l__e__s__s", "worthless"), ("iiiiiidddddiiiiiiooooottttt", "idiot"), ("i   d   i   o   t", "idiot"), ("i" + " " * 40 + "d . - i\to _ t", "idiot"), ("1d1000007", "idiot"), ("w" * 9 + "0" * 9 + "r" * 9 + "7" * 9 + "h1355", "worthless")],
+)
+def test_heavily_disguised_words_are_restored(chars, span, word):
+    (block,) = letters(pa.array([f"you {span} and"]))
+    assert [r for *_, r in toxicity.Reader(chars).restored(block)] == [word]
+
+
+def test_codes_stay_as_they_are(chars):
+    codes = ["3f9a8b77", "x7k9q2z44", "550e8400e29b41d4a716446655440000", "q" + "7x94" * 2_000]
+    (block,) = letters(pa.array([f"you {c} and" for c in codes]))
+    assert len(list(toxicity.spans(block))) == len(codes)
+    assert list(toxicity.Reader(chars).restored(block)) == []
+
+
 def test_viterbi_finds_the_best_path(chars):
     """Against all paths of the lattice."""
     import itertools
