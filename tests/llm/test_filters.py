@@ -91,6 +91,58 @@ def test_two_replaced_tokens_in_a_window_are_still_found(spark, docs):
     assert {r.doc_id for r in found} == set(want)
 
 
+def test_masks_leave_no_replacement_uncovered():
+    """Every allowed set of differing tokens of every length leaves some mask untouched."""
+    import itertools
+
+    for length in range(decontam.SHORTEST, decontam.WINDOW + 1):
+        allowed = length * decontam.SUBSTITUTED // decontam.WINDOW
+        for differing in itertools.combinations(range(length), allowed):
+            assert any(
+                all(at + k not in differing for k in m) for m in decontam.MASKS for at in range(length - m[-1])
+            ), (length, differing)
+
+
+def plain_leaks(rows, items):
+    """Every laying side by side of a window with few differing tokens; no masks."""
+    out = collections.defaultdict(set)
+    for i, text in rows:
+        d = tokens(text)
+        for item, passage in items:
+            q = tokens(passage)
+            size = min(decontam.WINDOW, len(q))
+            allowed = size * decontam.SUBSTITUTED // decontam.WINDOW
+            for at in range(-allowed, len(d) - size + allowed + 1):
+                for s in range(len(q) - size + 1):
+                    if sum(not (0 <= at + k < len(d) and d[at + k] == q[s + k]) for k in range(size)) <= allowed:
+                        out[i].add(item)
+    return out
+
+
+@pytest.mark.parametrize("length", [5, 6, 7, 8, 9, 12, 13, 14, 15])
+def test_every_allowed_replacement_is_found(spark, docs, length):
+    import itertools
+
+    passage = [f"p{i}" for i in range(length)]
+    rows = []
+    for n, places in enumerate(p for k in range(4) for p in itertools.combinations(range(length), k)):
+        text = list(passage)
+        for at in places:
+            text[at] = "other"
+        rows.append((n, " ".join(["before", *text, "after"])))
+    items = [(1, " ".join(passage))]
+    found = decontam.decontaminate(docs(rows), spark.createDataFrame(items, BENCHMARK)).where("contaminated").collect()
+    assert {r.doc_id for r in found} == set(plain_leaks(rows, items))
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_leaks_match_plain_brute_force(spark, docs, seed):
+    rows, items = leaky(20 + seed)
+    found = decontam.decontaminate(docs(rows), spark.createDataFrame(items, BENCHMARK)).collect()
+    want = plain_leaks(rows, items)
+    assert {r.doc_id: set(r["items"]) for r in found} == {i: want[i] for i, _ in rows}
+
+
 @given
 def test_leaks_of_the_given_table(spark, read):
     items = [(r.item_id, r.text) for r in read("benchmark").collect()]
