@@ -1,6 +1,6 @@
 """Line deduplication by a deletion-neighbourhood join.
 
-Lines are compared as word sequences. Equal lines of ``MIN_WORDS`` words or more are copies; from ``FUZZY_WORDS`` words on,
+Lines are compared as word sequences. Equal lines that are not blank are copies; from ``FUZZY_WORDS`` words on,
 so are lines within one word of each other (one word replaced, added or missing). Of a line and its copies only the
 earliest occurrence, by document id and line number, stays; a line goes when any copy of it occurs earlier, judged on
 the input.
@@ -17,8 +17,8 @@ The halves that lines share and the documents with candidates are broadcast when
 that no text is shuffled to find the few candidates; beyond that Spark shuffles both sides. Native DataFrame functions
 only. Variant hashes are running sums (exclusive or) over a line's words, linear in its length.
 
-Defined results: words are separated by ``[\\x20\\x09-\\x0D]+``, lines by a line feed; lines with fewer words, blank ones
-included, always stay; a null or empty text has no removed lines and keeps its text; a null id comes before all others; rows with
+Defined results: words are separated by ``[\\x20\\x09-\\x0D]+``, lines by a line feed; blank lines
+always stay; a null or empty text has no removed lines and keeps its text; a null id comes before all others; rows with
 the same id and text are one document and keep the same lines; an empty table gives no rows.
 """
 
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .stage import small, written
 
-MIN_WORDS = 3
+MIN_WORDS = 1  # all but blank lines
 FUZZY_WORDS = 8
 BLOCK = 62  # lines in one mask
 BROADCAST_ROWS = 200_000  # of some hundred bytes at most

@@ -231,6 +231,13 @@ def test_lines_match_brute_force(docs, seed):
     assert sorted((r.doc_id, r.line_no) for r in got) == sorted(brute_lines(rows))
 
 
+def test_short_lines_are_copies_too(docs):
+    rows = [(1, "Les.\n\nAnd ornd.\nonly here"), (2, " Les. \n\nand ornd.\nAnd\tornd."), (3, "Les.\nLes.\n \n")]
+    got = linededup.removed(docs(rows)).collect()
+    assert sorted((r.doc_id, r.line_no) for r in got) == [(2, 0), (2, 3), (3, 0), (3, 1)]
+    assert {r.doc_id: r.text for r in linededup.dedup(docs(rows)).collect()} == {1: rows[0][1], 2: "\nand ornd."}
+
+
 def test_lines_match_without_broadcasts(docs, monkeypatch):
     monkeypatch.setattr(linededup, "BROADCAST_ROWS", -1)
     rows = edited(8)
