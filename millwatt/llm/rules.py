@@ -5,7 +5,7 @@ one over trusted documents. A document scores the mean of ``log(p_trusted / p_ra
 fixed threshold it is refused. The trusted estimate is shrunk towards the raw one, so a bucket the trusted
 documents never saw costs more the more text they had.
 
-Native DataFrame functions only. Counts are merged in each task before they are shuffled. The model, a number for each
+Native DataFrame functions only. Texts are shuffled once, to meet the trusted ids. Counts are merged in each task before they are shuffled. The model, a number for each
 bucket, is a constant of the scoring plan, which therefore is a map over the documents without join or shuffle.
 
 Defined results: a null or empty text has 0 words, no n-grams, score 0 and fails the base rules; a null id is a
@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .stage import sampled, written
+from .stage import written
 from .words import BLANK_CHARS, words
 
 BUCKETS = 1 << 16
@@ -42,18 +42,22 @@ def _bucket(gram: Column) -> Column:
     return F.pmod(gram, F.lit(BUCKETS)).cast("int")
 
 
-def ratios(docs: DataFrame, trusted: DataFrame, bound: int = 20_000, shrink: float = 2.0) -> DataFrame:
+def ratios(docs: DataFrame, trusted: DataFrame, shrink: float = 2.0) -> DataFrame:
     """``bucket, ratio`` for every bucket that occurs: at most ``BUCKETS`` rows.
 
-    ``trusted`` has a ``doc_id`` column. The trusted model is fitted on about ``bound`` of them at most, so
-    their ids can be broadcast; the raw counts cover all documents.
+    ``trusted`` has a ``doc_id`` column. Both models count all of their documents: texts meet the trusted ids by a
+    shuffle, whatever their number.
     """
-    ids = sampled(trusted.select(F.col("doc_id").alias("trusted_id")).dropna().distinct(), "trusted_id", bound, 10)
-    hashed = docs.select("doc_id", _hashes(F.col("text")).alias("hashes")).withColumn("pairs", _pairs(F.col("hashes")))
-    flagged = hashed.join(F.broadcast(ids), F.col("doc_id") == F.col("trusted_id"), "left")
+    kind = docs.schema["doc_id"].dataType
+    ids = trusted.select(F.col("doc_id").cast(kind).alias("trusted_id")).dropna().distinct()
+    # Rows without an id are spread by their text.
+    spread = F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("text")))
+    same = (spread == F.xxhash64("trusted_id")) & (F.col("doc_id") == F.col("trusted_id"))
+    marked = docs.select("doc_id", "text").join(ids.hint("shuffle_hash"), same, "left")
     is_trusted = F.col("trusted_id").isNotNull().cast("long")
+    hashed = marked.select(_hashes(F.col("text")).alias("hashes"), is_trusted.alias("t"))
     counts = (
-        flagged.select(F.explode(F.concat("hashes", "pairs")).alias("gram"), is_trusted.alias("t"))
+        hashed.withColumn("pairs", _pairs(F.col("hashes"))).select(F.explode(F.concat("hashes", "pairs")).alias("gram"), "t")
         .groupBy(_bucket(F.col("gram")).alias("bucket"))
         .agg(F.sum("t").alias("seen"), F.count("*").alias("raw"))
     )
@@ -128,10 +132,10 @@ def measure(docs: DataFrame) -> DataFrame:
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
-def judge(docs: DataFrame, trusted: DataFrame, threshold: float = -0.1, bound: int = 20_000) -> DataFrame:
+def judge(docs: DataFrame, trusted: DataFrame, threshold: float = -0.1) -> DataFrame:
     """The base statistics, ``base_failed``, ``kept`` and ``score`` of every document."""
     ratio = [0] * BUCKETS
-    for r in ratios(docs, trusted, bound).collect():  # at most BUCKETS rows
+    for r in ratios(docs, trusted).collect():  # at most BUCKETS rows
         ratio[r.bucket] = round(r.ratio * UNIT)
     # One constant array; whole units, so that sums do not depend on their order.
     table = F.split(F.lit(",".join(map(str, ratio))), ",").cast("array<long>")

@@ -250,6 +250,18 @@ def test_ratios_match_counts(spark, docs):
         assert got[i] == pytest.approx(sum(ratio[g] for g in grams(t)) / len(grams(t)), abs=1e-8)
 
 
+def test_all_trusted_documents_count(spark, docs):
+    """More trusted ids than were once sampled; every one of them adds to the ratios."""
+    rows = [(i, f"w{i % 500} v") for i in range(21_000)] + [(None, "rare words")] * 3
+    trusted = spark.range(21_000).withColumnRenamed("id", "doc_id")
+    got = rules.ratios(spark.createDataFrame(rows, "doc_id long, text string"), trusted).collect()
+    grams, total, prior = 3 * 21_000, 3 * 21_000 + 9, 2.0 * rules.BUCKETS
+    import math
+
+    least = math.log((42 * total / 42 + prior) / (grams + prior))
+    assert sum(round(r.ratio, 9) >= round(least, 9) for r in got) >= len(got) - 3
+
+
 def test_rules_of_odd_rows(spark, odd):
     trusted = spark.createDataFrame([(5,), (None,)], "doc_id long")
     check_rules(rules.judge(odd, trusted).collect(), [(r[0], r[1]) for r in ODD])
