@@ -1,7 +1,9 @@
 """URL filters: explicit host and path rules, and a path-template tree that judges the pages no rule fits.
 
 The pages a rule fits are the labelled ones. Per host, paths form a tree of segments; segments that vary
-(numbers, hexadecimal ids, dates), and all children of a node with too many different ones, become a wildcard.
+(numbers, hexadecimal ids, dates) become a wildcard. So do, at a node with more than ``MANY_CHILDREN`` different children,
+those with less than ``ENOUGH`` pages whose share of labelled and of blocked pages does not differ significantly from the
+node's; sections with pages or labels of their own stay branches however many siblings they have.
 Branches of one node whose labelled share of blocked pages does not differ significantly from their pooled share are
 judged together. A template is rejected when its labelled purity, smoothed by the same template on all hosts and by
 the overall share, reaches a threshold.
@@ -19,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .stage import written
+
 RULES = (
     ("allow", "com/"),
     ("block", "example.com/en/"),
@@ -28,6 +32,7 @@ RULES = (
 )
 DEPTH = 3
 MANY_CHILDREN = 50
+ENOUGH = 5  # pages that make a child a section of its own
 SMOOTHING = 2.0
 Z = 1.96
 THRESHOLD = 0.5
@@ -64,6 +69,12 @@ def _shape(path: Column) -> Column:
     return F.when(F.size(parts) > DEPTH, F.concat(F.slice(parts, 1, DEPTH), F.array(F.lit("**")))).otherwise(parts)
 
 
+def _differs(what: str) -> Column:
+    """Whether a child's share of such pages differs significantly from that of its node."""
+    rate = F.col(f"all_{what}") / F.col("all_pages")
+    return F.abs(F.col(what) / F.col("pages") - rate) > Z * F.sqrt(rate * (1 - rate) / F.col("pages"))
+
+
 def templates(pages: DataFrame) -> DataFrame:
     """``host, shape, template, purity`` for every host and path shape of ``host, shape, verdict`` rows."""
     shapes = pages.groupBy("host", "shape").agg(
@@ -71,20 +82,27 @@ def templates(pages: DataFrame) -> DataFrame:
         F.count("verdict").alias("labelled"),
         F.sum((F.col("verdict") == "block").cast("long")).alias("blocked"),
     )
-    shapes = shapes.fillna(0, ["blocked"]).withColumn("general", F.col("shape"))
+    shapes = written(shapes.fillna(0, ["blocked"]), "urls-shapes").withColumn("general", F.col("shape"))
     for depth in range(1, DEPTH + 1):
         parent = F.slice("general", 1, depth - 1)
         here = F.get("general", F.lit(depth - 1))
         deep = F.size("general") >= depth
-        wide = (
-            shapes.where(deep)
-            .groupBy(F.col("host").alias("at_host"), parent.alias("at"))
-            .agg(F.count_distinct(here).alias("children"))
+        counted = [F.sum(c).alias(c) for c in ("pages", "labelled", "blocked")]
+        children = shapes.where(deep).groupBy(F.col("host").alias("at_host"), parent.alias("at"), here.alias("child")).agg(*counted)
+        children = written(children, "urls-children")
+        nodes = (
+            children.groupBy("at_host", "at")
+            .agg(F.count("*").alias("children"), *[F.sum(c).alias(f"all_{c}") for c in ("pages", "labelled", "blocked")])
             .where(F.col("children") > MANY_CHILDREN)
-            .select("at_host", "at", F.lit(True).alias("wide"))
         )
+        wide = (
+            children.join(nodes, ["at_host", "at"])
+            .where((F.col("pages") < ENOUGH) & ~_differs("labelled") & ~_differs("blocked"))
+            .select("at_host", "at", "child", F.lit(True).alias("wide"))
+        )
+        inside = (F.col("host") == F.col("at_host")) & (parent == F.col("at")) & (here == F.col("child")) & deep
         shapes = (
-            shapes.join(wide, (F.col("host") == F.col("at_host")) & (parent == F.col("at")) & deep, "left")
+            shapes.join(wide, inside, "left")
             .withColumn(
                 "general",
                 F.when(
@@ -92,7 +110,7 @@ def templates(pages: DataFrame) -> DataFrame:
                     F.concat(parent, F.array(F.lit("*")), F.slice("general", depth + 1, DEPTH + 1)),
                 ).otherwise(F.col("general")),
             )
-            .drop("at_host", "at", "wide")
+            .drop("at_host", "at", "child", "wide")
         )
     named = shapes.withColumn("template", F.concat(F.lit("/"), F.array_join("general", "/"))).withColumn(
         "parent", F.concat(F.lit("/"), F.array_join(F.slice("general", 1, F.greatest(F.size("general") - 1, F.lit(0))), "/"))

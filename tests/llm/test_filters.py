@@ -203,6 +203,19 @@ def test_a_node_with_many_children_becomes_a_wildcard(spark):
     assert {r.template for r in urls.judge(pages).collect()} == {"/user/*"}
 
 
+@pytest.mark.parametrize("pages_each", [1, 3, 20])
+def test_named_sections_stay_apart_among_many(spark, pages_each):
+    """The verdict on a section does not depend on whether it has 49 siblings or 50."""
+    names = [chr(97 + i // 26) + chr(97 + i % 26) for i in range(60)]
+    for n in (48, 49, 80 - 21):
+        sections = ["es", "fr", *[x for x in names if x not in ("es", "fr")][:n]]
+        paths = [f"http://h.net/{s}/{k}" for s in sections for k in range(pages_each)]
+        paths += [f"http://h.com/{s}/{k}" for s in ("x", "y") for k in range(40 * pages_each)]
+        pages = spark.createDataFrame(list(enumerate(paths)), "page_id long, url string")
+        got = {(r.host, r.path.split("/")[1]): r.verdict for r in urls.judge(pages).collect()}
+        assert {s for h, s in got if got[h, s] == "block"} == {"es", "fr"}
+
+
 def brute_rules(text):
     w = WORD.findall(text or "")
     count = collections.Counter(tuple(w[k : k + 5]) for k in range(len(w) - 4))
