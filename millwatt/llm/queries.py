@@ -5,7 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, language, linededup, minhash, mixing, quality, rules, sql, substring, toxicity, urls
+from . import (
+    decontam,
+    exactdedup,
+    language,
+    linededup,
+    minhash,
+    mixing,
+    quality,
+    resampling,
+    rules,
+    sql,
+    substring,
+    toxicity,
+    urls,
+    whitening,
+)
 from .stage import table
 
 
@@ -72,6 +87,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(docs, trusted)
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exactdedup.dedup(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -85,7 +112,16 @@ QUERIES = {
         op8_language,
         op9_url_filter,
         op10_quality_rules,
+        op11_importance_resampling,
+        op12_whitening,
+        op13_exact_dedup,
     )
 }
 # The other queries train models, hash with functions of Spark, or compare all documents: their tests are brute force.
-SQL: dict[str, str] = {"op3_mixing": sql.MIXING, "op4_line_dedup": sql.LINE_DEDUP, "op9_url_filter": sql.URL_FILTER}
+SQL: dict[str, str] = {
+    "op3_mixing": sql.MIXING,
+    "op4_line_dedup": sql.LINE_DEDUP,
+    "op9_url_filter": sql.URL_FILTER,
+    "op11_importance_resampling": sql.RESAMPLING,
+    "op13_exact_dedup": sql.EXACT_DEDUP,
+}

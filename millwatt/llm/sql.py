@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import linededup, mixing, urls
+from . import linededup, mixing, resampling, urls
 
 _BLANK = r"[\x20\x09-\x0D]+"
 
@@ -116,3 +116,55 @@ SELECT doc_id,
   coalesce(n, 0)::BIGINT AS n_removed, coalesce(removed, '') AS removed
 FROM documents LEFT JOIN listed USING (doc_id)
 """
+
+RESAMPLING = f"""
+WITH RECURSIVE bits(b, step, c) AS (
+  SELECT b, 0, b::BIGINT FROM range(256) AS r(b)
+  UNION ALL SELECT b, step + 1, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END FROM bits WHERE step < 8),
+crc_table AS (SELECT list(c ORDER BY b) AS entries FROM bits WHERE step = 8),
+texts AS (
+  SELECT row_number() OVER () AS row_id, doc_id, 'd' AS side, text FROM documents
+  UNION ALL SELECT NULL, NULL, 'b', text FROM benchmark),
+split AS (
+  SELECT row_id, doc_id, side,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM texts),
+listed AS (
+  SELECT row_id, side, list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS grams FROM split),
+occurring AS (SELECT row_id, side, unnest(grams) AS gram FROM listed),
+per_gram AS (SELECT row_id, side, gram, count(*) AS n FROM occurring GROUP BY ALL),
+spelled AS (SELECT gram, hex(encode(gram)) AS digits FROM (SELECT DISTINCT gram FROM per_gram)),
+steps(gram, digits, pos, c) AS (
+  SELECT gram, digits, 0, 4294967295::BIGINT FROM spelled
+  UNION ALL
+  SELECT gram, digits, pos + 1,
+    xor(c // 256, entries[xor(c % 256, ('0x' || digits[2 * pos + 1:2 * pos + 2])::BIGINT) + 1])
+  FROM steps, crc_table WHERE 2 * pos < length(digits)),
+buckets AS (SELECT gram, xor(c, 4294967295) % {resampling.BUCKETS} AS bucket FROM steps WHERE 2 * pos = length(digits)),
+placed AS (SELECT row_id, side, bucket, sum(n)::BIGINT AS n FROM per_gram JOIN buckets USING (gram) GROUP BY ALL),
+counts AS (SELECT bucket, sum(n) FILTER (side = 'd') AS s, sum(n) FILTER (side = 'b') AS t FROM placed GROUP BY bucket),
+totals AS (SELECT coalesce(sum(s), 0) AS all_s, coalesce(sum(t), 0) AS all_t FROM counts),
+gains AS (
+  SELECT bucket, floor(1000 * ln(((coalesce(t, 0) + 1)::DOUBLE * (all_s + {resampling.BUCKETS})::DOUBLE)
+    / ((coalesce(s, 0) + 1)::DOUBLE * (all_t + {resampling.BUCKETS})::DOUBLE)))::BIGINT AS gain
+  FROM counts, totals),
+weights AS (
+  SELECT row_id, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS total FROM placed JOIN gains USING (bucket) WHERE side = 'd' GROUP BY row_id),
+scored AS (
+  SELECT row_id, doc_id, len(w) >= 20 AS able, coalesce(n_features, 0)::BIGINT AS n_features,
+    coalesce((total - ((total % n_features) + n_features) % n_features) // n_features, 0)::BIGINT AS weight,
+    ('0x' || sha256('7:' || coalesce(doc_id::VARCHAR, ''))[1:8])::BIGINT AS h
+  FROM split LEFT JOIN weights USING (row_id) WHERE side = 'd'),
+noisy AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM scored),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY able ORDER BY score DESC, doc_id NULLS LAST) AS place, count(*) OVER (PARTITION BY able) AS n FROM noisy)
+SELECT doc_id, n_features, weight, score, (CASE WHEN able AND place <= n * 25 // 100 THEN place END)::BIGINT AS rank FROM ranked
+"""
+
+EXACT_DEDUP = f"""
+WITH plain AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '{_BLANK}', ' ', 'g') AS text FROM documents),
+classes AS (SELECT text, min(doc_id) AS keep_id, count(*) AS group_size FROM plain GROUP BY text)
+SELECT doc_id, keep_id, group_size::BIGINT AS group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(text) AS text_sha256
+FROM plain JOIN classes USING (text)
+"""
