@@ -125,6 +125,10 @@ FROM (SELECT *, lag(status) OVER w AS s0, lag(planned_qty) OVER w AS q0, row_num
   FROM wolog WINDOW w AS (PARTITION BY work_order_id ORDER BY updated_at))
 WHERE rn = 1 OR s0 <> status OR q0 <> planned_qty"""
 
+SQL["scd2_from_batches"] = SQL["scd2_work_orders"]
+
+SQL["cdc_upsert"] = SQL["cdc_apply_latest"]
+
 _ABSENT = (
     "ch_header_chws ch_header_chwr ch_header_cdws ch_header_cdwr ch_header_chw_dpt ch_header_cw_dpt ct_outdoor_temp "
     "ct_outdoor_rh compressor_total_flow flow_consumption ch_pdt ch_hdr_supply_temp ch_hdr_return_temp"
@@ -468,6 +472,10 @@ SQL["rollup_hour"] = f"SELECT device_id, date_trunc('hour', bucket) AS bucket, {
 SQL["energy_integrate"] = f"SELECT device_id, time, msg_id, {ns('total_power', 'added_kwh', 'total_kwh')} FROM integrated"
 SQL["stream_energy"] = f"SELECT device_id, time, msg_id, {ns('total_power', 'total_kwh')} FROM integrated"
 
+SQL["stream_energy_state"] = SQL["stream_energy"]
+SQL["build_incremental"] = f"""
+SELECT f.*, {n('i.total_kwh', 'total_kwh')} FROM ({SQL['fact_energy']}) f JOIN integrated i USING (device_id, msg_id)"""
+
 SQL["anomaly_power_spike"] = f"""
 SELECT device_id, time, msg_id, {n('total_power', 'total_power')}, {n('mean', 'baseline')}, {n('z', 'z_score')}
 FROM (SELECT *, (CAST(total_power AS DOUBLE) - mean) / CASE WHEN deviation > abs(mean) * 1e-12 THEN deviation END AS z
@@ -551,6 +559,8 @@ SQL["ingest_stream"] = f"""
 SELECT l.msg_id, l.time, CAST(l.time AS DATE) AS date, l.device_id, source, metric, {n('reading', 'reading')}
 FROM longm l JOIN ev ON ev.msg_id = l.msg_id"""
 
+SQL["raw_live"] = SQL["ingest_stream"]
+
 SQL["stream_tumbling"] = f"""
 SELECT device_id, window_start, window_start + INTERVAL 1 HOUR AS window_end, count(total_power) AS readings,
   {n('sum(total_power)', 'power_sum')}, {n('min(total_power)', 'power_min')}, {n('max(total_power)', 'power_max')}

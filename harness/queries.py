@@ -26,9 +26,13 @@ from millwatt.operators import (
     staging,
 )
 from millwatt.plans import analytics, panels, pipeline, upkeep
+from millwatt.plans.daily import DailyBuild
 from millwatt.session import work_folder
 from millwatt.sources import files
 from millwatt.sources import telemetry as telemetry_source
+from millwatt.sources.keyed import HistoryTable, KeyedTable
+from millwatt.sources.rawtable import RawTable
+from millwatt.streaming import counters
 from millwatt.streaming import energy as energy_stream
 from millwatt.streaming import ingest, lateness, windows
 
@@ -151,6 +155,52 @@ def raw_compacted(v: Views) -> DataFrame:
     return _per_day(upkeep.compact(v.spark, f"{folder}/old", f"{folder}/new", files=4))
 
 
+def _arrivals(v: Views) -> list[DataFrame]:
+    """The raw rows as three landings: the first half of the serials, the second, and every seventh row, late."""
+    serial = F.col("metadata")["msgId"].cast("bigint")
+    half = v.raw.agg(F.max(serial)).first()[0] // 2
+    late = serial % 7 == 0
+    return [v.raw.where(~late & (serial <= half)), v.raw.where(~late & (serial > half)), v.raw.where(late)]
+
+
+def _readings_of(raw: DataFrame) -> DataFrame:
+    return raw.select(
+        F.col("metadata")["msgId"].alias("msg_id"), "time", "date", "device_id", "source", F.explode("value").alias("metric", "reading")
+    )
+
+
+@query
+def raw_live(v: Views) -> DataFrame:
+    """Every reading of a table that is compacted in place between three landings, the last into settled days."""
+    folder = work_folder(v.spark, "live")
+    table = RawTable(v.spark, folder)
+    for number, rows in enumerate(_arrivals(v)):
+        telemetry_source.write_raw(rows, f"{folder}/stream=a/batch_id={number}")
+        upkeep.settle(v.spark, folder)
+        if number != 1:
+            table.clean()
+    return _readings_of(telemetry_source.read_raw(v.spark, folder))
+
+
+def _built_daily(v: Views) -> DailyBuild:
+    """Marts built after each of three landings, with a compaction between the builds."""
+    folder = work_folder(v.spark, "daily")
+    raw, marts = RawTable(v.spark, f"{folder}/raw"), DailyBuild(v.spark, f"{folder}/marts")
+    for number, rows in enumerate(_arrivals(v)):
+        telemetry_source.write_raw(rows, f"{folder}/raw/stream=a/batch_id={number}")
+        marts.run(raw, v.master, v.machines_raw)
+        upkeep.settle(v.spark, f"{folder}/raw")
+    return marts
+
+
+@query
+def build_incremental(v: Views) -> DataFrame:
+    """The energy fact of marts built day by day as readings arrive, with the running energy carried over the days."""
+    marts = _built_daily(v)
+    totals = marts.totals().select("device_id", "msg_id", "total_kwh")
+    return marts.energy().drop("date").join(totals, ["device_id", "msg_id"])
+
+
 @query
 def raw_retained(v: Views) -> DataFrame:
     """What the retention job leaves of a streamed table that also holds a row of a wrong clock."""
@@ -263,6 +313,38 @@ def scd2_work_orders(v: Views) -> DataFrame:
 # Staging.
 
 
+@query
+def scd2_from_batches(v: Views) -> DataFrame:
+    """The same intervals kept up to date from four batches; the middle version comes last, in two of them."""
+    log = v.work_order_log
+    table = HistoryTable(
+        v.spark,
+        work_folder(v.spark, "history"),
+        ["work_order_id"],
+        ["status", "planned_qty"],
+        "updated_at",
+        ["version"],
+        "work_order_id bigint, status string, planned_qty int, updated_at timestamp, version int",
+        buckets=16,
+    )
+    middle = F.col("version") == 1
+    even = F.col("work_order_id") % 2 == 0
+    for number, part in enumerate([F.col("version") == 0, F.col("version") == 2, middle & even, middle & ~even]):
+        table.merge(log.where(part), number)
+    return table.intervals().select("work_order_id", "status", "planned_qty", "valid_from", "valid_to", "is_current")
+
+
+@query
+def cdc_upsert(v: Views) -> DataFrame:
+    """Current state after three batches of changes, each rewriting only the buckets of its keys."""
+    changed = changes.unwrap(v.change_log)
+    image = "device_no bigint, status string, amount double"
+    table = KeyedTable(v.spark, work_folder(v.spark, "upsert"), ["device_no"], image, buckets=16)
+    for number in (1, 0, 2):  # the second batch comes first
+        table.merge(changed.where(F.col("__lsn") % 3 == number), 0, f"log-{number}")
+    return table.current().select("device_no", "status", "amount")
+
+
 @query
 def stg_telemetry(v: Views) -> DataFrame:
     return v.stg
@@ -807,6 +889,22 @@ def stream_energy(v: Views) -> DataFrame:
     return v.spark.read.parquet(f"{folder}/out/totals").drop("stream", "batch_id", "total_work")
 
 
+@query
+def stream_energy_state(v: Views) -> DataFrame:
+    """Running energy from the stream's own state, in three runs that each go on from the checkpoint of the one before."""
+    folder = work_folder(v.spark, "counters")
+    readings = _power_readings(v).withColumn("total_power", F.col("total_power").cast("decimal(28,12)"))
+    first, newest = readings.agg(F.min("time"), F.max("time")).first()
+    thirds = [first + (newest - first) * k / 3 for k in (1, 2)]
+    at = F.col("time")
+    for part in (at < thirds[0], (at >= thirds[0]) & (at < thirds[1]), at >= thirds[1]):
+        readings.where(part).write.mode("append").parquet(f"{folder}/readings")
+        stream = v.spark.readStream.schema(readings.schema).parquet(f"{folder}/reading[s]")
+        counters.start(stream, f"{folder}/out", f"{folder}/checkpoint", idle="3 days", trigger=NOW).awaitTermination()
+    out = v.spark.read.parquet(f"{folder}/out")
+    return out.where("kind = 'total'").select("device_id", "time", "msg_id", "total_power", "total_kwh")
+
+
 @query
 def stream_cdc(v: Views) -> DataFrame:
     """Change stream applied batch by batch to a keyed table."""

@@ -54,7 +54,12 @@ def current(
     latest = ordered.latest_per_key(changes, keys, order)
     if keep_deleted:
         return latest
-    return latest.where(~F.coalesce((F.col("__op") == "d") | (F.col("__deleted") == "true"), F.lit(False)))
+    return latest.where(~is_delete())
+
+
+def is_delete() -> Column:
+    """Whether a change row removes its key."""
+    return F.coalesce((F.col("__op") == "d") | (F.col("__deleted") == "true"), F.lit(False))
 
 
 def target_table(topic: Column) -> Column:
@@ -89,3 +94,19 @@ def history(
     return bounded.drop(ordered.CHUNK).withColumnRenamed(time, "valid_from").withColumn(
         "is_current", F.col("valid_to").isNull()
     )
+
+
+def timeline(
+    points: DataFrame, keys: Sequence[str], tracked: Sequence[str], time: str, ties: Sequence[str] = (), **chunking
+) -> DataFrame:
+    """All changes with ``is_change`` (the tracked columns differ from the change before) and, for those, ``valid_to``.
+
+    :func:`history` without losing the changes that repeat a state.
+    """
+    order = [time, *ties]
+    state = F.struct(*tracked)
+    seen = ordered.previous(points, keys, order, {"_state": state}, **chunking)
+    marked = seen.withColumn("is_change", F.col("_state").isNull() | ~F.col("_state").eqNullSafe(state)).drop("_state")
+    bounded = ordered.following(marked.where("is_change"), keys, order, {"valid_to": F.col(time)})
+    rest = marked.where("not is_change").withColumn("valid_to", F.lit(None).cast("timestamp"))
+    return bounded.unionByName(rest).drop(ordered.CHUNK)

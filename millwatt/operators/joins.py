@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from millwatt.functions.clock import in_shift, shift_date
 from millwatt.operators import ordered
 
+# Points in a tile of the interval join.
+TILE = 64
+
 
 def as_of(
     left: DataFrame,
@@ -65,38 +68,57 @@ def within_interval(
     start: str,
     end: str,
     tie: str | None = None,
+    tile: int = TILE,
     **chunking,
 ) -> DataFrame:
     """Points that fall in ``[start, end)`` of an interval of their key; a null end is open.
 
-    A machine is in one state at a time, so intervals of a key mostly follow each other. For those
-    that begin when all earlier ones have ended, the only candidate of a point is the latest begun,
-    which costs one sort instead of all pairs of points and intervals of a hot key. The others, which
-    begin inside an earlier one, meet the points of their key and day. A point in several
-    intervals comes out once for each. Interval columns come back in the struct ``matched``.
+    A sweep: begins, ends and points of a key are stacked in order of time, and a running count numbers the points. The points of
+    an interval are then the numbers from the count at its begin up to the one at its end, whatever the lengths and
+    overlaps. Numbers are cut into tiles; an interval meets the tiles it covers by equality on key and tile. Tiles
+    inside an interval hold ``tile`` points that all match, so work follows the result, and a hot key is many tiles.
+    Intervals without a point end before they are joined.
+
+    A point in several intervals comes out once for each; equal intervals count each. Interval columns, which must be of types that
+    can be grouped, come back in the struct ``matched``. Points and intervals with a null key or time match nothing.
+    The order of intervals of one begin does not matter, so ``tie`` has no effect.
     """
-    order = [start, tie] if tie else [start, end]
-    known = intervals.dropna(subset=[*keys, start])
-    reach = F.coalesce(F.col(end).cast("timestamp"), F.lit("9999-12-31").cast("timestamp"))
-    reached = ordered.running_max(known, keys, order, {"_reach": reach}, **chunking)
-    seen = ordered.previous(reached, keys, order, {"_before": F.col("_reach")}).drop(ordered.CHUNK)
-    inside = F.coalesce(F.col(start) < F.col("_before"), F.lit(False))
-    following = seen.where(~inside).select(*intervals.columns)
-    found = as_of(points, following, keys, time, start, tie, how="inner", **chunking)
-    open_end = F.col(f"matched.{end}").isNull()
-    one = found.where(open_end | (F.col(time) < F.col(f"matched.{end}")))
-
-    newest = points.agg(F.max(time).alias("t")).scalar()
-    last = F.least(F.coalesce(F.col(end), newest), newest)
-    overlapping = (
-        seen.where(inside)
-        .select(*keys, F.struct(*intervals.columns).alias("matched"), F.to_date(start).alias("_first"), F.to_date(last).alias("_last"))
-        .where("_first <= _last")
-        .select(*keys, "matched", F.explode(F.sequence("_first", "_last", F.expr("INTERVAL 1 DAY"))).alias("_day"))
+    keys = list(keys)
+    columns = [F.col(k) for k in keys]
+    point, interval = F.struct(*points.columns), F.struct(*intervals.columns)
+    no_point, no_interval = F.lit(None).cast(points.schema), F.lit(None).cast(intervals.schema)
+    last = F.coalesce(F.col(end).cast("timestamp"), F.lit("9999-12-31").cast("timestamp"))
+    edge = F.explode(F.array(F.struct(F.col(start).cast("timestamp").alias("at"), F.lit(True).alias("opens")), F.struct(last.alias("at"), F.lit(False).alias("opens"))))
+    edges = (
+        intervals.dropna(subset=[*keys, start])
+        .where(F.col(end).isNull() | (F.col(end) > F.col(start)))
+        .select(*columns, interval.alias("_interval"), edge.alias("_edge"))
+        .select(*keys, F.col("_edge.at").alias("_at"), F.lit(0).alias("_point"), no_point.alias("_row"), "_interval", F.col("_edge.opens").alias("_opens"))
+    )
+    # Edges come before the points of their instant: a begin counts them in, an end does not.
+    stacked = edges.unionByName(
+        points.dropna(subset=[*keys, time]).select(
+            *columns, F.col(time).cast("timestamp").alias("_at"), F.lit(1).alias("_point"), point.alias("_row"), no_interval.alias("_interval"), F.lit(None).cast("boolean").alias("_opens")
+        )
+    )
+    counted = ordered.running_sum(stacked, keys, ["_at", "_point"], {"_count": F.col("_point").cast("bigint")}, **chunking)
+    spans = (
+        counted.where("_point = 0")
+        .groupBy(*keys, "_interval")
+        .agg(
+            F.min(F.when(F.col("_opens"), F.col("_count"))).alias("_from"),
+            F.max(F.when(~F.col("_opens"), F.col("_count"))).alias("_upto"),
+            F.count_if("_opens").alias("_copies"),
+        )
+        .where("_upto > _from")
     )
-    met = points.withColumn("_day", F.to_date(time)).join(overlapping, [*keys, "_day"])
-    more = met.where((F.col(time) >= F.col(f"matched.{start}")) & (open_end | (F.col(time) < F.col(f"matched.{end}"))))
-    return one.unionByName(more.select(*points.columns, "matched"))
+    tiles = F.sequence(F.floor(F.col("_from") / tile), F.floor((F.col("_upto") - 1) / tile))
+    laid = spans.select(*keys, "_interval", "_from", "_upto", "_copies", F.explode(tiles).alias("_tile"))
+    numbered = counted.where("_point = 1").select(*keys, "_row", (F.col("_count") - 1).alias("_number"))
+    met = numbered.withColumn("_tile", F.floor(F.col("_number") / tile)).join(laid, [*keys, "_tile"])
+    inside = met.where((F.col("_number") >= F.col("_from")) & (F.col("_number") < F.col("_upto")))
+    each = inside.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    return each.select("_row.*", F.col("_interval").alias("matched"))
 
 
 def with_children(parents: DataFrame, children: DataFrame, parent_key: str, child_key: str) -> DataFrame:

@@ -12,6 +12,7 @@ from millwatt.operators import landing
 from millwatt.plans import pipeline
 from millwatt.sources import telemetry
 from millwatt.sources.changelog import ChangeTable
+from millwatt.sources.rawtable import RawTable
 
 
 def change_tables(tables: Iterable[ChangeTable]) -> list[int]:
@@ -38,3 +39,10 @@ def compact(spark: SparkSession, path: str, target: str, days: int = C.COMPACT_A
     before = spark.range(1).select(landing.newest_day(raw, days).cast("string")).first()[0]
     telemetry.compact_days(spark, path, target, before, files)
     return telemetry.read_raw(spark, target)
+
+
+def settle(spark: SparkSession, path: str, days: int = C.COMPACT_AFTER_DAYS) -> list[str]:
+    """Compact the settled days of a raw table in place, while streams land into it; returns the days written."""
+    table = RawTable(spark, path)
+    before = spark.range(1).select(landing.newest_day(table.read(), days).cast("string")).first()[0]
+    return table.compact(before) if before else []

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from millwatt import constants as C
 from millwatt import schemas
-from millwatt.sources.files import delete_folder, folders
+from millwatt.sources.files import delete_folder, exists, folders
+from millwatt.sources.rawtable import COLUMNS, SETTLED, RawTable
 
 # A registry-framed message starts with a marker byte and a four-byte schema id.
 FRAME_BYTES = 5
@@ -105,9 +106,10 @@ def write_raw(raw: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    """Raw rows of a folder, whether days lie in it or in the batch folders of the landing stream."""
-    rows = spark.read.schema(schemas.RAW_TELEMETRY).parquet(path)
-    return rows.select("time", "value", "dimensions", "metadata", "device_id", "source", "date")
+    """Raw rows of a folder, whether days lie in it or in the batch folders of the landing stream, compacted or not."""
+    if exists(spark, f"{path}/{SETTLED}"):
+        return RawTable(spark, path).read()
+    return spark.read.schema(schemas.RAW_TELEMETRY).parquet(path).select(*COLUMNS)
 
 
 def compact_days(spark: SparkSession, path: str, target: str, before: str, files: int) -> None:
@@ -129,6 +131,8 @@ def drop_days(spark: SparkSession, path: str, before: str) -> list[str]:
     Days lie in the folder itself or in the stream and batch folders of the landing stream.
     """
     root = path.rstrip("/")
+    if exists(spark, f"{root}/{SETTLED}"):
+        return [f"date={day}" for day in RawTable(spark, root).retire(before)]
     dropped = set()
     for pattern in ("date=*", "batch_id=*/date=*", "stream=*/batch_id=*/date=*"):
         for folder in folders(spark, f"{root}/{pattern}"):
