@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from millwatt import constants as C
 from millwatt.operators import ordered
+from millwatt.session import written
 
 
 def capture(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -101,12 +102,14 @@ def timeline(
 ) -> DataFrame:
     """All changes with ``is_change`` (the tracked columns differ from the change before) and, for those, ``valid_to``.
 
-    :func:`history` without losing the changes that repeat a state.
+    :func:`history` without losing the changes that repeat a state. The marks are worked out and written when the
+    function is called.
     """
     order = [time, *ties]
     state = F.struct(*tracked)
     seen = ordered.previous(points, keys, order, {"_state": state}, **chunking)
     marked = seen.withColumn("is_change", F.col("_state").isNull() | ~F.col("_state").eqNullSafe(state)).drop("_state")
+    marked = written(marked, "timeline")
     bounded = ordered.following(marked.where("is_change"), keys, order, {"valid_to": F.col(time)})
     rest = marked.where("not is_change").withColumn("valid_to", F.lit(None).cast("timestamp"))
     return bounded.unionByName(rest).drop(ordered.CHUNK)

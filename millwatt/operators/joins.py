@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millwatt.functions.clock import in_shift, shift_date
 from millwatt.operators import ordered
+from millwatt.session import written
 
 # Points in a tile of the interval join.
 TILE = 64
@@ -81,7 +82,8 @@ def within_interval(
 
     A point in several intervals comes out once for each; equal intervals count each. Interval columns, which must be of types that
     can be grouped, come back in the struct ``matched``. Points and intervals with a null key or time match nothing.
-    The order of intervals of one begin does not matter, so ``tie`` has no effect.
+    The order of intervals of one begin does not matter, so ``tie`` has no effect. The count is worked out and written
+    when the function is called.
     """
     keys = list(keys)
     columns = [F.col(k) for k in keys]
@@ -102,6 +104,8 @@ def within_interval(
         )
     )
     counted = ordered.running_sum(stacked, keys, ["_at", "_point"], {"_count": F.col("_point").cast("bigint")}, **chunking)
+    # Sorted once; intervals and points are both taken from it.
+    counted = written(counted.drop(ordered.CHUNK), "sweep")
     spans = (
         counted.where("_point = 0")
         .groupBy(*keys, "_interval")

@@ -8,7 +8,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that can be changed on a running session; every job sets them before planning.
 RUNTIME_SETTINGS = {
@@ -67,6 +67,13 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     return folder
 
 
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """Write ``df`` under the shared folder now and read it again, for frames that several branches of a plan need."""
+    path = work_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def release(spark: SparkSession) -> None:
     """Remove the folders this process asked for; call it when no frame built on them is needed any more."""
     while _made:

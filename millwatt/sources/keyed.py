@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millwatt.operators import changes, ordered
+from millwatt.session import written
 from millwatt.sources.changelog import ORDER
 from millwatt.sources.parts import PartTable
 from millwatt.streaming.runs import stream_id
@@ -107,6 +108,7 @@ class HistoryTable(_Bucketed):
         affected = fresh.select(*self.keys).distinct()
         others = old.join(affected, self.keys, "left_anti")
         points = old.join(affected, self.keys, "left_semi").select(*self._columns()).unionByName(fresh).distinct()
+        points = written(points, "history-points")
         return others.unionByName(
             changes.timeline(points, self.keys, self.tracked, self.time, self.ties, **self.chunking).select(*old.columns)
         )

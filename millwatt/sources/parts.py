@@ -53,9 +53,13 @@ class Manifest:
 
 
 class PartTable:
-    """A table of ``schema`` under ``folder``; the part of a row is in the extra column :data:`PART` when it is written."""
+    """A table of ``schema`` under ``folder``; the part of a row is in the extra column :data:`PART` when it is written.
 
-    PART = "part"
+    The table's own columns must not have the names of the two folder columns.
+    """
+
+    PART = "table_part"
+    VERSION = "table_version"
 
     def __init__(self, spark: SparkSession, folder: str, schema: str, settings: dict[str, str] | None = None):
         self.spark, self.folder, self.schema = spark, folder.rstrip("/"), schema
@@ -83,10 +87,10 @@ class PartTable:
         """
         known = self.parts() if parts is None else parts
         paths = [known[n] for n in sorted(known if names is None else set(names) & set(known))]
-        placed = f"{self.schema}, {self.PART} string, version bigint"
+        placed = f"{self.schema}, {self.PART} string, {self.VERSION} bigint"
         reader = self.spark.read.schema(placed).option("basePath", f"{self.folder}/data")
         rows = reader.parquet(*paths) if paths else empty(self.spark, placed)
-        return rows.drop("version") if with_part else rows.drop("version", self.PART)
+        return rows.drop(self.VERSION) if with_part else rows.drop(self.VERSION, self.PART)
 
     def replace(
         self,
@@ -103,7 +107,7 @@ class PartTable:
         """
         entries = self.manifest.entries()
         number = self.manifest.version() + 1
-        root = f"{self.folder}/data/version={number}"
+        root = f"{self.folder}/data/{self.VERSION}={number}"
         spread = df.select(*empty(self.spark, self.schema).columns, self.PART)
         spread = spread if laid_out else spread.hint("rebalance", self.PART)
         spread.write.mode("overwrite").partitionBy(self.PART).option("compression", "zstd").parquet(root)
@@ -125,7 +129,7 @@ class PartTable:
     def clean(self) -> list[str]:
         """Remove folders that the newest version does not use; run it when no reader is on older ones."""
         used = {p.rstrip("/") for p in self.parts().values()}
-        gone = [p for p in folders(self.spark, f"{self.folder}/data/version=*/{self.PART}=*") if p.rstrip("/") not in used]
+        gone = [p for p in folders(self.spark, f"{self.folder}/data/{self.VERSION}=*/{self.PART}=*") if p.rstrip("/") not in used]
         for path in gone:
             delete_folder(self.spark, path)
         self.manifest.clean()

@@ -86,12 +86,12 @@ def test_landing_goes_on_beside_compaction(spark, land):
 def test_parts_are_checked(spark, frame):
     folder = work_folder(spark, "parts")
     parts = PartTable(spark, folder, "x int", {"n": "1"})
-    parts.replace(frame([(1, "a"), (2, "b")], "x int, part string"), ["a", "b"])
+    parts.replace(frame([(1, "a"), (2, "b")], "x int, table_part string"), ["a", "b"])
     with pytest.raises(ValueError, match="not replaced"):
-        parts.replace(frame([(3, "b")], "x int, part string"), ["a"])
+        parts.replace(frame([(3, "b")], "x int, table_part string"), ["a"])
     with pytest.raises(ValueError, match="was made with"):
         PartTable(spark, folder, "x int", {"n": "2"})
-    parts.replace(frame([], "x int, part string"), ["a"])
+    parts.replace(frame([], "x int, table_part string"), ["a"])
     assert table(parts.read()) == [(2,)] and len(parts.clean()) == 1 and table(parts.read(["a", "b"])) == [(2,)]
 
 
