@@ -3,7 +3,7 @@
 The number of eigenvalues above a shift is the number of positive pivots of an LDLᵀ factorisation of the shifted matrix
 (Sylvester's law of inertia). Bisection on these counts isolates each leading eigenvalue in an interval of its own; Rayleigh
 quotient iteration, which converges cubically, finishes it; and the counts just below and above the value found certify its number.
-Eigenvalues that agree to rounding cannot be separated: they are taken together by inverse iteration on a block.
+Eigenvalues that lie close together are taken together, by inverse iteration on a block, and then sliced inside their space.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ import numpy as np
 
 # Growth bound of Bunch and Kaufman's choice between pivots of one and of two rows.
 _ALPHA = (1 + np.sqrt(17)) / 8
+# Eigenvalues within this part of the largest are not told apart by single vectors, which would not be orthogonal.
+_NEAR = 1e-8
 
 
 def above(a: np.ndarray, shift: float) -> int:
@@ -103,23 +105,30 @@ def leading(a: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         return counts[shift]
 
     rng = np.random.default_rng(0)
+    near = _NEAR * scale
     values, vectors = np.zeros(0), np.zeros((d, 0))
     while len(values) < k:
         number = len(values) + 1
-        # The tightest known bracket of this eigenvalue, narrowed until it is alone or cannot be told from others.
+        # The tightest known bracket of this eigenvalue, narrowed until it is alone or close to the others.
         lo = max(s for s, c in counts.items() if c >= number)
         hi = min(s for s, c in counts.items() if c < number)
-        while count(lo) - count(hi) > 1 and hi - lo > slack:
+        while count(lo) - count(hi) > 1 and hi - lo > near:
             middle = (lo + hi) / 2
             lo, hi = (middle, hi) if count(middle) >= number else (lo, middle)
-        together = count(lo) - count(hi)
-        if together == 1:
-            value, v = _isolated(a, lo, hi, number, count, rng, scale, slack)
-            new_values, new = np.array([value]), v[:, None]
+        value, v = (hi, None) if count(lo) - count(hi) > 1 else _isolated(a, lo, hi, number, count, rng, scale, slack)
+        # Others so close below that their vectors could mix are taken with it, up to the next clear gap.
+        width = near
+        while count(value - width) < count(value - 4 * width) and width < scale:
+            width *= 4
+        together = count(value - width) - number + 1
+        if v is None or together > 1:
+            found, v = _cluster(a, value - width / 2, together, vectors, rng, scale)
         else:
-            new_values, new = _cluster(a, (lo + hi) / 2, together, vectors, rng, scale)
-        values = np.concatenate([values, new_values])
-        vectors = np.concatenate([vectors, new], axis=1)
+            found, v = np.array([value]), v[:, None]
+        for _ in range(2):
+            v = v - vectors @ (vectors.T @ v)
+        values = np.concatenate([values, found])
+        vectors = np.concatenate([vectors, v / np.linalg.norm(v, axis=0)], axis=1)
     vectors = vectors[:, :k]
     largest = np.abs(vectors).argmax(0) if d else np.zeros(0, int)
     signs = np.where(vectors[largest, np.arange(vectors.shape[1])] < 0, -1.0, 1.0)
@@ -139,13 +148,21 @@ def _isolated(a, lo, hi, number, count, rng, scale, slack) -> tuple[float, np.nd
 
 
 def _cluster(a, shift, size, known, rng, scale) -> tuple[np.ndarray, np.ndarray]:
-    """An orthonormal basis of eigenvectors whose values agree with ``shift`` to rounding."""
+    """The ``size`` eigenpairs around ``shift``, whose values are close together.
+
+    Inverse iteration on a block finds their space; inside it, without what they have in common, the values are far apart
+    again and are sliced in turn.
+    """
     block = rng.standard_normal((len(a), size))
-    for _ in range(4):
+    for _ in range(24):
         block = _solve(a, shift, block, scale)
         block /= np.linalg.norm(block, axis=0)
         block -= known @ (known.T @ block)
         block = np.linalg.qr(block)[0]
-    inner = np.array([v @ a @ v for v in block.T])
-    order = np.argsort(-inner, kind="stable")
-    return inner[order], block[:, order]
+    inner = block.T @ a @ block
+    middle = float(np.trace(inner)) / size
+    inner = inner - middle * np.eye(size)
+    if np.abs(inner).max() <= 64 * np.finfo(float).eps * scale:
+        return np.full(size, middle), block  # equal to rounding: any basis will do
+    values, turn = leading(inner, size)
+    return values + middle, block @ turn
