@@ -121,9 +121,9 @@ class Snapshots:
         known = self._complete()
         number = max(known, default=-1) + 1
         folder = f"{self.root}/snapshot={number}"
-        texts = written(
-            batch.groupBy("digest", "key", "packed").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies")), "dedup-texts"
-        )
+        texts = batch.groupBy("digest", "key", "packed").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"))
+        if known:  # read for every earlier snapshot and for what is new
+            texts = written(texts, "dedup-texts")
         sightings = [self._seen(texts, earlier) for earlier in known]
         seen = texts.select("digest", F.lit(0).alias("snapshot"), F.lit(0).cast("long").alias("entry"), "first_id", "copies", "packed").limit(0)
         for found in sightings:
