@@ -42,17 +42,25 @@ def _rule_case() -> str:
     return f"CASE {' '.join(cases)} END"
 
 
+def _same(what: str) -> str:
+    rate = f"(all_{what} / all_pages)"
+    return f"abs({what} / pages - {rate}) <= {urls.Z}::DOUBLE * sqrt({rate} * (1 - {rate}) / pages) + 0.5::DOUBLE / pages"
+
+
 def _wide_levels() -> str:
-    out = []
+    out, sums = [], ", ".join(f"sum({c})::DOUBLE AS {{0}}{c}" for c in ("pages", "labelled", "blocked"))
     for d in range(1, urls.DEPTH + 1):
         before = f"t{d - 1}"
         out.append(f"""
+children{d} AS (
+  SELECT host, g[1:{d - 1}] AS above, g[{d}] AS child, {sums.format("")} FROM {before} WHERE len(g) >= {d} GROUP BY 1, 2, 3),
+nodes{d} AS (SELECT host, above, {sums.format("all_")} FROM children{d} GROUP BY 1, 2),
 wide{d} AS (
-  SELECT host, g[1:{d - 1}] AS at FROM {before} WHERE len(g) >= {d} GROUP BY 1, 2 HAVING count(DISTINCT g[{d}]) > {urls.MANY_CHILDREN}),
+  SELECT host, above, child FROM children{d} JOIN nodes{d} USING (host, above) WHERE {_same("labelled")} AND {_same("blocked")}),
 t{d} AS (
   SELECT t.* EXCLUDE (g),
     CASE WHEN w.host IS NOT NULL AND g[{d}] <> '**' THEN list_concat(g[1:{d - 1}], ['*'], g[{d + 1}:]) ELSE g END AS g
-  FROM {before} t LEFT JOIN wide{d} w ON t.host = w.host AND len(g) >= {d} AND g[1:{d - 1}] = w.at)""")
+  FROM {before} t LEFT JOIN wide{d} w ON t.host = w.host AND len(g) >= {d} AND g[1:{d - 1}] = w.above AND g[{d}] = w.child)""")
     return ",".join(out)
 
 
@@ -70,7 +78,7 @@ parts AS (
   FROM ruled),
 shaped AS (SELECT *, CASE WHEN len(segments) > {urls.DEPTH} THEN list_concat(segments[1:{urls.DEPTH}], ['**']) ELSE segments END AS shape FROM parts),
 t0 AS (
-  SELECT host, shape, count(given) AS labelled, count(*) FILTER (given = 'block') AS blocked, shape AS g FROM shaped GROUP BY host, shape),
+  SELECT host, shape, count(*) AS pages, count(given) AS labelled, count(*) FILTER (given = 'block') AS blocked, shape AS g FROM shaped GROUP BY host, shape),
 {_wide_levels()},
 named AS (
   SELECT *, '/' || array_to_string(g, '/') AS template, '/' || array_to_string(g[1:greatest(len(g) - 1, 0)], '/') AS parent FROM t{urls.DEPTH}),

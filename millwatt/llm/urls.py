@@ -31,8 +31,6 @@ RULES = (
     ("block", "net/fr/"),
 )
 DEPTH = 3
-MANY_CHILDREN = 50
-ENOUGH = 5  # pages that make a child a section of its own
 SMOOTHING = 2.0
 Z = 1.96
 THRESHOLD = 0.5
@@ -70,9 +68,9 @@ def _shape(path: Column) -> Column:
 
 
 def _differs(what: str) -> Column:
-    """Whether a child's share of such pages differs significantly from that of its node."""
+    """Whether a child's share of such pages differs significantly from that of its node; the half page is for small counts."""
     rate = F.col(f"all_{what}") / F.col("all_pages")
-    return F.abs(F.col(what) / F.col("pages") - rate) > Z * F.sqrt(rate * (1 - rate) / F.col("pages"))
+    return F.abs(F.col(what) / F.col("pages") - rate) > F.lit(Z) * F.sqrt(rate * (1 - rate) / F.col("pages")) + F.lit(0.5) / F.col("pages")
 
 
 def templates(pages: DataFrame) -> DataFrame:
@@ -90,14 +88,10 @@ def templates(pages: DataFrame) -> DataFrame:
         counted = [F.sum(c).alias(c) for c in ("pages", "labelled", "blocked")]
         children = shapes.where(deep).groupBy(F.col("host").alias("at_host"), parent.alias("at"), here.alias("child")).agg(*counted)
         children = written(children, "urls-children")
-        nodes = (
-            children.groupBy("at_host", "at")
-            .agg(F.count("*").alias("children"), *[F.sum(c).alias(f"all_{c}") for c in ("pages", "labelled", "blocked")])
-            .where(F.col("children") > MANY_CHILDREN)
-        )
+        nodes = children.groupBy("at_host", "at").agg(*[F.sum(c).alias(f"all_{c}") for c in ("pages", "labelled", "blocked")])
         wide = (
             children.join(nodes, ["at_host", "at"])
-            .where((F.col("pages") < ENOUGH) & ~_differs("labelled") & ~_differs("blocked"))
+            .where(~_differs("labelled") & ~_differs("blocked"))
             .select("at_host", "at", "child", F.lit(True).alias("wide"))
         )
         inside = (F.col("host") == F.col("at_host")) & (parent == F.col("at")) & (here == F.col("child")) & deep
