@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .stage import small, written
+from .stage import free, small, written
 
 MIN_WORDS = 1  # all but blank lines
 FUZZY_WORDS = 8
@@ -235,29 +235,30 @@ def dedup(docs: DataFrame) -> DataFrame:
 
     All other columns stay as they were but ``n_chars``, which is counted anew if there. A document whose every word went is a copy of others and goes too.
     """
+    mask_id, mask_digest, mask = (free(name, docs.columns) for name in ("mask_id", "mask_digest", "removed_mask"))
     masks = (
         removed(docs)
         .groupBy("doc_id", "digest", F.floor(F.col("line_no") / BLOCK).cast("int").alias("block"))
         .agg(F.expr(f"bit_or(shiftleft(1L, line_no % {BLOCK}))").alias("bits"))
-        .groupBy(F.col("doc_id").alias("mask_id"), F.col("digest").alias("mask_digest"))
+        .groupBy(F.col("doc_id").alias(mask_id), F.col("digest").alias(mask_digest))
         .agg(F.collect_list(F.struct("block", "bits")).alias("sparse"), F.max("block").alias("blocks"))
         .withColumn(
-            "removed_mask",
+            mask,
             F.transform(
                 F.sequence(F.lit(0), F.col("blocks")),
                 lambda b: F.coalesce(F.get(F.filter("sparse", lambda s: s["block"] == b), F.lit(0))["bits"], F.lit(0)),
             ),
         )
-        .select("mask_id", "mask_digest", "removed_mask")
+        .select(mask_id, mask_digest, mask)
     )
     own = _digest(F.coalesce(docs["text"], F.lit("")))
-    joined = docs.join(masks, docs["doc_id"].eqNullSafe(masks["mask_id"]) & (own == masks["mask_digest"]), "left")
+    joined = docs.join(masks, docs["doc_id"].eqNullSafe(masks[mask_id]) & (own == masks[mask_digest]), "left")
 
     def gone(i: Column) -> Column:
-        bits = F.get(F.col("removed_mask"), F.floor(i / BLOCK).cast("int"))
+        bits = F.get(F.col(mask), F.floor(i / BLOCK).cast("int"))
         return F.coalesce(F.call_function("shiftright", bits, i % BLOCK).bitwiseAND(F.lit(1)), F.lit(0)) == 1
 
-    untouched = F.col("removed_mask").isNull()
+    untouched = F.col(mask).isNull()
     left = F.array_join(F.filter(F.split("text", "\n"), lambda _, i: ~gone(i)), "\n")
     cut = joined.withColumn("text", F.when(untouched, F.col("text")).otherwise(left))
     cut = cut.where(untouched | F.col("text").rlike(r"[^\x20\x09-\x0D]"))

@@ -35,3 +35,11 @@ def sampled(df: DataFrame, key: str, bound: int, seed: int) -> DataFrame:
 def small(df: DataFrame, rows: int) -> DataFrame:
     """A written table, to be broadcast in joins when it has at most ``rows`` rows; else Spark shuffles it."""
     return F.broadcast(df) if df.count() <= rows else df
+
+
+def free(name: str, columns: list[str]) -> str:
+    """``name``, or a longer one that none of ``columns`` has."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
