@@ -16,14 +16,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millwatt.llm import decontam, language, linededup, minhash, mixing
-from millwatt.llm.stage import table, written
+from millwatt.llm.stage import free, table, written
 
 LEAST_SCORE = 0.3
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = language.identify(docs, language.fit(docs))
-    return found.where((F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    # The documents' own columns of these names come through under others.
+    own = {c: free(f"own_{c}", docs.columns) for c in docs.columns if c.lower() in ("lang_pred", "score")}
+    found = language.identify(docs.withColumnsRenamed(own), language.fit(docs))
+    kept = found.where((F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_SCORE))
+    return kept.select(*[F.col(own[c]).alias(c) if c in own else F.col(c) for c in docs.columns])
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
