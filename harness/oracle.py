@@ -228,6 +228,12 @@ WHERE o_orderdate < TIMESTAMP '2024-01-01' OR o_orderdate >= TIMESTAMP '2027-01-
 SQL["fact_production"] = f"""
 SELECT * EXCLUDE (duration_minutes), {ns('duration_minutes')} FROM production"""
 
+SQL["fact_production_captured"] = f"""
+SELECT * EXCLUDE (duration_minutes), {ns('duration_minutes')} FROM production_captured"""
+
+SQL["fact_machine_state_captured"] = f"""
+SELECT * EXCLUDE (duration_minutes), {ns('duration_minutes')} FROM machine_state_captured"""
+
 SQL["state_intervals"] = "SELECT * FROM intervals"
 
 SQL["fact_machine_state"] = f"""
@@ -469,6 +475,8 @@ _ROLL = """CAST(sum(readings) AS BIGINT) AS readings, round(CAST(sum(power_sum)
 SQL["rollup_minute"] = f"SELECT device_id, bucket, {_ROLL} FROM minute_roll GROUP BY 1, 2"
 SQL["rollup_hour"] = f"SELECT device_id, date_trunc('hour', bucket) AS bucket, {_ROLL} FROM minute_roll GROUP BY 1, 2"
 
+SQL["rollup_incremental"] = SQL["rollup_hour"]
+
 SQL["energy_integrate"] = f"SELECT device_id, time, msg_id, {ns('total_power', 'added_kwh', 'total_kwh')} FROM integrated"
 SQL["stream_energy"] = f"SELECT device_id, time, msg_id, {ns('total_power', 'total_kwh')} FROM integrated"
 
@@ -560,6 +568,7 @@ SELECT l.msg_id, l.time, CAST(l.time AS DATE) AS date, l.device_id, source, metr
 FROM longm l JOIN ev ON ev.msg_id = l.msg_id"""
 
 SQL["raw_live"] = SQL["ingest_stream"]
+SQL["ingest_replayed"] = SQL["ingest_stream"]
 
 SQL["stream_tumbling"] = f"""
 SELECT device_id, window_start, window_start + INTERVAL 1 HOUR AS window_end, count(total_power) AS readings,

@@ -35,6 +35,7 @@ from millwatt.sources.rawtable import RawTable
 from millwatt.streaming import counters
 from millwatt.streaming import energy as energy_stream
 from millwatt.streaming import ingest, lateness, windows
+from millwatt.streaming.replays import ReplayIndex
 
 Query = Callable[[Views], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -182,8 +183,18 @@ def raw_live(v: Views) -> DataFrame:
     return _readings_of(telemetry_source.read_raw(v.spark, folder))
 
 
+_BUILT: dict[tuple[str, str], DailyBuild] = {}
+
+
 def _built_daily(v: Views) -> DailyBuild:
-    """Marts built after each of three landings, with a compaction between the builds."""
+    """Marts built after each of three landings, with a compaction between the builds; once a session and folder."""
+    key = (v.spark.sparkContext.applicationId, v.folder)
+    if key not in _BUILT:
+        _BUILT[key] = _build_daily(v)
+    return _BUILT[key]
+
+
+def _build_daily(v: Views) -> DailyBuild:
     folder = work_folder(v.spark, "daily")
     raw, marts = RawTable(v.spark, f"{folder}/raw"), DailyBuild(v.spark, f"{folder}/marts")
     for number, rows in enumerate(_arrivals(v)):
@@ -201,6 +212,12 @@ def build_incremental(v: Views) -> DataFrame:
     return marts.energy().drop("date").join(totals, ["device_id", "msg_id"])
 
 
+@query
+def rollup_incremental(v: Views) -> DataFrame:
+    """Hours merged from the minutes of the same marts, late readings included."""
+    return _built_daily(v).hours()
+
+
 @query
 def raw_retained(v: Views) -> DataFrame:
     """What the retention job leaves of a streamed table that also holds a row of a wrong clock."""
@@ -474,6 +491,18 @@ def fact_production(v: Views) -> DataFrame:
     return v.production
 
 
+@query
+def fact_production_captured(v: Views) -> DataFrame:
+    """Orders with their runs from a change log in which runs are finished later, and some removed."""
+    return facts.production(v.dim_work_order, v.dim_machine, staging.production_runs(v.runs_log))
+
+
+@query
+def fact_machine_state_captured(v: Views) -> DataFrame:
+    intervals = facts.state_intervals(staging.machine_states(v.states_log))
+    return facts.machine_state(intervals, v.dim_machine, v.dim_date, v.dim_time)
+
+
 @query
 def state_intervals(v: Views) -> DataFrame:
     return v.intervals.select("id", "machine_id", "state", "start_time", "end_time")
@@ -819,6 +848,19 @@ def ingest_stream(v: Views) -> DataFrame:
     )
 
 
+@query
+def ingest_replayed(v: Views) -> DataFrame:
+    """Events landed by one stream, and all of them again by a stream with a checkpoint of its own."""
+    folder = work_folder(v.spark, "replayed")
+    events = plant_events(v.stream("events")).select(
+        "deviceId", "source", "equipmentType", "building", "ts_utc", "value", "metadata"
+    )
+    index = ReplayIndex(v.spark, f"{folder}/ids")
+    for name in ("a", "b"):
+        ingest.start(events, f"{folder}/raw", f"{folder}/bad", f"{folder}/state-{name}", NOW, index=index).awaitTermination()
+    return _readings_of(telemetry_source.read_raw(v.spark, f"{folder}/raw"))
+
+
 @query
 def ingest_quarantine(v: Views) -> DataFrame:
     """JSON messages landed by two streams with checkpoints of their own; all that is set aside, as it came."""

@@ -230,6 +230,24 @@ SELECT machine_key, CAST(start_time AS DATE) AS date_id,
   (epoch_us(end_time) - epoch_us(start_time)) / 60e6 AS duration_minutes
 FROM intervals i JOIN dim_machine m ON i.machine_id = m.machine_id"""
 
+VIEWS["production_captured"] = f"""
+SELECT work_order_key, machine_key, w.work_order_id, w.product_id, w.machine_id, w.planned_qty, w.status,
+  r.good_qty, r.scrap_qty, r.good_qty + r.scrap_qty AS total_qty, r.start_time, r.start_time + to_minutes(r.minutes) AS end_time,
+  CAST(r.minutes AS DOUBLE) AS duration_minutes
+FROM dim_work_order w LEFT JOIN dim_machine m ON w.machine_id = m.machine_id
+LEFT JOIN (SELECT o_orderkey AS work_order_id, CAST(o_custkey % 90 AS INTEGER) AS good_qty, CAST(o_custkey % 7 AS INTEGER) AS scrap_qty,
+    TIMESTAMP '2024-01-01' + to_days(CAST(o_orderkey % 30 AS INTEGER)) + to_hours(o_custkey % 24) AS start_time,
+    CAST(o_orderkey % 50 + 1 AS INTEGER) AS minutes
+  FROM orders WHERE o_orderkey % 10 <> 0) r ON w.work_order_id = r.work_order_id"""
+
+VIEWS["machine_state_captured"] = """
+SELECT machine_key, CAST(start_time AS DATE) AS date_id,
+  CAST(hour(start_time) * 60 + minute(start_time) AS INTEGER) AS time_key, i.machine_id, state, start_time, end_time,
+  (epoch_us(end_time) - epoch_us(start_time)) / 60e6 AS duration_minutes
+FROM (SELECT machine_id, state, start_time,
+    coalesce(recorded_end, lead(start_time) OVER (PARTITION BY machine_id ORDER BY start_time, id)) AS end_time
+  FROM states WHERE id % 11 <> 0) i JOIN dim_machine m ON i.machine_id = m.machine_id"""
+
 VIEWS["minute_roll"] = """
 SELECT device_id, date_trunc('minute', time) AS bucket, count(total_power) AS readings, sum(total_power) AS power_sum,
   min(total_power) AS power_min, max(total_power) AS power_max, sum(delta_kwh_reset_safe) AS kwh

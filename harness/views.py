@@ -227,6 +227,36 @@ class Views:
     def runs(self) -> DataFrame:
         return staging.production_runs(self.runs_raw)
 
+    @staticmethod
+    def _captured(rows: DataFrame, key: str, gone: int, **before) -> DataFrame:
+        """Change rows: a first one with the values ``before``, the row as it is, and for some keys a delete."""
+        log = rows.withColumn("__lsn", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).cast("bigint"))
+        log = log.where((F.col("__lsn") < 2) | (F.col(key) % gone == 0))
+        early = {name: F.when(F.col("__lsn") > 0, F.col(name)).otherwise(value) for name, value in before.items()}
+        op = F.element_at(F.array(F.lit("c"), F.lit("u"), F.lit("d")), F.col("__lsn").cast("int") + 1)
+        return log.withColumns({**early, "__op": op, "__source_ts_ms": F.floor(F.col("__lsn") / 2), "__deleted": (op == "d").cast("string")})
+
+    @cached_property
+    def runs_log(self) -> DataFrame:
+        """A run of every order as captured: begun, finished, and for every tenth removed."""
+        key, customer = F.col("o_orderkey"), F.col("o_custkey")
+        start = F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval((key % 30).cast("int"), (customer % 24).cast("int"))
+        runs = self.table("orders").select(
+            key.alias("run_id"),
+            key.alias("work_order_id"),
+            device_tag(F.expr("o_custkey div 10")).alias("machine_id"),
+            (customer % 90).cast("int").alias("good_qty"),
+            (customer % 7).cast("int").alias("scrap_qty"),
+            start.alias("started_at"),
+            (start + F.make_dt_interval(mins=(key % 50 + 1).cast("int"))).alias("ended_at"),
+        )
+        return self._captured(runs, "run_id", 10, good_qty=F.lit(0), scrap_qty=F.lit(None), ended_at=F.lit(None))
+
+    @cached_property
+    def states_log(self) -> DataFrame:
+        """The states as captured: begun, ended where that is recorded, and every eleventh removed."""
+        return self._captured(self.states_raw, "state_id", 11, ended_at=F.lit(None))
+
     @cached_property
     def states_raw(self) -> DataFrame:
         """A state begins with every event; only breakdowns have a recorded end."""

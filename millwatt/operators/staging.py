@@ -98,8 +98,9 @@ def work_orders(raw: DataFrame) -> DataFrame:
 
 
 def production_runs(raw: DataFrame) -> DataFrame:
-    """Runs in mart names; the total is good plus scrap."""
-    return raw.select(
+    """Runs in mart names; of captured rows the latest of each, deleted ones left out. The total is good plus scrap."""
+    rows = live(raw, ["run_id"], ["__source_ts_ms"]) if "__source_ts_ms" in raw.columns else raw
+    return rows.select(
         F.col("run_id").alias("id"),
         "work_order_id",
         "machine_id",
@@ -112,8 +113,9 @@ def production_runs(raw: DataFrame) -> DataFrame:
 
 
 def machine_states(raw: DataFrame) -> DataFrame:
-    """States in mart names; the source has no reason."""
-    return raw.select(
+    """States in mart names; of captured rows the latest of each, deleted ones left out. The source has no reason."""
+    rows = live(raw, ["state_id"], ["__source_ts_ms"]) if "__source_ts_ms" in raw.columns else raw
+    return rows.select(
         F.col("state_id").alias("id"),
         "machine_id",
         "state",

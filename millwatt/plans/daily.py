@@ -4,7 +4,7 @@ What depends on a day alone (typed rows, climate facts, machine readings with di
 days goes through two narrow tables with one row for each device and day: ``seams`` holds the day's first and last reading and the energy
 integrated inside it; ``links`` holds the device's last reading before the day and its total up to the day's first one. A late
 reading therefore costs its own day, and the links of the days from then on, which are worked out from the seams: the
-readings of other days are not read.
+readings of other days are not read. Minutes are rolled up with their day, and hours are merged from them.
 
 A manifest names the folder of every table's days and, for each day, how much had landed when it was built; it is written last, so
 readers see a build at once or not at all. When the machines, equipment or calendar changed, all days are built again. Copies
@@ -21,14 +21,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from millwatt.functions.numeric import NUMERIC
-from millwatt.operators import dims, facts, landing, ordered, signals, staging
+from millwatt.operators import dims, facts, landing, ordered, rollups, signals, staging
 from millwatt.sources.files import delete_folder, folders
 from millwatt.sources.parts import Manifest
 from millwatt.sources.rawtable import RawTable
 from millwatt.sources.telemetry import by_device
 
 DAY = "date"
-BY_DAY = ("telemetry", "fact_hvac_reading", "machine_readings", "seams", "links")
+BY_DAY = ("telemetry", "fact_hvac_reading", "machine_readings", "minutes", "seams", "links")
 _READING = ("time", "msg_id", "total_energy", "total_power")
 
 
@@ -80,6 +80,11 @@ def links(seam_rows: DataFrame, **chunking) -> DataFrame:
     return summed.select("device_id", DAY, "before", (F.col("_total") - F.col("work")).cast(signals.WORK).alias("total_before"))
 
 
+def reset_safe(delta: Column, energy: Column) -> Column:
+    """Energy used since the reading before; after a reset of the counter it is the counter itself."""
+    return F.when(delta < 0, energy).otherwise(delta)
+
+
 class DailyBuild:
     """Marts under ``folder``, kept up to date from a raw table."""
 
@@ -129,7 +134,11 @@ class DailyBuild:
         self._write(entries, number, "fact_hvac_reading", hvac.withColumn(DAY, F.to_date("time")), changed, gone)
         readings = facts.machine_readings(staging.machine_readings(stg), model["dim_machine"], days, clock)
         self._write(entries, number, "machine_readings", inside_days(readings, **chunking), changed, gone)
-        self._write(entries, number, "seams", seams(self.read("machine_readings", changed, entries)), changed, gone)
+        inside = self.read("machine_readings", changed, entries)
+        used = inside.withColumn("delta_kwh_reset_safe", reset_safe(F.col("delta_kwh"), F.col("total_energy")))
+        minutes = rollups.by_minute(used).withColumn(DAY, F.to_date("bucket"))
+        self._write(entries, number, "minutes", minutes, changed, gone)
+        self._write(entries, number, "seams", seams(inside), changed, gone)
         # A changed day may move the link of any later one; links are a row for each device and day.
         since = min([*changed, *gone])
         linked = links(self.read("seams", None, entries), **chunking).where(F.col(DAY) >= F.lit(since).cast("date"))
@@ -181,9 +190,21 @@ class DailyBuild:
         delta = (F.col("total_energy") - F.col("_before")).cast(NUMERIC)
         first = rows.where("is_first").join(before, ["device_id", DAY]).withColumn("delta_kwh", delta)
         every = rows.where("not is_first").unionByName(first.select(*rows.columns))
-        safe = F.when(F.col("delta_kwh") < 0, F.col("total_energy")).otherwise(F.col("delta_kwh"))
+        safe = reset_safe(F.col("delta_kwh"), F.col("total_energy"))
         return every.withColumn("delta_kwh_reset_safe", safe).drop("is_first", "day_work")
 
+    def hours(self, days: Iterable[str] | None = None) -> DataFrame:
+        """Hourly roll-up from the stored minutes; the energy across two days comes from the links."""
+        entries = self.manifest.entries()
+        linked = self.read("seams", days, entries).join(self.read("links", days, entries), ["device_id", DAY])
+        energy = F.col("first.total_energy")
+        delta = (energy - F.col("before.total_energy")).cast(NUMERIC)
+        across = linked.select(
+            "device_id", F.date_trunc("minute", "first.time").alias("bucket"), F.lit(0).cast("bigint").alias("readings"), reset_safe(delta, energy).alias("kwh")
+        )
+        minutes = self.read("minutes", days, entries).drop(DAY, "power_avg")
+        return rollups.by_hour(minutes.unionByName(across, allowMissingColumns=True))
+
     def totals(self, days: Iterable[str] | None = None) -> DataFrame:
         """Readings with the device's running energy, ``total_work`` and ``total_kwh``, from the first day on."""
         entries = self.manifest.entries()

@@ -208,3 +208,37 @@ def test_counters_in_the_state_store_over_batches_a_restart_and_an_idle_device(s
     assert ("silent", START + timedelta(minutes=1)) in idle and sorted(d for d, _ in idle) == sorted(set(d for d, _ in idle))
     # The repeated reading is behind the watermark or behind the last one counted; either way it counts once.
     assert got.where("kind = 'late'").count() <= 1
+
+
+def test_replays_are_dropped_however_late(spark, frame, folder):
+    from millwatt.streaming.replays import ReplayIndex
+
+    raw, bad, index = folder("raw"), folder("bad"), ReplayIndex(spark, folder("ids"))
+    schema = schemas.TELEMETRY_EVENT
+
+    def event(number, days=0):
+        return ("d", "bms", "AHU", "b", (1_700_000_000 + 86_400 * days) * 1000, {"x": float(number)}, {"deviceId": "d", "msgId": f"m{number}"})
+
+    def run(source, state):
+        stream = spark.readStream.schema(schema).parquet(source)
+        ingest.start(stream, raw, bad, state, NOW, index=index).awaitTermination()
+
+    def landed():
+        return sorted(r[0] for r in telemetry.read_raw(spark, raw).selectExpr("metadata['msgId']").collect())
+
+    source, state = folder("source"), folder("state")
+    feed(frame, source, schema, [event(1), event(2), event(2), event(3, 1)])
+    run(source, state)
+    # A month later the same messages come again, with new ones, one of them without an id.
+    feed(frame, source, schema, [event(1), event(9, 30), event(3, 1), event(3, 1), ("e", "bms", "AHU", "b", 5, {}, {"deviceId": "e"})])
+    run(source, state)
+    assert [i for i in landed() if i.startswith("m")] == ["m1", "m2", "m3", "m9"] and len(landed()) == 5
+    # A batch that is run again finds what it found the first time.
+    again = telemetry.read_raw(spark, raw).where("metadata['msgId'] in ('m1', 'm9')")
+    stream = runs.stream_id(spark, state)
+    assert sorted(r[0] for r in index.fresh(again, stream, 1).selectExpr("metadata['msgId']").collect()) == ["m9"]
+    assert index.fresh(again, stream, 0).count() == 2 and index.fresh(again, stream, 2).count() == 0
+    # A new checkpoint reads everything again.
+    run(source, folder("other"))
+    assert len(landed()) == 5
+    assert index.forget("2023-12-01") == ["1970-01-01", "2023-11-14", "2023-11-15"] and index.ids().count() == 1

@@ -446,3 +446,18 @@ def test_shift_date_of_plain_shift(spark):
         clock.shift_date(F.col("t"), F.lit(0), F.lit(6))
     ).first()[0]
     assert got == date(2024, 1, 6)
+
+
+def test_captured_runs_and_states_are_the_latest_and_live(frame):
+    run = "run_id int, work_order_id int, machine_id string, good_qty int, scrap_qty int, started_at timestamp, ended_at timestamp"
+    change = ", __op string, __source_ts_ms bigint, __lsn bigint, __deleted string"
+    t0, t1 = datetime(2024, 1, 1), datetime(2024, 1, 2)
+    runs = [
+        (1, 1, "m", 0, None, t0, None, "c", 1, 1, "false"), (1, 1, "m", 5, 1, t0, t1, "u", 2, 2, "false"),
+        (2, 1, "m", 3, 0, t0, None, "c", 1, 3, "false"), (2, 1, "m", 3, 0, t0, None, "d", 2, 4, "true"),
+    ]
+    got = staging.production_runs(frame(runs, run + change))
+    assert table(got, "id", "total_qty", "end_time") == [(1, 6, t1)]
+    states = [(1, "m", "RUN", t0, None, "c", 1, 1, "false"), (1, "m", "RUN", t0, t1, "u", 1, 2, "false"), (2, "m", "DOWN", t1, None, "d", 1, 3, "true")]
+    got = staging.machine_states(frame(states, "state_id int, machine_id string, state string, started_at timestamp, ended_at timestamp" + change))
+    assert table(got, "id", "end_time") == [(1, t1)]

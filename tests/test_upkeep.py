@@ -11,7 +11,7 @@ from conftest import rows as table
 from pyspark.sql import functions as F
 
 from millwatt import schemas
-from millwatt.operators import changes, dims, facts, landing, signals, staging
+from millwatt.operators import changes, dims, facts, landing, rollups, signals, staging
 from millwatt.plans import upkeep
 from millwatt.plans.daily import DailyBuild
 from millwatt.session import work_folder
@@ -168,6 +168,8 @@ def test_incremental_build_equals_a_full_one(spark, land, plant):
         days, clock, machine = dims.calendar(spark), dims.minutes(spark), dims.machine(staging.machines(machines(30)))
         want = facts.energy(stg, machine, days, clock)
         assert table(marts.energy().select(*want.columns)) == table(want)
+        hours = rollups.by_hour(rollups.by_minute(want))
+        assert table(marts.hours().select(*hours.columns)) == table(hours)
         whole = signals.accumulate_work(stg.where("source = 'ems'").select("device_id", "time", "msg_id", "total_power"))
         assert table(marts.totals(), "msg_id", "total_work") == table(whole, "msg_id", "total_work")
     hvac = facts.hvac(staging.ahu(stg), staging.chiller(stg), dims.equipment(master), days, clock)
