@@ -4,7 +4,7 @@ Features of a text are its words and pairs of words, and runs of one to three wo
 digits, other signs as they are; marked when a word repeats the one before), hashed to 2**18 columns, valued
 ``log(1 + count)`` and scaled to unit length. Scores are sparse dot products.
 
-Training takes a bounded sample of labelled rows (``sample``). It is dealt to ``SHARDS`` groups by hash; each
+Training takes a bounded sample of labelled rows (ids by ``sample``, at most twice as many different texts). It is dealt to ``SHARDS`` groups by hash; each
 group, at most a few thousand texts, runs FTRL-proximal over its rows and Spark averages the weights, at most 2**18 rows, which come to the driver and
 go to the scorers. Scoring is a map over the documents without a shuffle.
 
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .stage import sampled
+from .stage import sampled, share, written
 from .words import Words, mix, rolling, tokenise, windows
 
 SPACE = 1 << 18
@@ -115,6 +115,18 @@ def labelled(docs: DataFrame, labels: DataFrame, target: str, sample: int, seed:
     return docs.select("doc_id", "text").join(drawn, F.col("doc_id") == F.col("labelled_id")).select("doc_id", "text", "y")
 
 
+def bounded(rows: DataFrame, most: int, seed: int) -> DataFrame:
+    """Rows of :func:`labelled`, those alike in id and text once; of more than ``most`` about so many, drawn by hash.
+
+    Copies are merged in each task before they are shuffled.
+    """
+    once = rows.groupBy("doc_id", F.xxhash64("text").alias("h"), "y").agg(F.first("text").alias("text"))
+    once = written(once, "quality-sample")
+    n = once.count()
+    few = once if n <= most else once.where(share(F.xxhash64("doc_id", "h"), seed) < most / n)
+    return few.select("doc_id", "text", "y")
+
+
 def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", sample: int = 20_000, epochs: int = 3) -> np.ndarray:
     """The averaged weights: ``SPACE`` columns and the intercept."""
 
@@ -137,8 +149,8 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", sample: int
         # The last row counts the shard itself.
         return pa.table({"at": np.append(some, -1), "weight": np.append(weights[some], 1.0)})
 
-    rows = labelled(docs, labels, target, sample, 7)
-    shard = F.pmod(F.xxhash64("doc_id", F.lit(77)), F.lit(SHARDS)).alias("shard")
+    rows = bounded(labelled(docs, labels, target, sample, 7), 2 * sample, 7)
+    shard = F.pmod(F.xxhash64("doc_id", "text", F.lit(77)), F.lit(SHARDS)).alias("shard")
     trained = rows.select(shard, "text", "y").groupBy("shard").applyInArrow(train, "at long, weight double")
     found = {r.at: r.weight for r in trained.groupBy("at").agg(F.sum("weight").alias("weight")).collect()}  # SPACE + 2 rows
     shards = found.pop(-1, 1.0)

@@ -244,3 +244,29 @@ def test_models_take_empty_tables(spark, odd):
         assert {r.score for r in module.score(odd, module.fit(odd, unlabelled)).collect()} == {value}
     assert language.identify(none, language.fit(none)).collect() == []
     assert {(r.lang_pred, r.score) for r in language.identify(odd, language.fit(none)).collect()} == {("und", 0.0)}
+
+
+def test_a_sample_bounds_rows_not_ids(spark):
+    """Many copies of one id, and many texts under one id, do not make the fit larger."""
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 3 != 1][:6]
+    labels = spark.createDataFrame([(i, k % 2, 0) for k, i in enumerate(ids)], LABELS)
+    rows = [(ids[0], "the same text again", "en", "s", 1)] * 4000 + [(ids[1], f"text number {i}", "en", "s", 1) for i in range(900)]
+    rows += [(i, f"a text of {i}", "en", "s", 1) for i in ids]
+    docs = spark.createDataFrame(rows, DOCS)
+    known = quality.labelled(docs, labels, "quality", 100, 7)
+    assert known.count() == len(rows)
+    assert quality.bounded(known, 10**6, 7).count() == 907  # a text of the second id is of its own
+    assert quality.bounded(known, 200, 7).count() < 300
+    assert len(quality.fit(docs, labels, sample=100)) == quality.SPACE + 1
+
+
+def test_very_many_languages_have_a_bounded_model(spark):
+    rows = [(i, f"Wort{i % 3000} noch ein Satz {chr(97 + i % 26) * 3}", f"l{i % 3000:04d}", "s", 1) for i in range(12_000)]
+    rows += [(20_000 + i, "the usual words of one language", "en", "s", 1) for i in range(50)]
+    copied = next(i for i in range(50_000, 50_020) if zlib.crc32(str(i).encode()) % 4 != 2)
+    rows += [(copied, "one row many times", "l0000", "s", 1)] * 3000
+    model = language.fit(spark.createDataFrame(rows, DOCS))
+    assert len(model.landmarks) <= 128 and len(model.languages) <= 128 and "en" in model.languages
+
+    few = [r for r in rows if r[2] in ("en", "l0000", "l0001")]
+    assert language.fit(spark.createDataFrame(few, DOCS)).languages == ["en", "l0000", "l0001"]
