@@ -5,8 +5,8 @@ only); the kernel of two texts is the size of the common set over the geometric
 few landmark texts of each language makes the kernel linear, and one-versus-rest ridge regression is solved on it.
 Scores of a batch are one product of its presence matrix with the landmarks and one with the weights.
 
-Fitting takes a bounded sample: ``sample`` texts in all, spread over the languages (at least 20 each). Their presence
-sets, 1 KB each, come to the driver, where a system of the landmarks' number is solved; nothing else does. Scoring is
+Fitting takes a bounded sample: ``sample`` texts in all, spread over the ``languages`` most frequent languages (at least 20
+each); rarer ones are not learned. Their presence sets, 1 KB each, come to the driver, where a system of the landmarks' number is solved; nothing else does. Scoring is
 a map over the documents without a shuffle.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0, as is every text when there was nothing
@@ -85,15 +85,23 @@ def _bits(batches):
             )
 
 
-def fit(docs: DataFrame, sample: int = 4000, landmarks: int = 128, ridge: float = 1e-3) -> Model:
-    """Learn from ``doc_id, text, lang`` rows whose id may be learned from and whose lang is known."""
+def fit(docs: DataFrame, sample: int = 4000, landmarks: int = 128, ridge: float = 1e-3, languages: int = 128) -> Model:
+    """Learn from ``doc_id, text, lang`` rows whose id may be learned from and whose lang is known.
+
+    The ``languages`` most frequent languages are learned (ties by name), with at most ``landmarks`` landmarks, one each at least,
+    and about ``sample`` rows, 20 of each language at least. Rows alike in id and text are drawn once.
+    """
+    languages = min(languages, landmarks)
     known = docs.where(learnable(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = known.groupBy("lang").count()
-    n = counts.count()
+    # Copies of a row do not count, as they are drawn once; the sketch does not depend on the order of rows.
+    counts = known.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("doc_id", "text")).alias("count"))
+    counts = counts.orderBy(F.col("count").desc(), "lang").limit(languages)
+    n = min(languages, counts.count())
     each = max(20, sample // max(n, 1))
-    # One row for each language; about ``each`` rows of it are drawn by the hash of their ids.
+    # One row for each language; about ``each`` rows of it are drawn by the hash of id and text.
     quota = counts.select(F.col("lang").alias("quota_lang"), (F.lit(float(each)) / F.col("count")).alias("quota"))
-    drawn = known.join(F.broadcast(quota), F.col("lang") == F.col("quota_lang")).where(share(F.col("doc_id"), 8) < F.col("quota"))
+    drawn = known.join(F.broadcast(quota), F.col("lang") == F.col("quota_lang")).where(share(F.xxhash64("doc_id", "text"), 8) < F.col("quota"))
+    drawn = drawn.groupBy("doc_id", F.xxhash64("text").alias("h"), "lang").agg(F.first("text").alias("text"))
     rows = drawn.select("text", "lang").mapInArrow(_bits, "lang string, bits binary").collect()
     rows = sorted((r.lang, bytes(r.bits)) for r in rows)
     names = sorted({lang for lang, _ in rows})
@@ -101,7 +109,7 @@ def fit(docs: DataFrame, sample: int = 4000, landmarks: int = 128, ridge: float
         return Model([], np.zeros((0, SPACE // 8), np.uint8), np.zeros((0, 0), np.float32))
     packed = np.stack([np.frombuffer(b, np.uint8) for _, b in rows])
     target = np.array([names.index(lang) for lang, _ in rows])
-    per = max(4, landmarks // len(names))
+    per = max(1, landmarks // len(names))
     # Rows lie in order of their bits, which is no order of meaning: take them at even steps.
     chosen = []
     for k in range(len(names)):
