@@ -13,8 +13,8 @@ the input.
   aggregated to its earliest line, so a bucket costs a row for each member, never pairs.
 * Each line and the earliest one of its key are compared word by word before the link counts.
 
-The halves that lines share and the documents with candidates are broadcast when counted to be at most ``BROADCAST_ROWS``, so
-that no text is shuffled to find the few candidates; beyond that Spark shuffles both sides. Native DataFrame functions
+The halves that lines share are broadcast when counted to be at most ``BROADCAST_ROWS``, and the places of candidates when at
+most ``BROADCAST_LINES``, so that no text is shuffled to find the few candidates; beyond that Spark shuffles both sides. Native DataFrame functions
 only. Variant hashes are running sums (exclusive or) over a line's words, linear in its length.
 
 Defined results: words are separated by ``[\\x20\\x09-\\x0D]+``, lines by a line feed; blank lines
@@ -32,7 +32,8 @@ from .stage import free, small, written
 MIN_WORDS = 1  # all but blank lines
 FUZZY_WORDS = 8
 BLOCK = 62  # lines in one mask
-BROADCAST_ROWS = 200_000  # of some hundred bytes at most
+BROADCAST_ROWS = 200_000  # keys of 8 bytes
+BROADCAST_LINES = 1_000_000  # of about 64 bytes
 _LINE = ["l1", "l2"]
 _AT = ["doc_id", "digest", "line_no"]
 
@@ -72,7 +73,7 @@ def _halves(line: Column, n: Column) -> Column:
         for side, count in ((0, h), (1, -h)):
             part = F.xxhash64(F.lit(side), h, F.call_function("substring_index", line, F.lit(" "), count))
             one = F.struct(F.lit(side).alias("side"), h.alias("h"), part.alias("key"))
-            out.append(one if k == 0 else F.when(n % 8 == 0, one))
+            out.append(one if k == 0 else F.when((n % 8 == 0) & (h > 0), one))
     return F.filter(F.array(*out), lambda x: x.isNotNull())
 
 
@@ -92,7 +93,8 @@ def _texts(docs: DataFrame, near: DataFrame) -> DataFrame:
         "lines-wanted",
     )
     texts = docs.where(F.col("text").isNotNull()).select("doc_id", _digest(F.col("text")).alias("digest"), "text")
-    small_wanted = small(wanted, BROADCAST_ROWS)
+    # Bounded by the lines it lists, about 64 bytes each.
+    small_wanted = F.broadcast(wanted) if near.count() <= BROADCAST_LINES else wanted
     same = texts["doc_id"].eqNullSafe(wanted["at_id"]) & (texts["digest"] == wanted["at_digest"])
     found = texts.join(small_wanted, same).select("wanted", F.split(_plain(F.col("text")), "\n").alias("lines"))
     line = lambda w: F.trim(F.get(F.col("lines"), w["first"]["line_no"])).alias("line")
