@@ -230,7 +230,7 @@ class Views:
     @staticmethod
     def _captured(rows: DataFrame, key: str, gone: int, **before) -> DataFrame:
         """Change rows: a first one with the values ``before``, the row as it is, and for some keys a delete."""
-        log = rows.withColumn("__lsn", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).cast("bigint"))
+        log = rows.withColumn("__lsn", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(2).cast("bigint"))))
         log = log.where((F.col("__lsn") < 2) | (F.col(key) % gone == 0))
         early = {name: F.when(F.col("__lsn") > 0, F.col(name)).otherwise(value) for name, value in before.items()}
         op = F.element_at(F.array(F.lit("c"), F.lit("u"), F.lit("d")), F.col("__lsn").cast("int") + 1)
