@@ -53,6 +53,14 @@ SELECT event_id AS "offset", {_OUTCOME} AS outcome,
   CASE WHEN k <> 7 THEN CAST(k AS DOUBLE) END AS level
 FROM ev"""
 
+SQL["variant_readings"] = f"""
+SELECT event_id AS "offset", CASE WHEN k NOT IN (7, 50) THEN device_id END AS device_id,
+  CASE WHEN k <> 7 AND event_type <> 'error' THEN round(event_id / 2.0::DOUBLE, 6) END AS total_power,
+  CASE WHEN k <> 7 THEN CAST(k AS INTEGER) END AS level, NULL::DOUBLE AS device_number, NULL::INTEGER AS value_number,
+  CASE WHEN k <> 7 AND event_type <> 'error' THEN round(event_id / 2.0::DOUBLE, 6) END AS power,
+  CASE WHEN k <> 7 THEN CAST(event_id AS VARCHAR) END AS msg_id, NULL::DOUBLE AS missing
+FROM ev"""
+
 SQL["ingest_quarantine"] = f"""
 SELECT event_id AS "offset", {_OUTCOME} AS reason, {_MESSAGE} AS message, 'bms.telemetry.test' AS topic
 FROM ev WHERE {_OUTCOME} <> 'landed'
@@ -570,6 +578,18 @@ FROM longm l JOIN ev ON ev.msg_id = l.msg_id"""
 SQL["raw_live"] = SQL["ingest_stream"]
 SQL["ingest_replayed"] = SQL["ingest_stream"]
 
+SQL["stream_outages"] = """
+SELECT device_id, equipment_type, min(time) AS first_time, max(time) AS last_time, max(time) + INTERVAL 1 DAY AS silent_from,
+  count(*) AS readings
+FROM (SELECT *, sum(CASE WHEN before IS NULL OR time > before + INTERVAL 1 DAY THEN 1 ELSE 0 END)
+    OVER (PARTITION BY device_id ORDER BY time, event_id ROWS UNBOUNDED PRECEDING) AS session
+  FROM (SELECT *, lag(time) OVER (PARTITION BY device_id ORDER BY time, event_id) AS before FROM (
+    SELECT device_id, equipment_type, time, event_id FROM ev
+    WHERE NOT (CAST(substr(device_id, 3) AS BIGINT) % 3 = 0 AND day(time) BETWEEN 10 AND 12))))
+GROUP BY device_id, equipment_type, session
+HAVING max(time) + INTERVAL 1 DAY <= (SELECT max(time) - INTERVAL 30 SECOND FROM ev
+  WHERE NOT (CAST(substr(device_id, 3) AS BIGINT) % 3 = 0 AND day(time) BETWEEN 10 AND 12))"""
+
 SQL["stream_tumbling"] = f"""
 SELECT device_id, window_start, window_start + INTERVAL 1 HOUR AS window_end, count(total_power) AS readings,
   {n('sum(total_power)', 'power_sum')}, {n('min(total_power)', 'power_min')}, {n('max(total_power)', 'power_max')}

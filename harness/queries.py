@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from harness.views import Views, plant_events
 from millwatt import constants as C
-from millwatt.functions import registers
+from millwatt.functions import registers, variants
 from millwatt.operators import (
     changes,
     dims,
@@ -27,14 +27,14 @@ from millwatt.operators import (
 )
 from millwatt.plans import analytics, panels, pipeline, upkeep
 from millwatt.plans.daily import DailyBuild
-from millwatt.session import work_folder
+from millwatt.session import work_folder, written
 from millwatt.sources import files
 from millwatt.sources import telemetry as telemetry_source
 from millwatt.sources.keyed import HistoryTable, KeyedTable
 from millwatt.sources.rawtable import RawTable
 from millwatt.streaming import counters
 from millwatt.streaming import energy as energy_stream
-from millwatt.streaming import ingest, lateness, windows
+from millwatt.streaming import ingest, lateness, outages, windows
 from millwatt.streaming.replays import ReplayIndex
 
 Query = Callable[[Views], DataFrame]
@@ -116,6 +116,27 @@ def quarantine_split(v: Views) -> DataFrame:
     )
 
 
+@query
+def variant_readings(v: Views) -> DataFrame:
+    """Messages kept as they came in a ``VARIANT`` column, written and read back, and their members by path and type."""
+    messages = v.text_messages.select("offset", variants.parse(F.col("value")).alias("body"))
+    rows = written(messages, "variants")
+    typed = variants.members(
+        rows.withColumn("total_power", variants.number(F.col("body"), "$.value.totalPower")),
+        "body",
+        {
+            "device_id": ("$.deviceId", "string"),
+            "level": ("$.value.level", "int"),
+            "power": ("$.value.totalPower", "double"),
+            "device_number": ("$.deviceId", "double"),
+            "value_number": ("$.value", "int"),
+            "msg_id": ("$.metadata.msgId", "string"),
+            "missing": ("$.metadata.none[0].x", "double"),
+        },
+    )
+    return typed
+
+
 @query
 def compaction_candidates(v: Views) -> DataFrame:
     return landing.compaction_candidates(v.raw)
@@ -878,6 +899,19 @@ def ingest_quarantine(v: Views) -> DataFrame:
     return aside.unionByName(rows, allowMissingColumns=True)
 
 
+@query
+def stream_outages(v: Views) -> DataFrame:
+    """Devices that fell silent for a day, told by a stream of the events without some days of some devices."""
+    folder = work_folder(v.spark, "outages")
+    events = plant_events(v.stream("events"))
+    time = F.timestamp_millis("ts_utc")
+    # Planted gaps: every third device says nothing on three days.
+    planted = (F.col("user_id") % 3 == 0) & F.dayofmonth(time).between(10, 12)
+    readings = events.where(~planted).select(F.col("deviceId").alias("device_id"), F.col("equipmentType").alias("equipment_type"), time.alias("time"))
+    outages.start(readings, f"{folder}/out", f"{folder}/checkpoint", "1 day", trigger=NOW).awaitTermination()
+    return v.spark.read.parquet(f"{folder}/out")
+
+
 @query
 def stream_tumbling(v: Views) -> DataFrame:
     folder = work_folder(v.spark, "tumbling")

@@ -242,3 +242,21 @@ def test_replays_are_dropped_however_late(spark, frame, folder):
     run(source, folder("other"))
     assert len(landed()) == 5
     assert index.forget("2023-12-01") == ["1970-01-01", "2023-11-14", "2023-11-15"] and index.ids().count() == 1
+
+
+def test_a_device_that_falls_silent_is_told_once(spark, frame, folder):
+    from millwatt.streaming import outages
+
+    source, out, state = folder("source"), folder("out"), folder("state")
+    schema = "device_id string, equipment_type string, time timestamp"
+    steady = [("a", "AHU", START + timedelta(minutes=4 * i)) for i in range(60)]
+    broken = [("b", "CNC", START + timedelta(minutes=m)) for m in (0, 5, 9, 40, 41, 100)]
+    rows = sorted(steady + broken, key=lambda r: r[2])
+    for part in (rows[:20], rows[20:45], rows[45:]):
+        feed(frame, source, schema, part)
+        outages.start(spark.readStream.schema(schema).parquet(source), out, state, "10 minutes", trigger=NOW).awaitTermination()
+    got = spark.read.parquet(out)
+    want = outages.sessions(frame(rows, schema), "10 minutes").where("device_id = 'b'")
+    assert table(got) == table(want) and [r.readings for r in want.orderBy("first_time").collect()] == [3, 2, 1]
+    assert table(outages.by_type(got), "equipment_type", "silences", "devices", "longest_minutes") == [("CNC", 3, 1, 9.0)]
+    assert outages.by_type(got, "2024-05-01 00:19:00").count() == 0

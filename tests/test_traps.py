@@ -461,3 +461,20 @@ def test_captured_runs_and_states_are_the_latest_and_live(frame):
     states = [(1, "m", "RUN", t0, None, "c", 1, 1, "false"), (1, "m", "RUN", t0, t1, "u", 1, 2, "false"), (2, "m", "DOWN", t1, None, "d", 1, 3, "true")]
     got = staging.machine_states(frame(states, "state_id int, machine_id string, state string, started_at timestamp, ended_at timestamp" + change))
     assert table(got, "id", "end_time") == [(1, t1)]
+
+
+def test_variant_members_of_any_depth_and_type(frame):
+    from millwatt.functions import variants
+
+    texts = ['{"v": {"p": 1.5, "a": [{"x": 7}]}, "n": "2.25"}', '{"v": {"p": "off"}, "n": 3}', "no json", None, "[1]", '{"v": 5}']
+    df = frame(list(enumerate(texts)), "i int, body string").withColumn("body", variants.parse(F.col("body")))
+    got = variants.members(
+        df.withColumn("n", variants.number(F.col("body"), "$.n")), "body",
+        {"p": ("$.v.p", "double"), "x": ("$.v.a[0].x", "int"), "v": ("$.v", "int")},
+    )
+    none = (None,) * 4
+    assert table(got, "i", "n", "p", "x", "v") == [
+        (0, Decimal("2.25"), 1.5, 7, None), (1, Decimal(3), None, None, None), (2, *none), (3, *none), (4, *none), (5, None, None, None, 5),
+    ]
+    shapes = variants.shapes(df.where("i in (0, 1)"), "body", "i")
+    assert table(shapes)[1] == (1, "OBJECT<n: BIGINT, v: OBJECT<p: STRING>>")
