@@ -208,9 +208,9 @@ _BUILT: dict[tuple[str, str], DailyBuild] = {}
 
 
 def _built_daily(v: Views) -> DailyBuild:
-    """Marts built after each of three landings, with a compaction between the builds; once a session and folder."""
+    """Marts built after each of three landings, with a compaction between the builds; once a session and folder, while they are there."""
     key = (v.spark.sparkContext.applicationId, v.folder)
-    if key not in _BUILT:
+    if key not in _BUILT or _BUILT[key].manifest.version() < 0:
         _BUILT[key] = _build_daily(v)
     return _BUILT[key]
 

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,12 +95,14 @@ class DailyBuild:
 
     def changed_days(self, raw: RawTable, dimensions: str = "") -> tuple[list[str], list[str]]:
         """Days to build, and days that the raw table no longer has."""
-        entries, totals = self.manifest.entries(), raw.day_totals()
+        return self._changed(self.manifest.entries(), raw.day_totals(), dimensions)
+
+    @staticmethod
+    def _changed(entries: dict[str, dict[str, str]], totals: dict[str, int], dimensions: str) -> tuple[list[str], list[str]]:
         built = entries.get("built", {})
-        if entries.get("dimensions", {}).get("digest", "") != dimensions:
-            built = {}
-        changed = sorted(day for day, n in totals.items() if built.get(day) != str(n))
-        return changed, sorted(set(entries.get("built", {})) - set(totals))
+        same = entries.get("dimensions", {}).get("digest", "") == dimensions
+        changed = sorted(day for day, n in totals.items() if not same or built.get(day) != str(n))
+        return changed, sorted(set(built) - set(totals))
 
     def run(self, raw: RawTable, master: DataFrame, machines: DataFrame, calendar: DataFrame | None = None, **chunking) -> list[str]:
         """Build what changed and publish it; returns the days that were built."""
@@ -112,11 +115,10 @@ class DailyBuild:
             "dim_machine": dims.machine(staging.machines(machines)),
         }
         digest = self._digest(tables)
-        totals = raw.day_totals()
-        changed, gone = self.changed_days(raw, digest)
+        entries, totals = self.manifest.entries(), raw.day_totals()
+        changed, gone = self._changed(entries, totals, digest)
         if not changed and not gone:
             return []
-        entries = self.manifest.entries()
         number = self.manifest.version() + 1
         fresh = entries.get("dimensions", {}).get("digest") != digest
         for name, df in tables.items() if fresh else ():
@@ -152,12 +154,9 @@ class DailyBuild:
 
     def _digest(self, tables: dict[str, DataFrame]) -> str:
         """One number for the content of the dimensions."""
-        parts = []
-        for name in sorted(tables):
-            df = tables[name]
-            found = df.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64(*df.columns)).alias("h")).first()
-            parts.append(f"{name}:{found.n}:{found.h}")
-        return ";".join(parts)
+        rows = [df.select(F.xxhash64(F.lit(name), *df.columns).alias("h")) for name, df in sorted(tables.items())]
+        found = reduce(DataFrame.unionByName, rows).agg(F.count("*").alias("n"), F.bit_xor("h").alias("h"), F.sum(F.col("h") % 1_000_003).alias("s")).first()
+        return f"{found.n}:{found.h}:{found.s}"
 
     def _write(self, entries: dict, number: int, name: str, df: DataFrame, days: Iterable[str], gone: Iterable[str]) -> None:
         """Write some days of a table; the other days keep their folders."""
