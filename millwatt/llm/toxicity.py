@@ -3,9 +3,9 @@
 Channel and language model. Letter trigrams of all documents are counted in Spark and make the character language model.
 A disguised span (signs standing for letters, a letter drawn out, letters set apart) is a lattice: each sign is
 one of the letters it may stand for, or noise; a run of a letter or sign is one or two of it; a gap between single letters,
-however wide, is a break or nothing. Viterbi decoding picks the likeliest reading of every span, whatever its length; at most
-``BEAM`` states go from one place to the next. A span with more signs than letters, or a
-long one with signs, is a code when its reading costs more than ``CODE`` a letter: it stays as it is. All other words are their own
+however wide, is a break or nothing. Viterbi decoding picks the likeliest reading of every span, whatever its length; it
+is exact, as only states that cannot win are dropped. A span of signs alone that is longer than ``LONGEST``, such as a table of digits, is a code, and so is
+a span with more signs than letters, or a long one with signs, when its reading costs more than ``CODE`` a letter: it stays as it is. All other words are their own
 only reading.
 
 Scoring. Words of restored texts are weighed by their smoothed log-odds in toxic against other labelled texts (a
@@ -25,7 +25,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cache
-from heapq import nlargest
 
 import numpy as np
 import pyarrow as pa
@@ -60,7 +59,6 @@ READINGS = {
 NOISE = "*._-~'`^"
 VOWELS = "aeiou"  # an asterisk often hides one
 CLASSES = 64  # 0 is all but letters, 1 to 26 are a to z, the rest share the others
-BEAM = 64  # states kept at each place of a span
 LONGEST = 24  # a longer span may be a code
 CODE = -7.0  # log probability a letter: words new to the model are above, hexadecimal ids below
 SUPPORT = 4
@@ -152,13 +150,25 @@ def lattice(span: str) -> list[list[tuple[str, float]]]:
     return out
 
 
+def reach(model: np.ndarray) -> float:
+    """How far a state may lie behind another one and still win.
+
+    A state decides the probabilities of the next two letters only; each differs by the range of the model at most.
+    """
+    return 2 * float(model.max() - model.min())
+
+
 def decode(span: str, model: np.ndarray) -> str:
     """The likeliest reading of a disguised span (Viterbi over the last two classes; of equal ones the first found)."""
-    return decoded(span, model)[0]
+    return decoded(span, model, reach(model))[0]
+
 
+def decoded(span: str, model: np.ndarray, reach: float) -> tuple[str, float]:
+    """The likeliest reading of a span and its log probability, that of the channel and the end of the word included.
 
-def decoded(span: str, model: np.ndarray) -> tuple[str, float]:
-    """The likeliest reading of a span and its log probability, that of the channel and the end of the word included."""
+    States further than ``reach`` behind the best cannot be on the likeliest path and are dropped; there are never more than
+    pairs of classes.
+    """
     # For each state the value of its best path, and the path as pieces linked to the one before.
     best: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
     for options in [*lattice(span), [(" ", 0.0)]]:
@@ -172,7 +182,8 @@ def decoded(span: str, model: np.ndarray) -> tuple[str, float]:
                     x, y = y, z
                 if (x, y) not in after or v > after[x, y][0]:
                     after[x, y] = (v, (path, string))
-        best = after if len(after) <= BEAM else dict(nlargest(BEAM, after.items(), key=lambda state: state[1][0]))
+        least = max(value for value, _ in after.values()) - reach
+        best = {state: found for state, found in after.items() if found[0] >= least}
     (value, path), pieces = max(best.values(), key=lambda found: found[0]), []
     while path:
         path, piece = path
@@ -266,13 +277,15 @@ class Reader:
     """Decodes the spans of chunks with a character model; equal spans once."""
 
     def __init__(self, model: np.ndarray):
-        self.model, self.known = model, {}
+        self.model, self.reach, self.known = model, reach(model), {}
 
     def read(self, span: str) -> str:
         if span not in self.known:
             if len(self.known) > 200_000:
                 self.known.clear()
-            reading, value = decoded(span, self.model)
+            if len(span) > LONGEST and not any(c.isalpha() for c in span):
+                return span  # a table of digits and the like
+            reading, value = decoded(span, self.model, self.reach)
             self.known[span] = span if is_code(span, reading, value) else reading
         return self.known[span]
 

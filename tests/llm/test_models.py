@@ -197,6 +197,23 @@ def test_viterbi_finds_the_best_path(chars):
         assert toxicity.decode(span, chars) == best[1].strip()
 
 
+def test_dropped_states_never_win(chars):
+    """The decoder's best value against that over all states, on spans with many readings and deletions."""
+    rng = np.random.default_rng(5)
+    signs = [*toxicity.READINGS, *toxicity.NOISE, "i", "d", "o", "t"]
+    for _ in range(60):
+        span = "".join(rng.choice(signs, rng.integers(4, 24)))
+        for model in (chars, chars / 8):  # the second hardly tells letters apart, so that most states stay
+            assert toxicity.decoded(span, model, toxicity.reach(model)) == toxicity.decoded(span, model, np.inf)
+
+
+def test_tables_of_digits_are_codes(chars):
+    reader = toxicity.Reader(chars)
+    table = ",".join("1735"[i % 4] for i in range(200_000))
+    assert reader.read(table) == table and not reader.known
+    assert reader.read("1d107") == "idiot"
+
+
 def test_plain_text_has_no_spans(chars):
     (block,) = letters(pa.array(["The quick brown fox. It was 1999, e.g. a-b (see p. 12): 3 km; d'accord! A I", "cat", "dog"]))
     found = [("".join(map(chr, block.points[a:b])), r) for _, a, b, r in toxicity.Reader(chars).restored(block)]
