@@ -118,14 +118,16 @@ def compaction_candidates(raw: DataFrame, days: int = C.COMPACT_AFTER_DAYS) -> D
 def dedupe(raw: DataFrame, msg_id: Column | None = None) -> DataFrame:
     """One row per message id, the earliest; rows without an id are all kept.
 
-    Replays are the exception, so only ids are shuffled to find the repeated ones, counted map-side
-    first. Rows with an id of their own then pass straight through.
+    Replays are the exception, so ids alone are counted first, map-side. Full rows are shuffled once and looked up in a
+    hash table of the repeated ids of their partition, so none but the copies are sorted. Ids meet null-safe: both
+    branches then read the same rows, and Spark reuses the shuffle where they need the same columns.
     """
     key = F.col("metadata")["msgId"] if msg_id is None else msg_id
     keyed = raw.withColumn("_msg", key)
     counts = keyed.where(F.col("_msg").isNotNull()).groupBy("_msg").agg(F.count(F.lit(1)).alias("_n"))
-    repeated = counts.where("_n > 1").select("_msg")
-    single = keyed.join(repeated, "_msg", "left_anti").select(*raw.columns)
+    repeated = counts.where("_n > 1").select(F.col("_msg").alias("_again")).hint("shuffle_hash")
+    met = F.col("_msg").eqNullSafe(F.col("_again"))
+    single = keyed.join(repeated, met, "left_anti").select(*raw.columns)
     earliest = F.min_by(F.struct(*raw.columns), F.struct("time", "device_id"))
-    copies = keyed.join(repeated, "_msg", "left_semi").groupBy("_msg").agg(earliest.alias("_row"))
+    copies = keyed.join(repeated, met, "left_semi").groupBy("_msg").agg(earliest.alias("_row"))
     return single.unionByName(copies.select("_row.*"))

@@ -222,6 +222,20 @@ def test_t18_replays_are_removed(raw):
     ]
 
 
+def test_t18_only_copies_are_sorted(spark, frame):
+    # Rows that could not be broadcast: the full rows are looked up in a table of the repeated ids, not sorted by id.
+    stored = frame([(str(i % 90), i, f"d{i % 7}") for i in range(100)] + [(None, 1, "d")], "msg_id string, time int, device_id string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = landing.dedupe(stored, F.col("msg_id"))
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "ShuffledHashJoin" in plan
+        assert table(got) == sorted([(None, 1, "d")] + [(str(i), i, f"d{i % 7}") for i in range(90)], key=lambda t: tuple((v is not None, str(v)) for v in t))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_content_id_is_stable(frame):
     schema = "deviceId string, source string, equipmentType string, building string, ts_utc bigint, value map<string,double>, metadata map<string,string>"
     events = frame(
