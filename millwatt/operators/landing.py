@@ -119,8 +119,8 @@ def dedupe(raw: DataFrame, msg_id: Column | None = None) -> DataFrame:
     """One row per message id, the earliest; rows without an id are all kept.
 
     Replays are the exception, so ids alone are counted first, map-side. Full rows are shuffled once and looked up in a
-    hash table of the repeated ids of their partition, so none but the copies are sorted. Ids meet null-safe: both
-    branches then read the same rows, and Spark reuses the shuffle where they need the same columns.
+    hash table of the repeated ids of their partition, so none but the copies are sorted. Ids meet null-safe, so
+    that the repeated ones are worked out once, in a stage of their own.
     """
     key = F.col("metadata")["msgId"] if msg_id is None else msg_id
     keyed = raw.withColumn("_msg", key)

@@ -65,9 +65,10 @@ def models(
 def write_silver(raw: DataFrame, path: str) -> None:
     """Typed staging rows by day, so marts and panels read single columns instead of maps.
 
-    Replayed messages are removed here; the raw table keeps them.
+    Replayed messages are removed here; the raw table keeps them. Rows are typed before the copies are looked for, so
+    the sample of the ranges reads shuffled typed rows and does not take the maps apart again.
     """
-    stg = staging.telemetry(landing.dedupe(raw)).withColumn("date", F.to_date("time"))
+    stg = landing.dedupe(staging.telemetry(raw), F.col("msg_id")).withColumn("date", F.to_date("time"))
     by_device(stg).write.mode("overwrite").partitionBy("date").option("compression", "zstd").parquet(path)
 
 

@@ -111,6 +111,17 @@ def test_recent_rows_prune_days_and_match(spark, frame):
     assert "PartitionFilters: [isnotnull(date" in scan and "Subquery" in scan
 
 
+def test_the_typed_layer_looks_for_copies_among_typed_rows(spark, frame, monkeypatch):
+    # The maps would otherwise be shuffled, and taken apart again for the sample of the ranges.
+    given, dedupe = [], landing.dedupe
+    monkeypatch.setattr(landing, "dedupe", lambda rows, *key: (given.append(rows.columns), dedupe(rows, *key))[1])
+    raw = raw_frame(frame)
+    path = work_folder(spark, "typed")
+    pipeline.write_silver(raw.unionByName(raw), path)
+    assert given and not {"value", "metadata", "dimensions"} & set(given[0])
+    assert spark.read.parquet(path).count() == dedupe(raw.unionByName(raw)).count()
+
+
 def test_silver_scan_reads_needed_columns_only(spark, frame):
     from millwatt.operators import staging
 
