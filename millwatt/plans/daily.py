@@ -128,7 +128,7 @@ class DailyBuild:
             entries.setdefault("schema", {})[name] = df.schema.json()
         model = {name: self.read(name, None, entries) for name in tables}
 
-        silver = staging.telemetry(landing.dedupe(raw.read(changed))).withColumn(DAY, F.to_date("time"))
+        silver = landing.dedupe(staging.telemetry(raw.read(changed)), F.col("msg_id")).withColumn(DAY, F.to_date("time"))
         self._write(entries, number, "telemetry", by_device(silver), changed, gone)
         stg = self.read("telemetry", changed, entries)
         days, clock = model["dim_date"], model["dim_time"]
