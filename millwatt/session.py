@@ -16,6 +16,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Rows of captured tables and readings compress about tenfold: a task that sorts or hashes a partition of this size needs
+    # a few hundred MB however large the table is. The default of 64 MB takes four times that.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
     # Split a skewed join partition even when that costs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.parquet.filterPushdown": "true",

@@ -105,7 +105,8 @@ class HistoryTable(_Bucketed):
         return batch.select(*self._columns()).distinct()
 
     def _merged(self, old: DataFrame, fresh: DataFrame) -> DataFrame:
-        affected = fresh.select(*self.keys).distinct()
+        # Keys alone are held in a hash table for each partition; the stored rows that meet them need no sort.
+        affected = fresh.select(*self.keys).distinct().hint("shuffle_hash")
         others = old.join(affected, self.keys, "left_anti")
         points = old.join(affected, self.keys, "left_semi").select(*self._columns()).unionByName(fresh).distinct()
         points = written(points, "history-points")

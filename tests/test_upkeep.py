@@ -138,6 +138,24 @@ def test_history_from_batches_is_that_of_the_whole_log(spark, frame, max_rows):
     assert table(kept.intervals(), *columns) == table(want, *columns)
 
 
+def test_history_looks_stored_rows_up_by_key_unsorted(spark, frame):
+    schema = "id int, status string, at timestamp, serial int"
+    kept = HistoryTable(spark, work_folder(spark, "history"), ["id"], ["status"], "at", ["serial"], schema, buckets=2)
+    kept.merge(frame([(i, "a", START, i) for i in range(8)], schema), 0)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = kept._merged(kept.table.read(), kept._prepared(frame([(3, "b", START + timedelta(hours=1), 9)], schema)))
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "ShuffledHashJoin" in plan and merged.count() == 9
+
+
+def test_partitions_are_bounded(spark):
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
+
+
 @pytest.fixture
 def plant(spark, frame):
     master = frame([(1, "A-01", "AHU", "Building-Alpha", "BA", "E-1", "B-1", "1", None, None, None, None)], schemas.MACHINE_MASTER)
