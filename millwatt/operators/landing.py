@@ -87,9 +87,11 @@ def identified(events: DataFrame) -> DataFrame:
         ),
         256,
     )
-    msg_id = F.coalesce(F.col("metadata")["msgId"], digest)
     others = F.map_filter(F.col("metadata"), lambda k, _: k != "msgId")
-    return events.withColumn("metadata", F.map_concat(others, F.create_map(F.lit("msgId"), msg_id)))
+    named = F.map_concat(others, F.create_map(F.lit("msgId"), digest))
+    # A map that holds an id stays as it is, so that readers of the id do not build it.
+    has_id = F.col("metadata")["msgId"].isNotNull()
+    return events.withColumn("metadata", F.when(has_id, F.col("metadata")).otherwise(named))
 
 
 content_id = identified

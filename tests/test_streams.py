@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from conftest import rows as table
@@ -244,6 +245,59 @@ def test_replays_are_dropped_however_late(spark, frame, folder):
     assert index.forget("2023-12-01") == ["1970-01-01", "2023-11-14", "2023-11-15"] and index.ids().count() == 1
 
 
+def _indexed(spark, folder, ids):
+    """An index in which the days and ids of one batch are."""
+    from millwatt.streaming.replays import ReplayIndex
+
+    index = ReplayIndex(spark, folder)
+    if ids:
+        index.add(spark.createDataFrame(ids, "date date, metadata map<string,string>"), "before", 0)
+    return index
+
+
+def _raw(spark, numbered):
+    """Raw rows of pairs of an id and a minute from the start of the first day."""
+    times = [(START + timedelta(minutes=m), i, n) for n, (i, m) in enumerate(numbered)]
+    made = [(t, {"x": float(n)}, {"name": "d"}, {"msgId": i}, "d", "bms", t.date()) for t, i, n in times]
+    return spark.createDataFrame(made, schemas.RAW_TELEMETRY)
+
+
+def test_whole_rows_stay_where_they_are_when_all_or_none_of_a_batch_is_new(spark, folder):
+    raw = _raw(spark, [(f"m{i}", i) for i in range(50)] + [(None, 3), (None, 3)])
+
+    def exchanges(df):
+        return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+    new = _indexed(spark, folder("new"), []).fresh(raw, "s", 0)
+    assert new.count() == 52 and exchanges(new) == 0
+    again = _indexed(spark, folder("again"), [(r.date, r.metadata) for r in raw.collect()]).fresh(raw, "s", 0)
+    assert [r.metadata["msgId"] for r in again.collect()] == [None, None] and exchanges(again) == 0
+
+
+@pytest.mark.parametrize("few", [100_000, 0])
+@pytest.mark.parametrize("known", [0, 5, 90])
+def test_replays_mixed_with_new_messages(spark, folder, monkeypatch, few, known):
+    from millwatt.streaming import replays
+
+    monkeypatch.setattr(replays, "FEW", few)  # 0: rows meet even short lists by a shuffle
+    day = 24 * 60
+    numbered = [(f"m{i}", i % 7 * day + i) for i in range(100)] + [(f"m{i}", i % 7 * day + i) for i in range(0, 100, 9)]
+    # The same ids on later and on earlier days, and rows without an id.
+    numbered += [(f"m{i}", i % 7 * day + i + day * (1 if i % 2 else -1)) for i in range(0, 100, 13)] + [(None, 5), (None, 5)]
+    raw = _raw(spark, numbered)
+    landed = {(i, START + timedelta(minutes=m)) for i, m in numbered[:known]}
+    index = _indexed(spark, folder("ids"), [(t.date(), {"msgId": i}) for i, t in landed])
+    days, want = {(i, t.date()) for i, t in landed}, {}
+    for i, t in ((i, START + timedelta(minutes=m)) for i, m in numbered if i):
+        if (i, t.date()) not in days:
+            want[i] = min(t, want.get(i, t))
+    got = index.fresh(raw, "s", 0).collect()
+    named = [(r.metadata["msgId"], r.time) for r in got if r.metadata["msgId"]]
+    assert sorted(named) == sorted(want.items()) and len(got) == len(named) + 2
+    index.add(raw, "s", 0)
+    assert index.ids().where("stream = 's'").count() == len(numbered) and not list(Path(index.folder).glob("_judged/stream=s/*"))
+
+
 def test_a_device_that_falls_silent_is_told_once(spark, frame, folder):
     from millwatt.streaming import outages
 
